@@ -1,0 +1,75 @@
+"""The whole check: extract, map, snapshot, compare, report.
+
+Each side is a frame or the path of a snapshot saved by an earlier run, so a
+full run, a compare-only run, a run of one side and the reuse of either side
+are the same call with other arguments.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+
+from evenkeel.operators.filters import LoadFilter
+from evenkeel.operators.quality import require_not_null, require_schema
+from evenkeel.operators.reconcile import AUDIT_COLUMNS, Reconciliation, reconcile
+from evenkeel.operators.report import write_report
+from evenkeel.plans.mapping import perform_transform
+from evenkeel.sources.files import load_snapshot, save_snapshot
+
+
+@dataclass
+class Side:
+    """One table of the check.
+
+    ``data`` is a frame or a snapshot path.  A snapshot is taken as it is; a
+    frame is checked against ``declared``, filtered and transformed, then saved
+    when ``save_to`` names a place.  A saved side is read back from there, so
+    its extract runs once however often the comparison scans it.
+    """
+
+    data: DataFrame | str
+    load_filter: LoadFilter = field(default_factory=LoadFilter)
+    transform: Callable[[DataFrame], DataFrame] | None = None
+    declared: DataFrame | None = None
+    live: DataFrame | None = None
+    required: tuple[str, ...] = ()
+    save_to: str | None = None
+    fmt: str = "parquet"
+
+    def load(self, spark: SparkSession) -> DataFrame:
+        if isinstance(self.data, str):
+            return load_snapshot(spark, self.data, self.fmt)
+        if self.declared is not None:
+            require_schema(self.declared, self.live)
+        df = perform_transform(self.load_filter.apply(self.data), self.transform)
+        if self.save_to:
+            save_snapshot(df, self.save_to, self.fmt)
+            df = load_snapshot(spark, self.save_to, self.fmt)
+        require_not_null(df, list(self.required))
+        return df
+
+
+def run(
+    spark: SparkSession,
+    source: Side | None,
+    target: Side | None,
+    keys=(),
+    columns=None,
+    *,
+    exclude=AUDIT_COLUMNS,
+    strategy: str = "hash",
+    report_path: str | None = None,
+    report_format: str = "csv",
+) -> Reconciliation | None:
+    """Load the sides that are given; compare and report when both are."""
+    expected = source.load(spark) if source else None
+    actual = target.load(spark) if target else None
+    if expected is None or actual is None:
+        return None
+    result = reconcile(expected, actual, keys, columns, exclude=exclude, strategy=strategy)
+    if report_path:
+        write_report(result, report_path, report_format)
+    return result
