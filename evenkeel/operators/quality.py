@@ -149,7 +149,7 @@ def row_counts(expected: DataFrame, actual: DataFrame) -> DataFrame:
         actual.select(F.lit(0).alias("_e"), F.lit(1).alias("_a"))
     )
     return sides.agg(
-        F.count_if("_e = 1").alias("expected_rows"), F.count_if("_a = 1").alias("actual_rows")
+        F.count_if(F.col("_e") == 1).alias("expected_rows"), F.count_if(F.col("_a") == 1).alias("actual_rows")
     ).withColumn("is_equal", F.col("expected_rows") == F.col("actual_rows"))
 
 

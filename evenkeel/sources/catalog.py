@@ -59,7 +59,8 @@ def dialect_type(declared: str | None, dialect: str) -> str:
     mapped = names.get(base.lower())
     if mapped is None:
         return declared.strip()
-    if not size:
+    display_width = dialect != "mysql" and base.lower() in ("int", "integer")
+    if not size or display_width:
         return mapped
     default_length = base.lower() == "varchar"
     return mapped.split("(")[0] + size if default_length or "(" not in mapped else mapped
