@@ -40,6 +40,9 @@ AUDIT_COLUMNS = ("load_ts", "batch_id")
 # measured in the census, never guessed.
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 
+# A hot key holds more than one row in this many; so there are never more hot keys than that.
+HOT_KEY_SHARE = 50_000
+
 DIFF_SCHEMA = T.StructType([
     T.StructField("primary_key_value", T.StringType()),
     T.StructField("column_name", T.StringType()),
@@ -285,36 +288,60 @@ def _run_census(pair: _Pair, hashed: bool):
     return findings, counts
 
 
-def _sized(keys: DataFrame, size: int) -> DataFrame:
-    """Broadcast hint when the measured size allows it; else a shuffle join."""
-    return F.broadcast(keys) if size <= BROADCAST_KEY_BYTES else keys
-
-
 def _keys_with(findings: DataFrame, pair: _Pair, kind: str) -> DataFrame:
     return findings.filter(F.col("status") == kind).select(*pair.key_names)
 
 
-def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
-    diff = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
-    if counts["mismatched_rows"]:
-        changed = _sized(_keys_with(findings, pair, MISMATCH), counts["mismatch_bytes"])
-        sides = []
-        for left in (True, False):
-            rows = pair.wide(left)
-            sides.append(rows.join(changed, pair.on(rows, changed), "left_semi"))
-        both = _inner(pair, *sides).withColumn("status", F.lit(MISMATCH))
-        diff = diff.unionByName(pair.diff_rows(both))
-    return written(diff, "diff")
+def _without_hot_keys(pair: _Pair, rows: DataFrame, findings: DataFrame, counts: dict) -> DataFrame:
+    """Drop rows of hot repeated keys before a shuffle, which would put each into one task.
 
+    There are at most ``HOT_KEY_SHARE`` of them and their size is measured, so
+    they are broadcast.  Rows of repeated keys are not compared in any case.
+    """
+    if not counts["duplicate_keys"]:
+        return rows
+    least = (counts["source_rows"] + counts["target_rows"]) // HOT_KEY_SHARE
+    hot = findings.filter(
+        (F.col("status") == DUPLICATE) & (F.col("expected_rows") + F.col("actual_rows") > least)
+    )
+    size = hot.agg(F.coalesce(F.sum(pair.key_bytes()), F.lit(0))).first()[0]
+    if size == 0 or size > BROADCAST_KEY_BYTES:
+        return rows
+    hot = F.broadcast(hot.select(*pair.key_names))
+    return rows.join(hot, pair.on(rows, hot), "left_anti")
 
-def _unique(pair: _Pair, rows: DataFrame, findings: DataFrame | None, counts: dict) -> DataFrame:
+
+def _only_changed(pair: _Pair, rows: DataFrame, findings: DataFrame, counts: dict) -> DataFrame:
+    """Rows with a changed key: filtered in place by broadcast keys while those are small."""
+    changed = _keys_with(findings, pair, MISMATCH)
+    if counts["mismatch_bytes"] <= BROADCAST_KEY_BYTES:
+        changed = F.broadcast(changed)
+    else:
+        rows = _without_hot_keys(pair, rows, findings, counts)
+    return rows.join(changed, pair.on(rows, changed), "left_semi")
+
+
+def _unique(pair: _Pair, rows: DataFrame, findings: DataFrame, counts: dict) -> DataFrame:
     """Rows whose key is unique on both sides."""
     if not counts["duplicate_keys"]:
         return rows
-    repeated = _sized(_keys_with(findings, pair, DUPLICATE), counts["duplicate_bytes"])
+    repeated = _keys_with(findings, pair, DUPLICATE)
+    if counts["duplicate_bytes"] <= BROADCAST_KEY_BYTES:
+        repeated = F.broadcast(repeated)
+    else:
+        rows = _without_hot_keys(pair, rows, findings, counts)
     return rows.join(repeated, pair.on(rows, repeated), "left_anti")
 
 
+def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
+    diff = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
+    if counts["mismatched_rows"]:
+        left, right = (_only_changed(pair, pair.wide(side), findings, counts) for side in (True, False))
+        both = _inner(pair, left, right).withColumn("status", F.lit(MISMATCH))
+        diff = diff.unionByName(pair.diff_rows(both))
+    return written(diff, "diff")
+
+
 def _inner(pair: _Pair, left: DataFrame, right: DataFrame) -> DataFrame:
     return left.join(right, pair.on(left, right), "inner").select(
         *[left[k] for k in pair.key_names],

@@ -20,6 +20,5 @@ def upsert(target: DataFrame, changes: DataFrame, keys, *, check_unique: bool =
         raise ValueError(f"columns differ: {target.columns} and {changes.columns}")
     if check_unique and not repeated_keys(changes, keys).isEmpty():
         raise DuplicateKeyError(f"the changes hold several rows for one key of {keys}")
-    # repeated keys on the right side would add nothing to the anti join but shuffle volume
-    kept = target.join(changes.select(*keys).distinct(), keys, "left_anti")
+    kept = target.join(changes.select(*keys), keys, "left_anti")
     return kept.select(*target.columns).unionByName(changes)

@@ -246,7 +246,7 @@ def fill_empty_text(spark, sf_dir):
 select o_orderkey, o_orderkey % 2 = 1 as odd, rtrim(o_orderpriority || '  ') as priority,
        case when o_orderstatus = 'P' then null else strftime(o_orderdate, '%Y-%m-%d') end as day,
        case when o_orderstatus <> 'P' then o_orderdate end as at, strftime(o_orderdate, '%H:%M:%S') as clock,
-       year(o_orderdate) as yr, cast(cast(o_totalprice as decimal(12,1)) as double) as price
+       cast(year(o_orderdate) as integer) as yr, cast(cast(o_totalprice as decimal(12,1)) as double) as price
 from orders""")
 def dialect_coercion(spark, sf_dir):
     """Values of one database as another takes them: flags, padding, zero dates, times, years, decimals."""
@@ -347,7 +347,7 @@ def scalar_numeric_rules(spark, sf_dir):
 @query("""
 select event_id, strftime(ts, '%H:%M:%S') as clock, strftime(ts, '%Y-%m-%d') as day,
        case when event_type = 'error' then null else strftime(ts, '%Y-%m-%d') end as kept,
-       ts >= timestamp '2024-01-02 00:00:00' as is_later, year(ts) as yr
+       ts >= timestamp '2024-01-02 00:00:00' as is_later, cast(year(ts) as integer) as yr
 from events""")
 def scalar_date_rules(spark, sf_dir):
     columns = ("event_id", "ts", "user_id", "event_type", "value", "props")
