@@ -60,8 +60,34 @@ def clean_string(value: Column) -> Column:
     return F.when(is_word, folded).otherwise(trimmed)
 
 
-def _as_decimal(value: Column, scale: int) -> Column:
-    return value.try_cast(T.DecimalType(MAX_PRECISION, scale))
+def _as_decimal(value: Column, scale: int, precision: int = MAX_PRECISION) -> Column:
+    return value.try_cast(T.DecimalType(precision, scale))
+
+
+def rounded_double(value: Column, scale: int) -> Column:
+    """``value`` as double, rounded half up by its decimal digits, without building a decimal
+    for almost any value.
+
+    Scaling by a power of ten is off by less than 0.04 while the result is
+    below 2**47, so the nearest integer is the rounded one unless the fraction
+    is close to a half; dividing two exact numbers then gives the double
+    nearest to the rounded decimal.  All other values go through a decimal.
+    """
+    scaled = value * F.lit(float(10**scale))
+    nearest = F.rint(scaled)
+    is_clear = (F.abs(scaled) < F.lit(float(2**47))) & (F.abs(scaled - nearest) <= F.lit(0.45))
+    exact = F.coalesce(_as_decimal(value, scale).cast("double"), value)
+    return F.when(is_clear, nearest / F.lit(float(10**scale))).otherwise(exact)
+
+
+# Decimal digits that an integral type can have.
+_DIGITS = ((T.ByteType, 3), (T.ShortType, 5), (T.IntegerType, 10), (T.LongType, 19))
+
+
+def _whole_digits(dtype: T.DataType) -> int:
+    if isinstance(dtype, T.DecimalType):
+        return dtype.precision - dtype.scale
+    return next(n for kind, n in _DIGITS if isinstance(dtype, kind))
 
 
 @dataclass(frozen=True)
@@ -89,6 +115,8 @@ class Comparable:
         if isinstance(dtype, _NUMERIC):
             if isinstance(dtype, _INTEGRAL) and self.scale == 0:
                 return value.cast("string")
+            if isinstance(dtype, T.FloatType):
+                value = value.cast("double")
             # NaN, infinities and values too wide for the decimal keep their own text,
             # so that a null never stands for a value
             return F.coalesce(_as_decimal(value, self.scale).cast("string"), value.cast("string"))
@@ -121,6 +149,12 @@ class Comparable:
         """
         if _both(self.left, self.right, _INTEGRAL):
             return [value.cast("bigint"), value.isNull()]
+        if _both(self.left, self.right, _FLOATING):
+            return [rounded_double(value.cast("double"), self.scale), value.isNull()]
+        if _both(self.left, self.right, _INTEGRAL + (T.DecimalType,)):
+            digits = max(_whole_digits(self.left), _whole_digits(self.right)) + self.scale
+            if digits <= MAX_PRECISION:
+                return [_as_decimal(value, self.scale, digits), value.isNull()]
         if _both(self.left, self.right, _NUMERIC):
             exact = _as_decimal(value, self.scale)
             return [exact, F.when(exact.isNull(), value.cast("string")), value.isNull()]

@@ -165,14 +165,13 @@ class _Pair:
         The cells of a row are put in one array and the equal ones dropped
         before it is exploded.
         """
-        entries = F.array(*[self._cell(c) for c in self.columns]) if self.columns else None
-        cells = F.filter(entries, lambda x: x.isNotNull()) if self.columns else F.array()
         status = F.col("status")
-        per_row = (
-            F.when(status == MISSING, F.array(_marker(MISSING)))
-            .when(status == EXTRA, F.array(_marker(EXTRA)))
-            .when(status == MISMATCH, cells if self.columns else F.lit(None))
+        per_row = F.when(status == MISSING, F.array(_marker(MISSING))).when(
+            status == EXTRA, F.array(_marker(EXTRA))
         )
+        if self.columns:
+            cells = F.array(*[self._cell(c) for c in self.columns])
+            per_row = per_row.when(status == MISMATCH, F.filter(cells, lambda cell: cell.isNotNull()))
         return self._labelled(rows.select(*self.key_names, "status", F.explode(per_row).alias("cell")))
 
     def marker_rows(self, rows: DataFrame) -> DataFrame:

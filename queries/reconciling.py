@@ -11,7 +11,7 @@ from evenkeel.operators.report import diff_by_column, diff_by_type, write_report
 from evenkeel.plans.check import Side, run
 from evenkeel.plans.mapping import apply_mapping, extract, target_extract
 from evenkeel.plans.spec import ColumnRule, JoinDef, SourceColumn, TableSpec
-from evenkeel.sources.files import read_csv
+from evenkeel.sources.files import load_snapshot, read_csv
 from evenkeel.sources.workspace import new_table_path
 from queries.registry import (
     LOADED_ORDERS,
@@ -95,14 +95,16 @@ def flagship(spark, sf_dir):
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("revenue"),
         F.count(F.lit(1)).alias("lines"),
     )
-    expected = apply_mapping(extract(LINE_SPEC, {"line_totals": totals, "orders": orders, "part": part}), LINE_SPEC)
+    extracted = extract(LINE_SPEC, {"line_totals": totals, "orders": orders, "part": part})
+    saved = new_table_path(spark, "expected")
+    run(spark, Side(extracted, transform=lambda df: apply_mapping(df, LINE_SPEC), save_to=saved), None)
     key = F.col("order_id")
-    loaded = expected.filter(key % 97 != 0).withColumns({
+    loaded = load_snapshot(spark, saved).filter(key % 97 != 0).withColumns({
         "quantity": F.when(key % 89 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")),
         "status": F.when(key % 83 != 0, F.col("status")),
         "batch_id": F.lit("B7"),
     })
-    return reconcile(expected, target_extract(LINE_SPEC, loaded), LINE_SPEC.target_keys)
+    return run(spark, Side(saved), Side(target_extract(LINE_SPEC, loaded)), LINE_SPEC.target_keys)
 
 
 _FACT_COLUMNS = ("customer_id", "returned", "quantity", "revenue", "product", "status")
