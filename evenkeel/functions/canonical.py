@@ -1,17 +1,15 @@
 """Canonical values: what "the same value" means across two systems.
 
 Both sides of a comparison may hold a column in different types (a double on
-one side, a decimal on the other).  Every rule here is a plain ``Column``
-expression chosen on the driver from the two schemas, so the work stays in
-generated code and no data is looked at to plan it.
+one side, a decimal on the other).  The rules are chosen on the driver from the
+two schemas and written as SQL expressions, so the work stays in generated code
+and a table of several hundred columns is still planned in a moment.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # Places kept for a float column when no side declares a scale,
@@ -24,6 +22,19 @@ _FLOATING = (T.FloatType, T.DoubleType)
 _NUMERIC = _INTEGRAL + _FLOATING + (T.DecimalType,)
 _TIMES = (T.TimestampType, T.TimestampNTZType)
 
+# Decimal digits that an integral type can have.
+_DIGITS = ((T.ByteType, 3), (T.ShortType, 5), (T.IntegerType, 10), (T.LongType, 19))
+
+
+def quoted(name: str) -> str:
+    """A column name as SQL."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def literal(text: str) -> str:
+    """A string as SQL."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
 def _both(left: T.DataType, right: T.DataType, kinds) -> bool:
     return isinstance(left, kinds) and isinstance(right, kinds)
@@ -49,23 +60,22 @@ def precision_map(left: T.StructType, right: T.StructType, columns) -> dict[str,
     }
 
 
-def clean_string(value: Column) -> Column:
+def clean_string(value: str) -> str:
     """Trim blanks, then fold the words true/false to lower case.
 
     The length test keeps ``lower`` away from almost every value.
     """
-    trimmed = F.trim(value)
-    folded = F.lower(trimmed)
-    is_word = F.octet_length(trimmed).between(4, 5) & folded.isin("true", "false")
-    return F.when(is_word, folded).otherwise(trimmed)
+    trimmed = f"trim({value})"
+    is_word = f"octet_length({trimmed}) between 4 and 5 and lower({trimmed}) in ('true', 'false')"
+    return f"if({is_word}, lower({trimmed}), {trimmed})"
 
 
-def _as_decimal(value: Column, scale: int, precision: int = MAX_PRECISION) -> Column:
-    return value.try_cast(T.DecimalType(precision, scale))
+def _as_decimal(value: str, scale: int, precision: int = MAX_PRECISION) -> str:
+    return f"try_cast({value} as decimal({precision},{scale}))"
 
 
-def rounded_double(value: Column, scale: int) -> Column:
-    """``value`` as double, rounded half up by its decimal digits, without building a decimal
+def rounded_double(value: str, scale: int) -> str:
+    """A double rounded half up by its decimal digits, without building a decimal
     for almost any value.
 
     Scaling by a power of ten is off by less than 0.04 while the result is
@@ -73,15 +83,13 @@ def rounded_double(value: Column, scale: int) -> Column:
     is close to a half; dividing two exact numbers then gives the double
     nearest to the rounded decimal.  All other values go through a decimal.
     """
-    scaled = value * F.lit(float(10**scale))
-    nearest = F.rint(scaled)
-    is_clear = (F.abs(scaled) < F.lit(float(2**47))) & (F.abs(scaled - nearest) <= F.lit(0.45))
-    exact = F.coalesce(_as_decimal(value, scale).cast("double"), value)
-    return F.when(is_clear, nearest / F.lit(float(10**scale))).otherwise(exact)
-
-
-# Decimal digits that an integral type can have.
-_DIGITS = ((T.ByteType, 3), (T.ShortType, 5), (T.IntegerType, 10), (T.LongType, 19))
+    unit, limit = f"{10**scale}D", f"{2**47}D"
+    scaled = f"{value} * {unit}"
+    is_clear = (
+        f"{scaled} between -{limit} and {limit} and {scaled} - rint({scaled}) between -0.45D and 0.45D"
+    )
+    exact = f"cast({_as_decimal(value, scale)} as double)"
+    return f"coalesce(if({is_clear}, rint({scaled}) / {unit}, {exact}), {value})"
 
 
 def _whole_digits(dtype: T.DataType) -> int:
@@ -92,115 +100,113 @@ def _whole_digits(dtype: T.DataType) -> int:
 
 @dataclass(frozen=True)
 class Comparable:
-    """One column of a comparison with the types it has on both sides."""
+    """One column of a comparison with the types it has on both sides.
+
+    The methods take a value as SQL and give SQL; ``left`` says whose type it has.
+    """
 
     name: str
-    left: T.DataType
-    right: T.DataType
+    left_type: T.DataType
+    right_type: T.DataType
     coerce: bool = False
 
     @property
     def scale(self) -> int:
-        return scale_for(self.left, self.right)
+        return scale_for(self.left_type, self.right_type)
 
-    @property
-    def same_type(self) -> bool:
-        return self.left == self.right
+    def _are(self, kinds) -> bool:
+        return _both(self.left_type, self.right_type, kinds)
 
-    def text(self, value: Column, dtype: T.DataType) -> Column:
+    def text(self, value: str, left: bool) -> str:
         """Canonical string of ``value``; null stays null."""
-        other = self.right if dtype is self.left else self.left
+        dtype, other = (self.left_type, self.right_type) if left else (self.right_type, self.left_type)
         if self.coerce:
-            value, dtype = self._widen(value, dtype, other)
-        if isinstance(dtype, _NUMERIC):
-            if isinstance(dtype, _INTEGRAL) and self.scale == 0:
-                return value.cast("string")
-            if isinstance(dtype, T.FloatType):
-                value = value.cast("double")
-            # NaN, infinities and values too wide for the decimal keep their own text,
-            # so that a null never stands for a value
-            return F.coalesce(_as_decimal(value, self.scale).cast("string"), value.cast("string"))
+            if isinstance(dtype, T.StringType) and isinstance(other, _NUMERIC + _TIMES + (T.DateType,)):
+                return self._text_as(value, other)
+            if isinstance(dtype, T.DateType) and isinstance(other, _TIMES + (T.StringType,)):
+                return f"cast(cast({value} as timestamp_ntz) as string)"
+            if isinstance(dtype, T.BooleanType) and isinstance(other, _NUMERIC):
+                value, dtype = f"cast({value} as int)", T.IntegerType()
         if isinstance(dtype, T.StringType):
             return clean_string(value)
-        return value.cast("string")
-
-    def _widen(self, value: Column, dtype: T.DataType, other: T.DataType):
-        if isinstance(dtype, T.DateType) and isinstance(other, _TIMES + (T.StringType,)):
-            return value.cast("timestamp_ntz"), T.TimestampNTZType()
-        if isinstance(dtype, T.BooleanType) and isinstance(other, _NUMERIC):
-            return value.cast("int"), T.IntegerType()
-        if isinstance(dtype, T.StringType):
-            wanted = None
-            if isinstance(other, _NUMERIC):
-                wanted = "bigint" if self.scale == 0 else f"decimal({MAX_PRECISION},{self.scale})"
-            elif isinstance(other, _TIMES + (T.DateType,)):
-                wanted = "timestamp_ntz"
-            if wanted:
-                cleaned = clean_string(value)
-                return F.coalesce(cleaned.try_cast(wanted).cast("string"), cleaned), dtype
-        return value, dtype
-
-    def hash_inputs(self, value: Column, dtype: T.DataType) -> list[Column]:
+        if isinstance(dtype, _INTEGRAL) and self.scale == 0 or not isinstance(dtype, _NUMERIC):
+            return f"cast({value} as string)"
+        if isinstance(dtype, T.FloatType):
+            value = f"cast({value} as double)"
+        # NaN, infinities and values too wide for the decimal keep their own text,
+        # so that a null never stands for a value
+        return f"coalesce(cast({_as_decimal(value, self.scale)} as string), cast({value} as string))"
+
+    def _text_as(self, value: str, other: T.DataType) -> str:
+        """Text read by the type of the other side; text that does not fit stays as it is."""
+        cleaned = clean_string(value)
+        if isinstance(other, _NUMERIC):
+            wanted = "bigint" if self.scale == 0 else f"decimal({MAX_PRECISION},{self.scale})"
+        else:
+            wanted = "timestamp_ntz"
+        return f"coalesce(cast(try_cast({cleaned} as {wanted}) as string), {cleaned})"
+
+    def hash_inputs(self, value: str, left: bool) -> list[str]:
         """Values to hash: equal on two sides exactly when the canonical text is equal.
 
         Where both sides have the same kind of type the typed value is hashed
         and no text is built.  A null flag follows the value because a hash
         skips nulls, so (null, x) and (x, null) would otherwise agree.
         """
-        if _both(self.left, self.right, _INTEGRAL):
-            return [value.cast("bigint"), value.isNull()]
-        if _both(self.left, self.right, _FLOATING):
-            return [rounded_double(value.cast("double"), self.scale), value.isNull()]
-        if _both(self.left, self.right, _INTEGRAL + (T.DecimalType,)):
-            digits = max(_whole_digits(self.left), _whole_digits(self.right)) + self.scale
+        flag = f"{value} is null"
+        if self._are(_INTEGRAL):
+            return [f"cast({value} as bigint)", flag]
+        if self._are(_FLOATING):
+            return [rounded_double(f"cast({value} as double)", self.scale), flag]
+        if self._are(_INTEGRAL + (T.DecimalType,)):
+            digits = max(_whole_digits(self.left_type), _whole_digits(self.right_type)) + self.scale
             if digits <= MAX_PRECISION:
-                return [_as_decimal(value, self.scale, digits), value.isNull()]
-        if _both(self.left, self.right, _NUMERIC):
+                return [_as_decimal(value, self.scale, digits), flag]
+        if self._are(_NUMERIC):
             exact = _as_decimal(value, self.scale)
-            return [exact, F.when(exact.isNull(), value.cast("string")), value.isNull()]
-        if _both(self.left, self.right, (T.BooleanType,)) or _both(self.left, self.right, (T.DateType,)):
-            return [value, value.isNull()]
-        if _both(self.left, self.right, _TIMES):
-            return [value.cast("timestamp_ntz"), value.isNull()]
-        text = self.text(value, dtype)
-        return [text, text.isNull()]
-
-    def differs(self, left: Column, right: Column) -> Column:
+            return [exact, f"if({exact} is null, cast({value} as string), null)", flag]
+        if self._are((T.BooleanType,)) or self._are((T.DateType,)):
+            return [value, flag]
+        if self._are(_TIMES):
+            return [f"cast({value} as timestamp_ntz)", flag]
+        return [self.text(value, left), flag]
+
+    def differs(self, left: str, right: str) -> str:
         """Null-safe inequality of the canonical values.
 
         Raw values that are equal in the same type are equal in canonical form
         too, so the text is only built for the rows where they are not.
         """
-        text_differs = ~self.text(left, self.left).eqNullSafe(self.text(right, self.right))
-        if not self.same_type:
-            return text_differs
-        raw_differs = ~left.eqNullSafe(right)
-        if isinstance(self.left, _INTEGRAL + (T.BooleanType, T.DateType)):
-            return raw_differs
-        return raw_differs & text_differs
-
-    def key(self, value: Column, dtype: T.DataType) -> Column:
+        text_differs = f"not ({self.text(left, True)} <=> {self.text(right, False)})"
+        if self.left_type != self.right_type:
+            return f"({text_differs})"
+        raw_differs = f"not ({left} <=> {right})"
+        if self._are(_INTEGRAL + (T.BooleanType, T.DateType)):
+            return f"({raw_differs})"
+        return f"({raw_differs} and {text_differs})"
+
+    def key(self, value: str, left: bool) -> str:
         """Join and grouping value: typed where the types allow it, never rounded."""
-        if _both(self.left, self.right, _INTEGRAL):
-            return value.cast("bigint")
-        if _both(self.left, self.right, _NUMERIC) and (
-            isinstance(self.left, _FLOATING) or isinstance(self.right, _FLOATING)
+        if self._are(_INTEGRAL):
+            return f"cast({value} as bigint)"
+        if self._are(_NUMERIC) and (
+            isinstance(self.left_type, _FLOATING) or isinstance(self.right_type, _FLOATING)
         ):
-            return (value.cast("double") + F.lit(0.0)).cast("string")
-        if _both(self.left, self.right, (T.BooleanType,)) or _both(self.left, self.right, (T.DateType,)):
+            return f"cast(cast({value} as double) + 0D as string)"
+        if self._are((T.BooleanType,)) or self._are((T.DateType,)):
             return value
-        if _both(self.left, self.right, _TIMES):
-            return value.cast("timestamp_ntz")
-        return self.text(value, dtype)
+        if self._are(_TIMES):
+            return f"cast({value} as timestamp_ntz)"
+        return self.text(value, left)
 
 
 def comparables(left: T.StructType, right: T.StructType, columns, coerce: bool = False) -> list[Comparable]:
     return [Comparable(c, left[c].dataType, right[c].dataType, coerce) for c in columns]
 
 
-def key_text(keys: list[Column]) -> Column:
-    """Printable key; a null piece is written as an empty one."""
-    return F.concat_ws("|", *[F.coalesce(k.cast("string"), F.lit("")) for k in keys])
+def key_text(keys) -> str:
+    """Printable key as SQL; a null piece is written as an empty one."""
+    return "concat_ws('|', " + ", ".join(f"coalesce(cast({quoted(k)} as string), '')" for k in keys) + ")"
 
 
 def fold_names(df):
@@ -219,12 +225,10 @@ def normalise(df, columns, against=None):
     normalised by its own types.
     """
     df = fold_names(df)
-    other = fold_names_schema(against) if against is not None else df.schema
-    return df.select(
-        *[c.text(F.col(c.name), c.left).alias(c.name)
-          for c in comparables(df.schema, other, [x.lower() for x in columns])]
-    )
+    other = fold_schema(against) if against is not None else df.schema
+    pairs = comparables(df.schema, other, [c.lower() for c in columns])
+    return df.selectExpr(*[f"{c.text(quoted(c.name), True)} as {quoted(c.name)}" for c in pairs])
 
 
-def fold_names_schema(schema: T.StructType) -> T.StructType:
+def fold_schema(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name.lower(), f.dataType, f.nullable) for f in schema])

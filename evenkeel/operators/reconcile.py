@@ -7,10 +7,12 @@ Three strategies give the same result:
            extra, changed and duplicate keys; only the changed rows are fetched
            again to name the cells.
 ``exact``  full outer join of the whole rows, no hash.
-``anti``   two left anti joins on the keys and one inner join of the rows.
+``anti``   one-sided keys from the census, then an inner join of the rows; Spark
+           can broadcast a small side of it, which no full outer join allows.
 
 All three start from the *key census*: rows per key on each side, counted with
-map-side partial aggregation.  A key that holds a third of a table is one row
+map-side partial aggregation.  It does the work of anti joins in both
+directions with one shuffle.  A key that holds a third of a table is one row
 per map task after that, and duplicate keys are known before any join, so no
 join here can fan out or put a hot key into one task.
 """
@@ -18,13 +20,13 @@ join here can fan out or put a hot key into one task.
 from __future__ import annotations
 
 from functools import cached_property, reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.functions.canonical import comparables, fold_names, key_text
+from evenkeel.functions.canonical import comparables, fold_names, key_text, literal, quoted
 from evenkeel.sources.workspace import new_table_path, written
 
 MISSING = "MISSING_IN_TARGET"
@@ -82,32 +84,20 @@ class _Pair:
         self._keys = comparables(self.expected.schema, self.actual.schema, keys, coerce)
         self.key_names = [f"_k{i}" for i in range(len(keys))]
 
-    def _key_columns(self, left: bool) -> list[Column]:
-        return [
-            k.key(F.col(k.name), k.left if left else k.right).alias(n)
-            for k, n in zip(self._keys, self.key_names)
-        ]
+    def _side(self, left: bool) -> DataFrame:
+        return self.expected if left else self.actual
+
+    def _key_columns(self, left: bool) -> list[str]:
+        return [f"{k.key(quoted(k.name), left)} as {n}" for k, n in zip(self._keys, self.key_names)]
 
     def wide(self, left: bool) -> DataFrame:
         """Keys and raw compare columns; values are made canonical after the join."""
-        prefix = "e_" if left else "a_"
-        df = self.expected if left else self.actual
-        return df.select(
-            *self._key_columns(left),
-            *[F.col(c.name).alias(prefix + c.name) for c in self.columns],
-        )
-
-    def keys_only(self, left: bool) -> DataFrame:
-        df = self.expected if left else self.actual
-        return df.select(*self._key_columns(left))
+        raw = [f"{quoted(c.name)} as {_side_column(c, left)}" for c in self.columns]
+        return self._side(left).selectExpr(*self._key_columns(left), *raw)
 
-    def _row_hashes(self, left: bool) -> list[Column]:
-        inputs = [
-            part
-            for c in self.columns
-            for part in c.hash_inputs(F.col(c.name), c.left if left else c.right)
-        ]
-        return [F.xxhash64(F.lit(seed), *inputs).alias(f"_h{seed}") for seed in (0, 1)]
+    def _row_hashes(self, left: bool) -> list[str]:
+        inputs = ", ".join(part for c in self.columns for part in c.hash_inputs(quoted(c.name), left))
+        return [f"xxhash64({seed}, {inputs}) as _h{seed}" for seed in (0, 1)]
 
     def census(self, hashed: bool) -> DataFrame:
         """One row per key: rows on each side and, if hashed, whether the rows differ.
@@ -119,13 +109,9 @@ class _Pair:
         hashed = hashed and bool(self.columns)
 
         def side(left: bool) -> DataFrame:
-            df = self.expected if left else self.actual
-            return df.select(
-                *self._key_columns(left),
-                F.lit(int(left)).cast("bigint").alias("_e"),
-                F.lit(int(not left)).cast("bigint").alias("_a"),
-                *(self._row_hashes(left) if hashed else []),
-            )
+            counters = [f"{int(left)}L as _e", f"{int(not left)}L as _a"]
+            hashes = self._row_hashes(left) if hashed else []
+            return self._side(left).selectExpr(*self._key_columns(left), *counters, *hashes)
 
         differs = [F.bit_xor(h).alias(h) for h in ("_h0", "_h1")] if hashed else []
         counted = side(True).unionAll(side(False)).groupBy(*self.key_names).agg(
@@ -146,17 +132,12 @@ class _Pair:
 
     def key_bytes(self) -> Column:
         """Size of one key row as text plus fixed overhead; an upper bound for a hash relation."""
-        return reduce(
-            lambda a, b: a + b,
-            [F.coalesce(F.octet_length(F.col(k).cast("string")), F.lit(0)) + 64 for k in self.key_names],
-        ).cast("bigint")
-
-    def _cell(self, c) -> Column:
-        expected, actual = F.col("e_" + c.name), F.col("a_" + c.name)
-        return F.when(
-            c.differs(expected, actual),
-            _diff_struct(F.lit(c.name), c.text(expected, c.left), c.text(actual, c.right)),
-        )
+        sizes = [f"coalesce(octet_length(cast({k} as string)), 0) + 64L" for k in self.key_names]
+        return F.expr(" + ".join(sizes))
+
+    def any_cell_differs(self) -> Column:
+        cells = [c.differs(_side_column(c, True), _side_column(c, False)) for c in self.columns]
+        return F.expr(" or ".join(cells) or "false")
 
     def diff_rows(self, rows: DataFrame) -> DataFrame:
         """Diff table of joined rows with a ``status``: one marker per missing or
@@ -165,43 +146,43 @@ class _Pair:
         The cells of a row are put in one array and the equal ones dropped
         before it is exploded.
         """
-        status = F.col("status")
-        per_row = F.when(status == MISSING, F.array(_marker(MISSING))).when(
-            status == EXTRA, F.array(_marker(EXTRA))
-        )
+        cases = [f"when status = '{k}' then array({_marker(k)})" for k in (MISSING, EXTRA)]
         if self.columns:
-            cells = F.array(*[self._cell(c) for c in self.columns])
-            per_row = per_row.when(status == MISMATCH, F.filter(cells, lambda cell: cell.isNotNull()))
-        return self._labelled(rows.select(*self.key_names, "status", F.explode(per_row).alias("cell")))
+            cells = ", ".join(self._cell(c) for c in self.columns)
+            cases.append(f"when status = '{MISMATCH}' then filter(array({cells}), cell -> cell is not null)")
+        exploded = rows.selectExpr(*self.key_names, "status", f"explode(case {' '.join(cases)} end) as cell")
+        return self._labelled(exploded)
+
+    def _cell(self, c) -> str:
+        expected, actual = _side_column(c, True), _side_column(c, False)
+        entry = _diff_struct(literal(c.name), c.text(expected, True), c.text(actual, False))
+        return f"if({c.differs(expected, actual)}, {entry}, null)"
 
     def marker_rows(self, rows: DataFrame) -> DataFrame:
         """The same for key rows that are all missing or extra."""
-        entry = F.when(F.col("status") == MISSING, _marker(MISSING)).otherwise(_marker(EXTRA))
-        return self._labelled(rows.select(*self.key_names, "status", entry.alias("cell")))
+        entry = f"if(status = '{MISSING}', {_marker(MISSING)}, {_marker(EXTRA)}) as cell"
+        return self._labelled(rows.selectExpr(*self.key_names, "status", entry))
 
     def _labelled(self, rows: DataFrame) -> DataFrame:
-        return rows.select(
-            key_text([F.col(k) for k in self.key_names]).alias("primary_key_value"),
+        return rows.selectExpr(
+            f"{key_text(self.key_names)} as primary_key_value",
             "cell.column_name",
             "cell.expected_value",
             "cell.actual_value",
-            F.col("status").alias("diff_type"),
+            "status as diff_type",
         )
 
-    def any_cell_differs(self) -> Column:
-        return reduce(
-            or_, [c.differs(F.col("e_" + c.name), F.col("a_" + c.name)) for c in self.columns], F.lit(False)
-        )
 
+def _side_column(c, left: bool) -> str:
+    return quoted(("e_" if left else "a_") + c.name)
 
-def _diff_struct(column: Column, expected: Column, actual: Column) -> Column:
-    return F.struct(
-        column.alias("column_name"), expected.alias("expected_value"), actual.alias("actual_value")
-    )
 
+def _diff_struct(column: str, expected: str, actual: str) -> str:
+    return f"named_struct('column_name', {column}, 'expected_value', {expected}, 'actual_value', {actual})"
 
-def _marker(kind: str) -> Column:
-    return _diff_struct(*[F.lit(v) for v in _ROW_MARKERS[kind]])
+
+def _marker(kind: str) -> str:
+    return _diff_struct(*[literal(v) for v in _ROW_MARKERS[kind]])
 
 
 class Reconciliation:
@@ -336,17 +317,19 @@ def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
     diff = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
     if counts["mismatched_rows"]:
         left, right = (_only_changed(pair, pair.wide(side), findings, counts) for side in (True, False))
-        both = _inner(pair, left, right).withColumn("status", F.lit(MISMATCH))
+        both = _joined(pair, left, right, "inner").withColumn("status", F.lit(MISMATCH))
         diff = diff.unionByName(pair.diff_rows(both))
     return written(diff, "diff")
 
 
-def _inner(pair: _Pair, left: DataFrame, right: DataFrame) -> DataFrame:
-    return left.join(right, pair.on(left, right), "inner").select(
-        *[left[k] for k in pair.key_names],
-        *[left["e_" + c.name] for c in pair.columns],
-        *[right["a_" + c.name] for c in pair.columns],
-    )
+def _joined(pair: _Pair, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Both sides of each key in one row; the keys once."""
+    right = right.withColumnsRenamed({k: f"r{k}" for k in pair.key_names})
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"r{k}")) for k in pair.key_names])
+    joined = left.join(right, on, how)
+    if how == "full":
+        joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"r{k}")) for k in pair.key_names})
+    return joined.drop(*[f"r{k}" for k in pair.key_names])
 
 
 def _exact_diff(pair: _Pair, findings, counts):
@@ -358,12 +341,7 @@ def _exact_diff(pair: _Pair, findings, counts):
         .when(pair.any_cell_differs(), MISMATCH)
         .otherwise(MATCH)
     )
-    joined = left.join(right, pair.on(left, right), "full").select(
-        *[F.coalesce(left[k], right[k]).alias(k) for k in pair.key_names],
-        *[left["e_" + c.name] for c in pair.columns],
-        *[right["a_" + c.name] for c in pair.columns],
-        status.alias("status"),
-    )
+    joined = _joined(pair, left, right, "full").withColumn("status", status)
     return _write_observed(
         joined,
         lambda rows: pair.diff_rows(rows.filter(F.col("status") != MATCH)),
@@ -376,17 +354,8 @@ def _exact_diff(pair: _Pair, findings, counts):
 
 
 def _anti_diff(pair: _Pair, findings, counts):
-    def keys(left):
-        return _unique(pair, pair.keys_only(left), findings, counts)
-
-    def rows(left):
-        return _unique(pair, pair.wide(left), findings, counts)
-
-    def absent(left, status):
-        mine, theirs = keys(left), keys(not left)
-        return mine.join(theirs, pair.on(mine, theirs), "left_anti").withColumn("status", F.lit(status))
-
-    both = _inner(pair, rows(True), rows(False)).withColumn(
+    left, right = (_unique(pair, pair.wide(side), findings, counts) for side in (True, False))
+    both = _joined(pair, left, right, "inner").withColumn(
         "status", F.when(pair.any_cell_differs(), MISMATCH).otherwise(MATCH)
     )
     cells, observed = _write_observed(
@@ -396,7 +365,7 @@ def _anti_diff(pair: _Pair, findings, counts):
         mismatched_rows=F.count_if(F.col("status") == MISMATCH),
         matched_rows=F.count_if(F.col("status") == MATCH),
     )
-    one_sided = absent(True, MISSING).unionByName(absent(False, EXTRA))
+    one_sided = findings.filter(F.col("status").isin(MISSING, EXTRA))
     return pair.marker_rows(one_sided).unionByName(cells), observed
 
 
@@ -458,7 +427,7 @@ def _duplicate_report(pair: _Pair, findings: DataFrame) -> DataFrame:
     """One row per repeated key with the number of rows on each side."""
     in_e, in_a = F.col("expected_rows") > 1, F.col("actual_rows") > 1
     return findings.filter(F.col("status") == DUPLICATE).select(
-        key_text([F.col(k) for k in pair.key_names]).alias("primary_key_value"),
+        F.expr(key_text(pair.key_names)).alias("primary_key_value"),
         "expected_rows",
         "actual_rows",
         F.when(in_e & in_a, "DUPLICATE_KEY_IN_BOTH")

@@ -135,4 +135,4 @@ def test_fast_rounding_equals_decimal_rounding(spark):
     for value in values:
         x = F.col("x")
         slow = F.coalesce(x.try_cast("decimal(38,6)").cast("double"), x)
-        assert r.select(value.alias("x")).filter(~rounded_double(x, 6).eqNullSafe(slow)).count() == 0
+        assert r.select(value.alias("x")).filter(~F.expr(rounded_double("x", 6)).eqNullSafe(slow)).count() == 0
