@@ -95,9 +95,19 @@ class _Pair:
         raw = [f"{quoted(c.name)} as {_side_column(c, left)}" for c in self.columns]
         return self._side(left).selectExpr(*self._key_columns(left), *raw)
 
-    def _row_hashes(self, left: bool) -> list[str]:
-        inputs = ", ".join(part for c in self.columns for part in c.hash_inputs(quoted(c.name), left))
-        return [f"xxhash64({seed}, {inputs}) as _h{seed}" for seed in (0, 1)]
+    def _hashed(self, left: bool, counters: list[str]) -> DataFrame:
+        """Keys, counters and a 128-bit row hash.
+
+        The values to hash are projected first: the optimizer keeps them apart
+        because both hashes use them, so each is made canonical once.
+        """
+        inputs = [part for c in self.columns for part in c.hash_inputs(quoted(c.name), left)]
+        names = [f"_v{i}" for i in range(len(inputs))]
+        values = self._side(left).selectExpr(
+            *self._key_columns(left), *[f"{v} as {n}" for v, n in zip(inputs, names)]
+        )
+        hashes = [f"xxhash64({seed}, {', '.join(names)}) as _h{seed}" for seed in (0, 1)]
+        return values.selectExpr(*self.key_names, *counters, *hashes)
 
     def census(self, hashed: bool) -> DataFrame:
         """One row per key: rows on each side and, if hashed, whether the rows differ.
@@ -110,8 +120,9 @@ class _Pair:
 
         def side(left: bool) -> DataFrame:
             counters = [f"{int(left)}L as _e", f"{int(not left)}L as _a"]
-            hashes = self._row_hashes(left) if hashed else []
-            return self._side(left).selectExpr(*self._key_columns(left), *counters, *hashes)
+            if hashed:
+                return self._hashed(left, counters)
+            return self._side(left).selectExpr(*self._key_columns(left), *counters)
 
         differs = [F.bit_xor(h).alias(h) for h in ("_h0", "_h1")] if hashed else []
         counted = side(True).unionAll(side(False)).groupBy(*self.key_names).agg(
