@@ -22,12 +22,12 @@ from __future__ import annotations
 from functools import cached_property, reduce
 from operator import and_
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.canonical import comparables, fold_names, key_text, literal, quoted
-from evenkeel.sources.workspace import new_table_path, written
+from evenkeel.sources.workspace import written
 
 MISSING = "MISSING_IN_TARGET"
 EXTRA = "EXTRA_IN_TARGET"
@@ -155,14 +155,14 @@ class _Pair:
         extra row, one row per differing cell of a changed row.
 
         The cells of a row are put in one array and the equal ones dropped
-        before it is exploded.
+        before it is exploded.  ``entry`` numbers the cells of a row from 0.
         """
         cases = [f"when status = '{k}' then array({_marker(k)})" for k in (MISSING, EXTRA)]
         if self.columns:
             cells = ", ".join(self._cell(c) for c in self.columns)
             cases.append(f"when status = '{MISMATCH}' then filter(array({cells}), cell -> cell is not null)")
-        exploded = rows.selectExpr(*self.key_names, "status", f"explode(case {' '.join(cases)} end) as cell")
-        return self._labelled(exploded)
+        entries = f"posexplode(case {' '.join(cases)} end) as (entry, cell)"
+        return self._labelled(rows.selectExpr(*self.key_names, "status", entries))
 
     def _cell(self, c) -> str:
         expected, actual = _side_column(c, True), _side_column(c, False)
@@ -172,7 +172,7 @@ class _Pair:
     def marker_rows(self, rows: DataFrame) -> DataFrame:
         """The same for key rows that are all missing or extra."""
         entry = f"if(status = '{MISSING}', {_marker(MISSING)}, {_marker(EXTRA)}) as cell"
-        return self._labelled(rows.selectExpr(*self.key_names, "status", entry))
+        return self._labelled(rows.selectExpr(*self.key_names, "status", "0 as entry", entry))
 
     def _labelled(self, rows: DataFrame) -> DataFrame:
         return rows.selectExpr(
@@ -181,6 +181,7 @@ class _Pair:
             "cell.expected_value",
             "cell.actual_value",
             "status as diff_type",
+            "entry",
         )
 
 
@@ -220,6 +221,11 @@ class Reconciliation:
     def total_diffs(self) -> int:
         return self.counts["total_diffs"]
 
+    @property
+    def cell_diffs(self) -> int:
+        """Number of differing cells, counted in the diff table."""
+        return self.diff.filter(F.col("diff_type") == MISMATCH).count()
+
     @property
     def passed(self) -> bool:
         return self.total_diffs == 0 and self.counts["duplicate_keys"] == 0
@@ -241,42 +247,48 @@ class Reconciliation:
         return self._spark.createDataFrame([(*[self.counts[n] for n in names], self.verdict)], schema)
 
 
-def _write_observed(rows: DataFrame, shape, name: str, **metrics: Column):
-    """Write ``shape(rows)`` and count all of ``rows`` in the same job.
-
-    ``shape`` adds no shuffle, so the metrics sit in the writing stage, where
-    Spark counts each task once even when tasks run again after a lost executor.
-    """
-    spark = rows.sparkSession
-    observation = Observation(name)
-    path = new_table_path(spark, name)
-    aggregates = [F.coalesce(m, F.lit(0)).cast("bigint").alias(k) for k, m in metrics.items()]
-    kept = shape(rows.observe(observation, *aggregates))
-    kept.write.parquet(path)
-    return spark.read.schema(kept.schema).parquet(path), dict(observation.get)
-
-
 def _run_census(pair: _Pair, hashed: bool):
-    status = F.col("status")
-
-    def size(kind):
-        return F.sum(F.when(status == kind, pair.key_bytes()))
+    """Write the keys that do not match and count the others.
 
-    findings, counts = _write_observed(
-        pair.census(hashed),
-        lambda census: census.filter(status != MATCH),
+    All matching keys are one group, which the partial aggregate folds to one
+    row per task; so the written table is as large as the findings, and the
+    counts are read from it.  Nothing depends on metrics that a busy driver or
+    a task run twice could get wrong.
+    """
+    census = pair.census(hashed)
+    keys = [F.when(F.col("status") != MATCH, F.col(k)).alias(k) for k in pair.key_names]
+    findings = written(
+        census.groupBy(*keys, "status").agg(
+            F.sum("expected_rows").alias("expected_rows"),
+            F.sum("actual_rows").alias("actual_rows"),
+            F.count(F.lit(1)).alias("keys"),
+        ),
         "findings",
-        source_rows=F.sum("expected_rows"),
-        target_rows=F.sum("actual_rows"),
-        missing_rows=F.count_if(status == MISSING),
-        extra_rows=F.count_if(status == EXTRA),
-        mismatched_rows=F.count_if(status == MISMATCH),
-        matched_rows=F.count_if(status == MATCH),
-        duplicate_keys=F.count_if(status == DUPLICATE),
-        mismatch_bytes=size(MISMATCH),
-        duplicate_bytes=size(DUPLICATE),
     )
-    return findings, counts
+    per_status = {
+        r.status: r
+        for r in findings.groupBy("status").agg(
+            F.sum("expected_rows").alias("expected_rows"),
+            F.sum("actual_rows").alias("actual_rows"),
+            F.sum("keys").alias("keys"),
+            F.sum(pair.key_bytes()).alias("bytes"),
+        ).collect()
+    }
+
+    def of(status, field):
+        return per_status[status][field] if status in per_status else 0
+
+    return findings, {
+        "source_rows": sum(r.expected_rows for r in per_status.values()),
+        "target_rows": sum(r.actual_rows for r in per_status.values()),
+        "matched_rows": of(MATCH, "keys"),
+        "missing_rows": of(MISSING, "keys"),
+        "extra_rows": of(EXTRA, "keys"),
+        "mismatched_rows": of(MISMATCH, "keys"),
+        "duplicate_keys": of(DUPLICATE, "keys"),
+        "mismatch_bytes": of(MISMATCH, "bytes"),
+        "duplicate_bytes": of(DUPLICATE, "bytes"),
+    }
 
 
 def _keys_with(findings: DataFrame, pair: _Pair, kind: str) -> DataFrame:
@@ -330,7 +342,7 @@ def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
         left, right = (_only_changed(pair, pair.wide(side), findings, counts) for side in (True, False))
         both = _joined(pair, left, right, "inner").withColumn("status", F.lit(MISMATCH))
         diff = diff.unionByName(pair.diff_rows(both))
-    return written(diff, "diff")
+    return written(diff, "diff").drop("entry")
 
 
 def _joined(pair: _Pair, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
@@ -343,7 +355,7 @@ def _joined(pair: _Pair, left: DataFrame, right: DataFrame, how: str) -> DataFra
     return joined.drop(*[f"r{k}" for k in pair.key_names])
 
 
-def _exact_diff(pair: _Pair, findings, counts):
+def _exact_diff(pair: _Pair, findings: DataFrame, counts: dict):
     left = _unique(pair, pair.wide(True), findings, counts).withColumn("_in_e", F.lit(True))
     right = _unique(pair, pair.wide(False), findings, counts).withColumn("_in_a", F.lit(True))
     status = (
@@ -352,32 +364,23 @@ def _exact_diff(pair: _Pair, findings, counts):
         .when(pair.any_cell_differs(), MISMATCH)
         .otherwise(MATCH)
     )
-    joined = _joined(pair, left, right, "full").withColumn("status", status)
-    return _write_observed(
-        joined,
-        lambda rows: pair.diff_rows(rows.filter(F.col("status") != MATCH)),
-        "diff",
-        missing_rows=F.count_if(F.col("status") == MISSING),
-        extra_rows=F.count_if(F.col("status") == EXTRA),
-        mismatched_rows=F.count_if(F.col("status") == MISMATCH),
-        matched_rows=F.count_if(F.col("status") == MATCH),
-    )
+    rows = _joined(pair, left, right, "full").withColumn("status", status)
+    return _counted(pair.diff_rows(rows.filter(F.col("status") != MATCH)), "diff")
 
 
-def _anti_diff(pair: _Pair, findings, counts):
+def _anti_diff(pair: _Pair, findings: DataFrame, counts: dict):
     left, right = (_unique(pair, pair.wide(side), findings, counts) for side in (True, False))
-    both = _joined(pair, left, right, "inner").withColumn(
-        "status", F.when(pair.any_cell_differs(), MISMATCH).otherwise(MATCH)
-    )
-    cells, observed = _write_observed(
-        both,
-        lambda rows: pair.diff_rows(rows.filter(F.col("status") == MISMATCH)),
-        "cells",
-        mismatched_rows=F.count_if(F.col("status") == MISMATCH),
-        matched_rows=F.count_if(F.col("status") == MATCH),
-    )
-    one_sided = findings.filter(F.col("status").isin(MISSING, EXTRA))
-    return pair.marker_rows(one_sided).unionByName(cells), observed
+    both = _joined(pair, left, right, "inner").filter(pair.any_cell_differs())
+    cells, mismatched = _counted(pair.diff_rows(both.withColumn("status", F.lit(MISMATCH))), "cells")
+    one_sided = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
+    return one_sided.drop("entry").unionByName(cells), mismatched
+
+
+def _counted(diff: DataFrame, name: str):
+    """The written diff table and the number of changed rows, each of which has one first entry."""
+    diff = written(diff, name)
+    changed = diff.filter((F.col("diff_type") == MISMATCH) & (F.col("entry") == 0)).count()
+    return diff.drop("entry"), changed
 
 
 def reconcile(
@@ -421,8 +424,10 @@ def reconcile(
             return _hash_diff(pair, findings, counts)
     else:
         compare = _exact_diff if strategy == "exact" else _anti_diff
-        diff, observed = compare(pair, findings, counts)
-        counts.update(observed)
+        diff, changed = compare(pair, findings, counts)
+        # the census saw keys only: a key on both sides matches unless a cell differs
+        counts["mismatched_rows"] = changed
+        counts["matched_rows"] -= changed
 
         def find_diff():
             return diff

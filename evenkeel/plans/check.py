@@ -13,8 +13,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 
 from evenkeel.operators.filters import LoadFilter
-from evenkeel.operators.quality import require_not_null, require_schema
-from evenkeel.operators.reconcile import AUDIT_COLUMNS, Reconciliation, reconcile
+from evenkeel.operators.quality import NullViolationError, SchemaMismatchError, require_not_null, require_schema
+from evenkeel.operators.reconcile import AUDIT_COLUMNS, DuplicateKeyError, Reconciliation, reconcile
 from evenkeel.operators.report import write_report
 from evenkeel.plans.mapping import perform_transform
 from evenkeel.sources.files import load_snapshot, save_snapshot
@@ -73,3 +73,24 @@ def run(
     if report_path:
         write_report(result, report_path, report_format)
     return result
+
+
+# Exit codes of a check; 0 and 3 come from the result.
+EXIT_CONFIG = 1
+EXIT_SCHEMA = 2
+EXIT_OTHER = 99
+
+
+def exit_code_of(check: Callable[[], Reconciliation | None]) -> int:
+    """Run a check and give the exit code of its result or of the error it raised."""
+    try:
+        result = check()
+    except SchemaMismatchError:
+        return EXIT_SCHEMA
+    except (NullViolationError, DuplicateKeyError):
+        return EXIT_OTHER
+    except (ValueError, KeyError):
+        return EXIT_CONFIG
+    except Exception:
+        return EXIT_OTHER
+    return result.exit_code if result else 0

@@ -6,7 +6,7 @@ from evenkeel.operators import quality
 from evenkeel.operators.filters import KeyFilter, LoadFilter
 from evenkeel.operators.reconcile import reconcile
 from evenkeel.operators.report import check_diff_columns, diff_by_column, diff_by_type, summary_text, write_report
-from evenkeel.plans.check import Side, run
+from evenkeel.plans.check import Side, exit_code_of, run
 from evenkeel.sources.catalog import schema_catalog
 from evenkeel.sources.files import load_snapshot, read_csv
 
@@ -59,7 +59,9 @@ def test_audit_columns(spark):
 
 
 def test_reports(pair):
-    diff = reconcile(*pair, "k").diff
+    result = reconcile(*pair, "k")
+    diff = result.diff
+    assert result.cell_diffs == 4
     assert sorted(rows(diff_by_type(diff))) == [("EXTRA_IN_TARGET", 1), ("MISSING_IN_TARGET", 1), ("VALUE_MISMATCH", 3)]
     assert rows(diff_by_column(diff)) == [("v", 3), ("<ENTIRE_ROW>", 2), ("w", 1)]
     with pytest.raises(ValueError, match="diff_type"):
@@ -112,6 +114,20 @@ def test_run_checks_and_filters(spark, pair):
         run(spark, Side(left.withColumn("v", F.lit(None).cast("string")), required=("v",)), None)
 
 
+def test_exit_codes(spark, pair):
+    left, right = pair
+    live = schema_catalog(spark, left.schema)
+    narrow = Side(left, declared=live.filter("column_name <> 'W'"), live=live)
+    nulls = Side(left.withColumn("v", F.lit(None).cast("string")), required=("v",))
+    assert exit_code_of(lambda: run(spark, Side(left), Side(left), ["k"])) == 0
+    assert exit_code_of(lambda: run(spark, Side(left), None)) == 0
+    assert exit_code_of(lambda: run(spark, Side(left), Side(left), ["nope"])) == 1
+    assert exit_code_of(lambda: run(spark, narrow, None)) == 2
+    assert exit_code_of(lambda: run(spark, Side(left), Side(right), ["k"])) == 3
+    assert exit_code_of(lambda: run(spark, nulls, None)) == 99
+    assert exit_code_of(lambda: run(spark, Side("/no/such/place"), None)) == 99
+
+
 def test_precision_map(spark):
     left = spark.createDataFrame([], "a int, b double, c decimal(9,2), d decimal(9,4), e string, f float").schema
     right = spark.createDataFrame([], "a bigint, b int, c double, d decimal(9,1), e string, f float").schema
