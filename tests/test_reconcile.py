@@ -4,7 +4,7 @@ import random
 from decimal import Decimal
 
 import pytest
-from conftest import diff_set
+from conftest import diff_set, formatted_plan
 from pyspark.sql import functions as F
 
 from evenkeel.operators import reconcile as module
@@ -198,9 +198,44 @@ def test_result_schema(spark, strategy):
     assert [(f.name, f.dataType) for f in result.diff.schema] == [(f.name, f.dataType) for f in DIFF_SCHEMA]
 
 
+def test_short_hash(spark):
+    left = frame(spark, [(i, str(i)) for i in range(500)], "k int, v string")
+    right = left.withColumn("v", F.when(F.col("k") % 3 == 0, "?").otherwise(F.col("v")))
+    result = reconcile(left, right, "k", hash_bits=64)
+    assert result.counts["mismatched_rows"] == 167 and result.diff.count() == 167
+
+
+def test_range_of_changed_keys_reaches_the_scan(spark, sf_dir, monkeypatch):
+    """Only rows between the first and the last changed key are read again."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    changed = orders.withColumn(
+        "o_orderstatus", F.when(F.col("o_orderkey").between(400, 420), "?").otherwise(F.col("o_orderstatus"))
+    )
+    plans = []
+    keep = module.written
+    monkeypatch.setattr(module, "written", lambda df, name: (plans.append(formatted_plan(df)), keep(df, name))[1])
+    assert reconcile(orders, changed, "o_orderkey").diff.count() == 21
+    pushed = [line for line in plans[-1].splitlines() if "GreaterThanOrEqual(o_orderkey,400)" in line]
+    assert len(pushed) == 2 and all("LessThanOrEqual(o_orderkey,420)" in line for line in pushed)
+
+
+def test_plans_have_no_nested_loops_and_one_shuffle(spark, sf_dir, strategy, monkeypatch):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    changed = orders.filter("o_orderkey % 7 > 0").withColumn("o_custkey", F.col("o_custkey") + F.col("o_orderkey") % 2)
+    plans = []
+    keep = module.written
+    monkeypatch.setattr(module, "written", lambda df, name: (plans.append(formatted_plan(df)), keep(df, name))[1])
+    reconcile(orders, changed, "o_orderkey", strategy=strategy).diff.count()
+    for plan in plans:
+        assert "NestedLoop" not in plan and "CartesianProduct" not in plan and "SortAggregate" not in plan
+    census = plans[0].split("== Physical Plan ==")[1].split("(1) ")[0]
+    # one shuffle of all keys, one of the findings
+    assert census.count("Exchange") == 2 and census.count("HashAggregate") == 4
+
+
 def test_bad_arguments(spark):
     left = frame(spark, [(1, "a")], "k int, v string")
-    for wrong in ({"strategy": "guess"}, {"on_duplicate": "drop"}, {"columns": ["nope"]}):
+    for wrong in ({"strategy": "guess"}, {"on_duplicate": "drop"}, {"columns": ["nope"]}, {"hash_bits": 32}):
         with pytest.raises(ValueError):
             reconcile(left, left, "k", **wrong)
     with pytest.raises(ValueError):
