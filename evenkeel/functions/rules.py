@@ -90,7 +90,7 @@ def snowflake_value(value: Column, declared: str) -> Column:
     if base == "date":
         return F.when(~is_zero_date, value)
     if base in ("datetime", "timestamp"):
-        return F.when(~is_zero_date, value.try_cast("timestamp"))
+        return F.when(~is_zero_date, value.try_cast("timestamp_ntz"))
     if base == "time":
         return F.date_format(value, "HH:mm:ss")
     if base == "year":

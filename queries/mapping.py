@@ -265,8 +265,7 @@ def dialect_coercion(spark, sf_dir):
     types = {"o_orderkey": "bigint", "odd": "TINYINT(1)", "priority": "CHAR(20)", "day": "DATE", "at": "DATETIME",
              "clock": "TIME", "yr": "YEAR", "price": "DECIMAL(12,1)"}
     rules = [ColumnRule("direct", c, c, dtype=t) for c, t in types.items()]
-    mapped = apply_mapping(source, _spec("source", tuple(types), rules), dialect="snowflake")
-    return mapped.withColumn("at", F.col("at").cast("timestamp_ntz"))
+    return apply_mapping(source, _spec("source", tuple(types), rules), dialect="snowflake")
 
 
 # --- scalar rules ----------------------------------------------------------------------------

@@ -73,6 +73,22 @@ def test_intermediate_tables_go_to_the_configured_folder(spark, awkward):
     assert pairs(stored) == AWKWARD and folder in stored.inputFiles()[0]
 
 
+class _Session:
+    """As much of a session as the folder choice looks at."""
+
+    def __init__(self, master, settings):
+        self.conf = settings
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": "app-1"})
+
+
+def test_folder_without_the_setting():
+    local = _Session("local[4]", {})
+    assert shared_folder(local) == shared_folder(local) != ""
+    assert shared_folder(_Session("spark://host:7077", {"spark.checkpoint.dir": "s3://b/x"})) == "s3://b/x"
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_folder(_Session("spark://host:7077", {}))
+
+
 # --- upsert ------------------------------------------------------------------------------------
 
 
