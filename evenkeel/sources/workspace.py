@@ -17,13 +17,18 @@ from pyspark.sql import DataFrame, SparkSession
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+def is_local(spark: SparkSession) -> bool:
+    """Whether all tasks run in this process."""
+    master = spark.sparkContext.master
+    return master == "local" or master.startswith("local[")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The configured checkpoint folder; a temporary one only on a local master."""
     folder = spark.conf.get(CHECKPOINT_DIR, None)
     if folder:
         return folder
-    master = spark.sparkContext.master
-    if master != "local" and not master.startswith("local["):
+    if not is_local(spark):
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
     return _local_folder(spark.sparkContext.applicationId)
 

@@ -10,7 +10,7 @@ from evenkeel.operators.filters import KeyFilter
 from evenkeel.operators.upsert import upsert
 from evenkeel.sources.files import load_snapshot, read_csv, save_snapshot, write_csv
 from evenkeel.sources.jdbc import Partitioning, choose_partitioning, partition_bounds, probe_bounds, read_jdbc
-from evenkeel.sources.workspace import new_table_path
+from evenkeel.sources.workspace import is_local, new_table_path
 from queries.registry import query, table
 
 
@@ -109,7 +109,7 @@ def jdbc_orders(spark, sf_dir) -> dict[str, str]:
     """
     options = {"url": spark.conf.get(JDBC_URL, "")}
     if not options["url"]:
-        if not spark.sparkContext.master.startswith("local["):
+        if not is_local(spark):
             raise ValueError(f"set {JDBC_URL}: executors cannot see a database inside the driver")
         name = f"orders{zlib.crc32(sf_dir.encode()):08x}"
         options = {
