@@ -301,57 +301,65 @@ def _keys_with(findings: DataFrame, pair: _Pair, kind: str) -> DataFrame:
     return findings.filter(F.col("status") == kind).select(*pair.key_names)
 
 
-def _without_hot_keys(pair: _Pair, rows: DataFrame, findings: DataFrame, counts: dict) -> DataFrame:
+def _without_hot_keys(pair: _Pair, sides: list[DataFrame], findings: DataFrame, counts: dict) -> list[DataFrame]:
     """Drop rows of hot repeated keys before a shuffle, which would put each into one task.
 
-    There are at most ``HOT_KEY_SHARE`` of them and their size is measured, so
-    they are broadcast.  Rows of repeated keys are not compared in any case.
+    At most ``HOT_KEY_SHARE`` keys can be that hot; their size is measured and
+    they are broadcast, or fewer and hotter ones if the keys are very long.
+    Rows of repeated keys are not compared in any case.
     """
     if not counts["duplicate_keys"]:
-        return rows
-    least = (counts["source_rows"] + counts["target_rows"]) // HOT_KEY_SHARE
-    hot = findings.filter(
-        (F.col("status") == DUPLICATE) & (F.col("expected_rows") + F.col("actual_rows") > least)
-    )
-    size = hot.agg(F.coalesce(F.sum(pair.key_bytes()), F.lit(0))).first()[0]
-    if size == 0 or size > BROADCAST_KEY_BYTES:
-        return rows
-    hot = F.broadcast(hot.select(*pair.key_names))
-    return rows.join(hot, pair.on(rows, hot), "left_anti")
-
-
-def _only_changed(pair: _Pair, rows: DataFrame, findings: DataFrame, counts: dict) -> DataFrame:
-    """Rows with a changed key: filtered in place by broadcast keys while those are small.
+        return sides
+    repeated = findings.filter(F.col("status") == DUPLICATE)
+    key_rows, all_rows = F.col("expected_rows") + F.col("actual_rows"), counts["source_rows"] + counts["target_rows"]
+    share = HOT_KEY_SHARE
+    while share:
+        hot = repeated.filter(key_rows > all_rows // share)
+        size = hot.agg(F.coalesce(F.sum(pair.key_bytes()), F.lit(0))).first()[0]
+        if size == 0:
+            return sides
+        if size <= BROADCAST_KEY_BYTES:
+            hot = F.broadcast(hot.select(*pair.key_names))
+            return [rows.join(hot, pair.on(rows, hot), "left_anti") for rows in sides]
+        share //= 8
+    return sides
+
+
+def _only_changed(pair: _Pair, findings: DataFrame, counts: dict) -> list[DataFrame]:
+    """Rows of both sides with a changed key: filtered in place by broadcast keys while those are small.
 
     The range of the changed keys is pushed into the scan, which skips most of
     a table that is ordered by key when one batch of it is wrong.
     """
+    sides = [pair.wide(True), pair.wide(False)]
     changed, found = _keys_with(findings, pair, MISMATCH), counts["changed"]
-    if isinstance(rows.schema["_k0"].dataType, (T.LongType, T.DateType)) and not found.nulls:
-        rows = rows.filter(F.col("_k0").between(F.lit(found.low), F.lit(found.high)))
+    if isinstance(sides[0].schema["_k0"].dataType, (T.LongType, T.DateType)) and not found.nulls:
+        between = F.col("_k0").between(F.lit(found.low), F.lit(found.high))
+        sides = [rows.filter(between) for rows in sides]
     if counts["mismatch_bytes"] <= BROADCAST_KEY_BYTES:
         changed = F.broadcast(changed)
     else:
-        rows = _without_hot_keys(pair, rows, findings, counts)
-    return rows.join(changed, pair.on(rows, changed), "left_semi")
+        sides = _without_hot_keys(pair, sides, findings, counts)
+    return [rows.join(changed, pair.on(rows, changed), "left_semi") for rows in sides]
 
 
-def _unique(pair: _Pair, rows: DataFrame, findings: DataFrame, counts: dict) -> DataFrame:
-    """Rows whose key is unique on both sides."""
+def _unique(pair: _Pair, findings: DataFrame, counts: dict) -> list[DataFrame]:
+    """Rows of both sides whose key is unique on both."""
+    sides = [pair.wide(True), pair.wide(False)]
     if not counts["duplicate_keys"]:
-        return rows
+        return sides
     repeated = _keys_with(findings, pair, DUPLICATE)
     if counts["duplicate_bytes"] <= BROADCAST_KEY_BYTES:
         repeated = F.broadcast(repeated)
     else:
-        rows = _without_hot_keys(pair, rows, findings, counts)
-    return rows.join(repeated, pair.on(rows, repeated), "left_anti")
+        sides = _without_hot_keys(pair, sides, findings, counts)
+    return [rows.join(repeated, pair.on(rows, repeated), "left_anti") for rows in sides]
 
 
 def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
     diff = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
     if counts["mismatched_rows"]:
-        left, right = (_only_changed(pair, pair.wide(side), findings, counts) for side in (True, False))
+        left, right = _only_changed(pair, findings, counts)
         both = _joined(pair, left, right, "inner").withColumn("status", F.lit(MISMATCH))
         diff = diff.unionByName(pair.diff_rows(both))
     return written(diff, "diff").drop("entry")
@@ -368,8 +376,8 @@ def _joined(pair: _Pair, left: DataFrame, right: DataFrame, how: str) -> DataFra
 
 
 def _exact_diff(pair: _Pair, findings: DataFrame, counts: dict):
-    left = _unique(pair, pair.wide(True), findings, counts).withColumn("_in_e", F.lit(True))
-    right = _unique(pair, pair.wide(False), findings, counts).withColumn("_in_a", F.lit(True))
+    left, right = _unique(pair, findings, counts)
+    left, right = left.withColumn("_in_e", F.lit(True)), right.withColumn("_in_a", F.lit(True))
     status = (
         F.when(F.col("_in_a").isNull(), MISSING)
         .when(F.col("_in_e").isNull(), EXTRA)
@@ -381,7 +389,7 @@ def _exact_diff(pair: _Pair, findings: DataFrame, counts: dict):
 
 
 def _anti_diff(pair: _Pair, findings: DataFrame, counts: dict):
-    left, right = (_unique(pair, pair.wide(side), findings, counts) for side in (True, False))
+    left, right = _unique(pair, findings, counts)
     both = _joined(pair, left, right, "inner").filter(pair.any_cell_differs())
     cells, mismatched = _counted(pair.diff_rows(both.withColumn("status", F.lit(MISMATCH))), "cells")
     one_sided = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))

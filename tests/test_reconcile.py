@@ -299,16 +299,25 @@ def test_random_tables(spark, strategy, seed, broadcast, monkeypatch):
     assert result.total_diffs == len({d[0] for d in diff})
 
 
-def test_hot_keys_leave_before_the_shuffle(spark, strategy, monkeypatch):
-    """One key holds a third of the rows and the repeated keys are too many to broadcast."""
+@pytest.mark.parametrize("share", [10, 50_000])
+def test_hot_keys_leave_before_the_shuffle(spark, strategy, monkeypatch, share):
+    """One key holds a third of the rows and the repeated keys are too many to broadcast.
+
+    With the larger share all repeated keys count as hot at first, so it is narrowed.
+    """
+    plans, keep = [], module.written
+    monkeypatch.setattr(module, "written", lambda df, name: (plans.append(formatted_plan(df)), keep(df, name))[1])
     hot = [(-1, "h", 0)] * 300
     left = hot + [(i, "x", i) for i in range(300)] + [(i, "r", 0) for i in range(50)]
     right = hot + [(i, "y" if i % 10 == 0 else "x", i) for i in range(300)]
     schema = "k int, a string, b int"
-    monkeypatch.setattr(module, "HOT_KEY_SHARE", 10)
-    # room for the one hot key (4 bytes of overhead aside), not for all repeated ones
+    monkeypatch.setattr(module, "HOT_KEY_SHARE", share)
+    # room for the one hot key, not for all repeated ones
     monkeypatch.setattr(module, "BROADCAST_KEY_BYTES", 70)
     result = reconcile(frame(spark, left, schema), frame(spark, right, schema), "k", strategy=strategy)
     assert {r.primary_key_value for r in result.duplicates.collect()} == {"-1", *map(str, range(50))}
     assert diff_set(result) == {(str(i), "a", "x", "y", "VALUE_MISMATCH") for i in range(50, 300, 10)}
     assert result.counts["matched_rows"] == 225
+    first_join = plans[1].split("== Physical Plan ==")[1].split("(1) ")[0].splitlines()
+    anti = [line for line in first_join if "LeftAnti" in line]
+    assert any("BroadcastHashJoin LeftAnti" in line for line in anti)
