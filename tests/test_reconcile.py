@@ -321,3 +321,38 @@ def test_hot_keys_leave_before_the_shuffle(spark, strategy, monkeypatch, share):
     first_join = plans[1].split("== Physical Plan ==")[1].split("(1) ")[0].splitlines()
     anti = [line for line in first_join if "LeftAnti" in line]
     assert any("BroadcastHashJoin LeftAnti" in line for line in anti)
+
+
+def test_odd_column_names(spark, strategy):
+    names = ["the key", "a.b", "it's", "back`tick", "status", "_k0", "e_x", "back\\slash"]
+    left = frame(spark, [(1, "a", "b", "c", "d", "e", "f", "g"), (2, *"hijklmn")], "k int, " + ", ".join(
+        f"c{i} string" for i in range(7))).toDF(*names)
+    right = frame(spark, [(1, "a", "B", "C", "D", "E", "F", "G"), (2, *"hijklmn")], "k int, " + ", ".join(
+        f"c{i} string" for i in range(7))).toDF(*names)
+    result = reconcile(left, right, ["the key"], strategy=strategy)
+    assert {r[1] for r in diff_set(result)} == set(names[2:])
+
+
+@pytest.mark.parametrize("key_type, keys, other_type, others", [
+    ("double", [-0.0, 1.5, 3.0], "double", [0.0, 1.5, 3.0]),
+    ("int", [0, 1, 3], "double", [0.0, 1.0, 3.0]),
+    ("bigint", [0, 1, 3], "decimal(20,0)", [Decimal(0), Decimal(1), Decimal(3)]),
+    ("string", [" a", "TRUE", ""], "string", ["a ", "true", " "]),
+    ("boolean", [True, False, None], "boolean", [True, False, None]),
+])
+def test_key_types(spark, strategy, key_type, keys, other_type, others):
+    left = frame(spark, [(k, i) for i, k in enumerate(keys)], f"k {key_type}, v int")
+    right = frame(spark, [(k, i + (i == 1)) for i, k in enumerate(others)], f"k {other_type}, v int")
+    result = reconcile(left, right, "k", strategy=strategy)
+    assert result.counts["matched_rows"] == 2 and result.counts["mismatched_rows"] == result.diff.count() == 1
+
+
+def test_date_and_time_keys(spark, strategy):
+    rows = "select date'2024-01-01' + cast(id as int) as d, timestamp'2024-01-01 00:00:00' + make_dt_interval(id) as t, id as v"
+    left = spark.sql(f"{rows} from range(20)")
+    right = left.withColumn("v", F.when(F.col("v").isin(3, 9), -1).otherwise(F.col("v")))
+    as_local = right.withColumn("t", F.col("t").cast("timestamp_ntz"))
+    assert {r[0] for r in diff_set(reconcile(left, right, "d", ["v"], strategy=strategy))} == {"2024-01-04", "2024-01-10"}
+    assert {r[0] for r in diff_set(reconcile(left, as_local, ["t"], ["v", "d"], strategy=strategy))} == {
+        "2024-01-04 00:00:00", "2024-01-10 00:00:00"
+    }
