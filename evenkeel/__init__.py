@@ -1,5 +1,15 @@
 """Spark-native reconciliation of tables between two systems."""
 
-from evenkeel.operators.reconcile import Reconciliation, reconcile
+from evenkeel.operators.filters import DateFilter, KeyFilter, LoadFilter, load_filters
+from evenkeel.operators.reconcile import Reconciliation, compare_columns, reconcile
+from evenkeel.operators.report import diff_by_column, diff_by_type, summary_text, write_report
+from evenkeel.operators.upsert import upsert
+from evenkeel.plans.check import Side, run
+from evenkeel.plans.mapping import apply_mapping, extract
+from evenkeel.plans.spec import ColumnRule, JoinDef, SourceColumn, TableSpec
 
-__all__ = ["Reconciliation", "reconcile"]
+__all__ = [
+    "ColumnRule", "DateFilter", "JoinDef", "KeyFilter", "LoadFilter", "Reconciliation", "Side", "SourceColumn",
+    "TableSpec", "apply_mapping", "compare_columns", "diff_by_column", "diff_by_type", "extract", "load_filters",
+    "reconcile", "run", "summary_text", "upsert", "write_report",
+]

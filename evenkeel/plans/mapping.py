@@ -17,14 +17,21 @@ def enrich(df: DataFrame, join: JoinDef, other: DataFrame) -> DataFrame:
     """Join one table and add its fetched columns as ``alias_column``.
 
     The join key is a plain equality, so Spark broadcasts a small table by its
-    known size, and splits a hot key of a large one at run time.
+    known size, and splits a hot key of a large one at run time.  A right join
+    allows neither for the main table, so it is put together from an inner join
+    and the rows of the other table that no main row refers to.
     """
-    key = f"_{join.alias}_key"
+    key, how = f"_{join.alias}_key", join.how.lower()
     fetched = other.select(
         F.col(join.right_key).alias(key),
         *[F.col(c).alias(f"{join.alias}_{c}") for c in join.fetch],
     )
-    return df.join(fetched, df[join.left_key] == fetched[key], join.how.lower()).drop(fetched[key])
+    joined = df.join(fetched, df[join.left_key] == fetched[key], "inner" if how == "right" else how)
+    if how == "right":
+        used = df.select(F.col(join.left_key).alias("_used")).distinct()
+        unused = fetched.join(used, fetched[key] == used["_used"], "left_anti")
+        joined = joined.unionByName(unused, allowMissingColumns=True)
+    return joined.drop(key)
 
 
 def extract(spec: TableSpec, tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import formatted_plan
 from pyspark.sql import functions as F
 
 from evenkeel.functions.rules import fill_mode, fill_text, most_frequent, snowflake_value
-from evenkeel.plans.mapping import apply_mapping, extract, perform_transform, target_extract
+from evenkeel.plans.mapping import apply_mapping, enrich, extract, perform_transform, target_extract
 from evenkeel.plans.spec import ColumnRule, JoinDef, SourceColumn, SpecError, TableSpec
 
 
@@ -84,6 +84,25 @@ def test_join_columns_resolve_by_alias(spark, source):
     assert values(apply_mapping(extracted, s)) == [(1, "one", 3.0), (1, "uno", 5.0), (2, None, None)]
 
 
+@pytest.mark.parametrize("how", ["left", "inner", "right"])
+def test_enrichment_equals_a_plain_join(spark, how):
+    main = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (7, "e")], "k int, v string")
+    other = spark.createDataFrame([(1, "x"), (2, "y"), (2, "z"), (3, "w"), (3, "w"), (None, "n")], "id int, label string")
+    found = enrich(main, JoinDef("j", "dim", "k", "id", ("label",), how.upper()), other)
+    plain = main.join(other, main.k == other.id, how).select("k", "v", "label")
+    assert found.columns == ["k", "v", "j_label"] and found.dtypes[:2] == main.dtypes
+    assert values(found) == values(plain)
+
+
+def test_right_join_does_not_shuffle_the_main_table(spark, sf_dir):
+    lineitem = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    part = spark.read.parquet(f"{sf_dir}/part.parquet")
+    plan = formatted_plan(enrich(lineitem, JoinDef("p", "part", "l_partkey", "p_partkey", ("p_name",), "RIGHT"), part))
+    tree = plan.split("== Physical Plan ==")[1].split("(1) ")[0]
+    # the only shuffle is that of the distinct keys
+    assert tree.count("Exchange") - tree.count("BroadcastExchange") == 1 and "RightOuter" not in tree
+
+
 def test_needed_columns():
     joins = [JoinDef("j", "dim", "k", "id", ("label",))]
     rules = [ColumnRule("direct", "a", "a"), ColumnRule("derived", None, "z", rule="c + 1"),
