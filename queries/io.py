@@ -98,14 +98,15 @@ def upsert_merge(spark, sf_dir):
 
 JDBC_URL = "spark.evenkeel.jdbc.url"
 ORDERS_TABLE = "EK_ORDERS"
+_COPIES: set[tuple[str, str, str]] = set()
 
 
 def jdbc_orders(spark, sf_dir) -> dict[str, str]:
     """JDBC options of a database that holds the orders.
 
-    The database named in the session is used if there is one.  Otherwise the
-    orders are copied into an in-memory one inside this process, which only a
-    local session can read.
+    The database named in the session is used if there is one.  Otherwise it is
+    an in-memory one inside this process, which only a local session can read.
+    The orders are copied into it once per application.
     """
     options = {"url": spark.conf.get(JDBC_URL, "")}
     if not options["url"]:
@@ -116,11 +117,13 @@ def jdbc_orders(spark, sf_dir) -> dict[str, str]:
             "url": f"jdbc:derby:memory:{name};create=true",
             "driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver",
         }
-    columns = [F.col(c).alias(c.upper()) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")]
-    orders = table(spark, sf_dir, "orders").select(*columns)
-    orders.write.format("jdbc").options(**options).option("dbtable", ORDERS_TABLE).option(
-        "createTableColumnTypes", "O_ORDERSTATUS VARCHAR(10)"
-    ).mode("overwrite").save()
+    copy = (spark.sparkContext.applicationId, options["url"], sf_dir)
+    if copy not in _COPIES:
+        columns = [F.col(c).alias(c.upper()) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")]
+        table(spark, sf_dir, "orders").select(*columns).write.format("jdbc").options(**options).option(
+            "dbtable", ORDERS_TABLE
+        ).option("createTableColumnTypes", "O_ORDERSTATUS VARCHAR(10)").mode("overwrite").save()
+        _COPIES.add(copy)
     return options
 
 
