@@ -151,7 +151,7 @@ def components(nodes: DataFrame, differing: int = DIFFERING) -> DataFrame:
 def simhash_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, differing: int = DIFFERING
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id, text_hash), one row for each row of ``docs``.
+    """(doc_id, fingerprint, component_id, component, text_hash), one row for each row of ``docs``.
 
     Documents are in one component if a chain of fingerprints with steps of at
     most ``differing`` bits (1 or more) leads from one to the other;
@@ -161,6 +161,7 @@ def simhash_dedup(
     are linked like others.  Null ids are passed over for ``component_id``,
     which is null only if all ids of the component are.  Repeated rows each get
     a row.  An empty table gives no rows; other columns are ignored.
+    ``component`` is a fingerprint of the component, the same for all of it, and
     ``text_hash`` is XXH64 of the text.
     """
     rows = docs.select(column(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
@@ -173,9 +174,9 @@ def simhash_dedup(
         "fp", "least", F.coalesce("component", "fp").alias("component")
     )
     least = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_print = named.join(least, "component").select("fp", "component_id")
+    of_print = named.join(least, "component").select("fp", "component_id", "component")
     return prints.join(of_print, "fp").select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_hash"
+        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "component", "text_hash"
     )
 
 
@@ -186,9 +187,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     are moved between machines; the rest are read and passed on.
     """
     found = written(simhash_dedup(docs, id_col, text_col), "near_copies")
-    grouped = found.groupBy("component_id").agg(F.count("*").alias("rows")).filter("rows > 1")
-    doubtful = found.join(grouped, F.col("component_id").eqNullSafe(grouped["component_id"]), "left_semi")
-    doubtful = written(doubtful, "doubtful")
+    grouped = found.groupBy("component").agg(F.count("*").alias("rows")).filter("rows > 1")
+    doubtful = written(found.join(grouped, "component", "left_semi"), "doubtful")
 
     text_hash, doubt = fresh(docs, "text_hash_of_row"), fresh(docs, "in_doubt")
     own = docs.withColumn(text_hash, F.xxhash64(whole_text(text_col)))
@@ -198,10 +198,10 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     clear = marked.filter(~F.col(doubt))
 
     # Both tables have one row for each pair of id and text, so repeated rows meet one row each.
-    names = [fresh(docs, n) for n in ("doubtful_id", "doubtful_hash", "doubtful_component")]
+    names = [fresh(docs, n) for n in ("doubtful_id", "doubtful_hash", "doubtful_least", "doubtful_component")]
     distinct = doubtful.groupBy(
         F.col("doc_id").alias(names[0]), F.col("text_hash").alias(names[1])
-    ).agg(F.first("component_id").alias(names[2]))
+    ).agg(F.first("component_id").alias(names[2]), F.first("component").alias(names[3]))
     open_rows = marked.filter(F.col(doubt))
     same_row = column(id_col).eqNullSafe(F.col(names[0])) & (F.col(text_hash) == F.col(names[1]))
     joined = open_rows.join(distinct, same_row, "left")
@@ -209,5 +209,5 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     inside = joined.filter(F.col(names[1]).isNotNull() & column(id_col).eqNullSafe(F.col(names[2])))
     columns = [column(c) for c in docs.columns]
     return clear.select(*columns).unionByName(outside.select(*columns)).unionByName(
-        inside.dropDuplicates([names[2]]).select(*columns)
+        inside.dropDuplicates([names[3]]).select(*columns)
     )
