@@ -60,7 +60,9 @@ def exact_dedup(
         .filter("group_size > 1")
         .select(F.col("n").alias("m"), F.col("text_sha256").alias("h"), "keep", "group_size")
     )
-    # A hot group is split by adaptive execution: this side's rows by ranges, the other side being one row.
+    # Written, so that the join has a shuffle of its own (or none, if the table is small): then adaptive execution can
+    # split a hot group, whose other side is one row.
+    same = written(same, "same_text")
     found = hashed.join(same, hashed.survives & (F.col("n") == F.col("m")) & (F.col("text_sha256") == F.col("h")), "left")
     return found.select(
         "doc_id",

@@ -1,0 +1,108 @@
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from evenkeel.llm.common import reachable_by_workers
+from evenkeel.llm.divergence import CLASSES, classes, distance, judge, plain_counts, references, repeated_words
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+@pytest.fixture(autouse=True, scope="module")
+def shipped(spark):
+    reachable_by_workers(spark)
+
+
+def brute(text):
+    words = WORD.findall(text or "")
+    windows = Counter(tuple(words[i : i + 5]) for i in range(len(words) - 4))
+    covered = {p for i in range(len(words) - 4) if windows[tuple(words[i : i + 5])] > 1 for p in range(i, i + 5)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text or "")), len(lines) - len(set(lines)), len(covered)
+
+
+def test_counts_of_odd_texts():
+    rng = random.Random(1)
+    for _ in range(400):
+        text = "".join(rng.choices(["a ", "b ", "c ", "é", "\n", "a\n", " ", "#", "|x ", "\x0b", "\x1c", " ", "中 "], k=rng.randint(0, 60)))
+        data = text.encode()
+        assert plain_counts(data, data.split()) == brute(text), repr(text)
+
+
+def test_repeats_among_many_words():
+    words = [str(i).encode() for i in range(20_000)]
+    assert repeated_words(words) == 0
+    assert repeated_words([*words, *words[100:107]]) == 14
+    assert repeated_words([b"a"] * 5) == 0 and repeated_words([b"a"] * 6) == 6
+
+
+def test_distance():
+    a, b = np.array([3, 1, 0]), np.array([1, 1, 2])
+    p, q = a / 4, b / 4
+    m = (p + q) / 2
+    kl = lambda x: sum(u * math.log2(u / v) for u, v in zip(x, m, strict=True) if u)
+    assert math.isclose(distance(a, b), math.sqrt((kl(p) + kl(q)) / 2))
+    assert distance(a, 7 * a) < 1e-7 and math.isclose(distance(np.array([1, 0]), np.array([0, 5])), 1)
+    assert distance(np.zeros(2), a[:2]) == 0
+
+
+def test_classes():
+    got = dict(zip(CLASSES, classes("aB1 \n.#é中\U0001f600\x00".encode()).tolist(), strict=True))
+    assert got == {"lower": 2, "upper": 1, "other_letter": 1, "digit": 1, "space": 1, "line_end": 1, "stop": 1, "symbol": 1, "other": 2}
+
+
+def test_references(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    known = references(docs, common_words=7)
+    rows = docs.collect()
+    for lang in (*{r.lang for r in rows}, None):
+        own = [r.text for r in rows if lang in (None, r.lang)]
+        counts = Counter(w for t in own for w in t.encode().lower().split())
+        common = sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:7]
+        ref = known[lang]
+        assert ref.words == {w: i for i, (w, _) in enumerate(common)}
+        assert ref.counts.tolist() == [n for _, n in common] + [sum(counts.values()) - sum(n for _, n in common)]
+        assert ref.classes.tolist() == sum(classes(t.encode()) for t in own).tolist()
+
+
+@pytest.mark.parametrize("held", [10, 300_000])
+def test_documents(spark, held, monkeypatch):
+    monkeypatch.setattr("evenkeel.llm.divergence.HELD_WORDS", held)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    known = references(docs)
+    got = {r.doc_id: r.quality for r in judge(docs, known=known).collect()}
+    for r in docs.collect():
+        q = got[r.doc_id]
+        n, chars, symbols, lines, repeated = brute(r.text)
+        assert tuple(q)[:5] == (n, chars, symbols, lines, repeated)
+        assert q.base_failed == (n < 10 or 100 * repeated > 20 * n)
+        data = r.text.encode()
+        ref = known[r.lang]
+        d = distance(classes(data), ref.classes) if len(r.text) >= 200 else None
+        e = distance(ref.histogram(data.lower().split()), ref.counts) if n >= 50 else None
+        assert (q.class_distance, q.word_distance) == (pytest.approx(d) if d is not None else None, pytest.approx(e) if e is not None else None)
+        assert q.kept == (not q.base_failed and (d or 0) <= 0.27 and (e or 0) <= 0.55)
+
+
+def test_good_stays_and_junk_goes(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    flat = judge(docs, out="found").select("doc_id", "found.kept", "found.n_words").join(labels, "doc_id").filter("n_words >= 20")
+    kept = {r.quality: r.share for r in flat.groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("share")).collect()}
+    assert kept[1] > 0.99 and kept[0] < 0.1
+
+
+def test_odd_rows(spark):
+    text = "plain words of the language and more of them " * 12
+    rows = [(1, None, "en"), (2, "", "en"), (3, text, None), (3, text, None), (None, "x" * 2_000_000, "xx"), (4, "a b", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as quality", "2 as kept", "3 as n_words")
+    got = judge(docs)
+    assert got.columns == [*docs.columns, "quality_"]
+    assert sorted((r.quality_.n_words, r.quality_.base_failed, r.quality_.kept) for r in got.collect()) == [
+        (0, True, False), (0, True, False), (1, True, False), (2, True, False), (108, True, False), (108, True, False)
+    ]
+    assert judge(docs.limit(0)).collect() == []

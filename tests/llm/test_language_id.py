@@ -1,0 +1,84 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from evenkeel.llm.common import reachable_by_workers
+from evenkeel.llm.language_id import Model, features, ftrl, identify, train
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    reachable_by_workers(spark)
+    return spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def model(docs):
+    return train(docs.filter("doc_id % 3 <> 1"))
+
+
+def test_held_out_documents(docs, model):
+    got = identify(docs.filter("doc_id % 3 = 1"), model).select("lang", "language.lang_pred", "language.score").collect()
+    right = [r.lang == r.lang_pred for r in got]
+    assert np.mean(right) > 0.98
+    # calibrated: the mean probability is near the share of right answers
+    assert abs(np.mean([r.score for r in got]) - np.mean(right)) < 0.08
+    assert all(0 <= r.score <= 1 for r in got)
+
+
+def test_sparse(model):
+    assert 0 < (model.weights != 0).mean() < 0.5
+
+
+def test_only_the_text_counts(docs, model):
+    some = docs.limit(40)
+    other = some.withColumn("lang", F.lit("xx")).withColumn("source", F.lit(None).cast("string")).withColumn("doc_id", F.lit(1))
+    of = lambda df: sorted(tuple(r) for r in identify(df, model).select("text", "language.lang_pred", "language.score").collect())
+    assert of(some) == of(other)
+
+
+def test_odd_rows(spark, model):
+    rows = [(1, None, "a"), (2, "", "a"), (3, "12 -- !", "a"), (None, "the of and with", "a"), (4, "der die das und " * 20_000, "a"), (4, "x", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, language string")
+    got = identify(docs, model)
+    assert got.columns == ["doc_id", "text", "language", "language_"]
+    by_id = {(r.doc_id, len(r.text or "")): r.language_ for r in got.collect()}
+    for key in ((1, 0), (2, 0), (3, 7)):
+        assert tuple(by_id[key]) == ("und", 0.0)
+    assert by_id[(None, 15)].lang_pred == "en" and by_id[(4, 320_000)].lang_pred == "de"
+    assert identify(docs.limit(0), model).collect() == []
+
+
+def test_without_labels(spark):
+    docs = spark.createDataFrame([("some text", None), (None, "en")], "text string, lang string")
+    assert train(docs) is None
+    assert [tuple(r.language) for r in identify(docs, None).collect()] == [("und", 0.0)] * 2
+
+
+def test_one_language(spark):
+    reachable_by_workers(spark)
+    docs = spark.createDataFrame([(f"text number {i}", "en") for i in range(30)], "text string, lang string")
+    assert {tuple(r.language) for r in identify(docs, train(docs)).collect()} == {("en", 1.0)}
+
+
+def test_the_sample_is_bounded(spark, docs):
+    small = train(docs, per_language=20)
+    got = identify(docs, small).select(F.avg((F.col("lang") == F.col("language.lang_pred")).cast("int"))).first()[0]
+    assert got > 0.9
+
+
+def test_ftrl_step():
+    """One step from nothing, by the formulas."""
+    model = Model(["a", "b"], np.ones(4, np.float32), np.zeros((5, 2)))
+    model.vector = lambda text: (np.array([1, 4]), np.array([2.0, 1.0]))
+    w = ftrl(model, ["x"], np.array([0]), epochs=1, alpha=0.5, beta=1.0, l1=0.25, l2=0.1)
+    g = np.array([[-1.0, 1.0], [-0.5, 0.5]])
+    z, n = g, g * g
+    expected = -np.sign(z) * (np.abs(z) - 0.25) / ((1 + np.sqrt(n)) / 0.5 + 0.1)
+    assert np.allclose(w[[1, 4]], expected) and not w[[0, 2, 3]].any()
+
+
+def test_features():
+    held, counts = features("aa")
+    assert counts.sum() == 4 + 3 + 2  # of " aa ": characters, pairs, triples
+    assert features("AA")[0].tolist() == held.tolist()

@@ -1,0 +1,119 @@
+import random
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from tokenizers import Tokenizer
+
+from evenkeel.llm.common import reachable_by_workers
+from evenkeel.llm.packing import Levels, Packer, WordEncoder, pack
+from evenkeel.llm.queries import WORD_TOKENIZER
+
+
+@pytest.fixture(scope="module")
+def tokenizer():
+    return Tokenizer.from_file(WORD_TOKENIZER)
+
+
+def ids_of(tokenizer, text):
+    return [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+def check_sequences(rows, documents, window):
+    """Each id in one piece, sequences without gaps, no padding but where it is free; rows as in PIECES."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for doc, start, length, crc, total, sequence, offset in rows:
+        by_doc[doc].append((start, length, crc, total))
+        by_sequence[sequence].append((offset, length))
+    assert set(by_doc) == set(documents)
+    for doc, pieces in by_doc.items():
+        ids, at = np.array(documents[doc], "<u4"), 0
+        for start, length, crc, total in sorted(pieces):
+            assert start == at and length > 0 and total == len(ids)
+            assert crc == zlib.crc32(ids[start : start + length].tobytes())
+            at += length
+        assert at == len(ids)
+    fills = []
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, length in sorted(pieces):
+            assert offset == at
+            at += length
+        assert 0 < at <= window
+        fills.append(at)
+    return fills
+
+
+def test_levels_minimise_the_sum_of_squares():
+    rng = random.Random(4)
+    levels, counts = Levels(32), defaultdict(int)
+    for _ in range(3000):
+        size = rng.choice([rng.randint(1, 31), 7, 20])
+
+        def after(h):
+            new = defaultdict(int, counts)
+            if h:
+                new[h] -= 1
+            if h + size < 32:
+                new[h + size] += 1
+            return sum(n * n for n in new.values())
+
+        open_levels = [0, *(h for h, n in counts.items() if n and h + size <= 32)]
+        best = min(map(after, open_levels))
+        h = levels.choose(size)
+        assert h in open_levels and after(h) == best
+        assert h == max(x for x in open_levels if after(x) == best)
+        if h:
+            counts[h] -= 1
+        if h + size < 32:
+            counts[h + size] += 1
+        assert {i: int(n) for i, n in enumerate(levels.counts) if n} == {i: n for i, n in counts.items() if n}
+
+
+@pytest.mark.parametrize("seed,most_open,same", [(1, 4096, 0), (2, 3, 0), (3, 5, 40), (4, 1, 33)])
+def test_packer(seed, most_open, same):
+    rng = random.Random(seed)
+    documents = {i: [rng.randrange(50_000) for _ in range(same or rng.choice([1, 5, 63, 64, 65, 128, rng.randint(1, 200)]))] for i in range(700)}
+    packer = Packer(10, 64, most_open)
+    for doc, ids in documents.items():
+        packer.add(doc, np.array(ids, np.uint32))
+        assert packer.n_open == sum(map(len, packer.open.values())) == packer.levels.counts.sum() <= most_open + 1
+    packer.join(last=True)
+    fills = check_sequences(packer.taken(), documents, 64)
+    rest = sorted(f for f in fills if f < 64)
+    assert len(rest) == len(set(rest)) and all(f & (f - 1) == 0 for f in rest)
+    assert sum(fills) == sum(map(len, documents.values()))
+
+
+def test_words_are_encoded_as_in_the_text(tokenizer, monkeypatch):
+    rng = random.Random(7)
+    parts = ["Hello", "don't", "naïve", "é", "ÅB", " ", " ", "3.14", "日本", "<|endoftext|>", "<|startoftext|>x", "!?", "'s", "\x00", "\x1c", "ΣΑΣ", "İ", "ß", "́"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", " ", "\n", "\t ", "\r\n", "\x0b", "\x0c"]) for _ in range(rng.randint(0, 15))) for _ in range(400)]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = WordEncoder(WORD_TOKENIZER)
+    assert [x.tolist() for x in encoder.encode([t.encode() for t in texts])] == expected
+    monkeypatch.setattr("evenkeel.llm.packing.REMEMBERED", 5)
+    assert [x.tolist() for t in texts for x in encoder.encode([t.encode()])] == expected
+
+
+def test_documents(spark, tokenizer):
+    reachable_by_workers(spark)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    documents = {r.doc_id: ids_of(tokenizer, r.text) for r in docs.collect()}
+    rows = [tuple(r) for r in pack(docs.repartition(3), WORD_TOKENIZER).collect()]
+    fills = check_sequences(rows, documents, 4096)
+    assert all(f == 4096 or f & (f - 1) == 0 for f in fills)
+    assert len(fills) <= sum(map(len, documents.values())) / 4096 + 3 * 13
+    whole = sum(r[2] == r[4] for r in rows)  # documents that fit were mostly not cut
+    assert whole > 0.8 * sum(len(d) < 4096 for d in documents.values())
+
+
+def test_odd_rows(spark, tokenizer):
+    reachable_by_workers(spark)
+    rows = [(1, None, 0), (2, "", 0), (3, "a", 0), (4, "word " * 20_000, 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, start int")
+    check_sequences([tuple(r) for r in pack(docs, WORD_TOKENIZER).collect()], {i: ids_of(tokenizer, t) for i, t, _ in rows}, 4096)
+    again = spark.createDataFrame([(None, "a b"), (None, "a b"), (5, "a b"), (5, "a b")], "doc_id long, text string")
+    assert sum(r.length for r in pack(again, WORD_TOKENIZER).collect()) == 12
+    assert pack(docs.limit(0), WORD_TOKENIZER).collect() == []

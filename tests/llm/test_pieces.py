@@ -1,0 +1,138 @@
+"""Pieces against plain Viterbi, and against the library's lattice on the same model declared as Unigram."""
+
+import random
+
+import numpy as np
+import pytest
+import sentencepiece
+from pyspark.sql import functions as F
+
+from evenkeel.llm.common import reachable_by_workers
+from evenkeel.llm.pieces import Pieces, Trie, decode, encode
+from evenkeel.llm.queries import PIECE_MODEL
+
+BPE, UNIGRAM = b"\x18\x02 \x80\xfa\x01", b"\x18\x01 \x80\xfa\x01"
+
+
+@pytest.fixture(scope="module")
+def model():
+    return Pieces(PIECE_MODEL)
+
+
+@pytest.fixture(scope="module")
+def library():
+    data = open(PIECE_MODEL, "rb").read()
+    assert data.count(BPE) == 1
+    return sentencepiece.SentencePieceProcessor(model_proto=data.replace(BPE, UNIGRAM))
+
+
+def test_trie_finds_its_keys_and_no_others():
+    rng = random.Random(1)
+    keys = list({bytes(rng.choices(b"abc\x00\xff", k=rng.randint(1, 6))) for _ in range(400)})
+    trie = Trie(keys)
+
+    def find(key):
+        state = np.array([0])
+        for b in key:
+            state = trie.step(state, np.array([b]))
+            if state[0] < 0:
+                return -1
+        return int(trie.value[state[0]])
+
+    assert [find(k) for k in keys] == list(range(len(keys)))
+    others = {bytes(rng.choices(b"abcd\x00\xff", k=rng.randint(1, 7))) for _ in range(400)} - set(keys)
+    assert all(find(k) == -1 for k in others)
+
+
+def plain_viterbi(model, text):
+    """The best sum of scores of a whole text, position by position, and the one whose last pieces are longest."""
+    if not text:
+        return []
+    score = {model.text[i].decode(): (s, int(i)) for i, s in zip(model.ids, model.score, strict=True)}
+    marked = "▁" + text.replace(" ", "▁")
+    best = [(0.0, 0, [])] + [None] * len(marked)
+    for p in range(len(marked)):
+        for q in range(p + 1, min(len(marked), p + model.longest) + 1):
+            if marked[p:q] in score:
+                s, i = score[marked[p:q]]
+                step = (best[p][0] + s, p, [i])
+            elif q == p + 1:
+                step = (best[p][0] + model.cost, p, [int(model.byte[b]) for b in marked[p:q].encode()])
+            else:
+                continue
+            if best[q] is None or step[0] > best[q][0]:
+                best[q] = step
+    ids, q = [], len(marked)
+    while q:
+        ids = best[q][2] + ids
+        q = best[q][1]
+    return ids
+
+
+WORDS = ["the", "internationalisation", "naïve", "Straße", "of", "them", "x" * 30, "hello", "--", "Queen", "that"]
+
+
+def test_same_as_plain_viterbi(model):
+    rng = random.Random(3)
+    more = ["日本語", "\U0001f600", "\t", "\n", "3.14", "\x07", "ñ"]
+    texts = ["", " ", "  ", "a", " a", "a ", "a  b", "▁", "a▁b", "\U000e0041", "\n\n", "\x00"]
+    texts += [" ".join(rng.choices(WORDS + more, k=rng.randint(1, 12))) for _ in range(150)]
+    texts += ["".join(rng.choices("abc deé́中\U0001f680 \n", k=rng.randint(1, 40))) for _ in range(150)]
+    ids, sizes = model.encode([t.encode() for t in texts])
+    got = [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])]
+    assert got == [plain_viterbi(model, t) for t in texts]
+    assert model.decode(ids, sizes) == [t.replace("▁", " ").encode() for t in texts]
+
+
+def test_best_of_the_library(model, library):
+    """Its lattice adds in single precision, so texts are compared that need no piece scored -1e9."""
+    rng = random.Random(4)
+    score = dict(zip(model.ids.tolist(), model.score.tolist(), strict=True))
+    compared = 0
+    for _ in range(200):
+        text = " ".join(rng.choices(WORDS, k=rng.randint(1, 6)))
+        ids = model.encode([text.encode()])[0].tolist()
+        if all(score.get(i, -1e9) > -1e8 for i in ids):
+            compared += 1
+            best = library.nbest_encode(text, 2)[0]
+            assert sum(score[i] for i in ids) == sum(score.get(i, 0.0) for i in best)
+    assert compared > 50
+
+
+def test_bytes_for_unknown_characters(model):
+    ids, _ = model.encode(["\U000e0041".encode()])
+    assert [model.text[i] for i in ids[-4:]] == [bytes([b]) for b in "\U000e0041".encode()]
+
+
+def test_forgetting_changes_nothing(model, monkeypatch):
+    texts = [f"word{i} and more".encode() for i in range(50)]
+    expected = model.encode(texts)
+    monkeypatch.setattr("evenkeel.llm.pieces.REMEMBERED", 10)
+    for a, b in zip(model.encode(texts), expected, strict=True):
+        assert a.tolist() == b.tolist()
+
+
+def test_documents(spark, sf_dir, model):
+    reachable_by_workers(spark)
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    decoded = decode(encode(docs, PIECE_MODEL), PIECE_MODEL)
+    expected = {r.doc_id: r.text for r in docs.collect()}
+    rows = decoded.collect()
+    assert len(rows) == len(expected)
+    for r in rows:
+        assert r.text == expected[r.doc_id].replace("▁", " ")
+        assert list(model.encode([expected[r.doc_id].encode()])[0]) == r.ids
+
+
+def test_odd_rows(spark):
+    reachable_by_workers(spark)
+    rows = [(1, None, "x"), (1, "", "x"), (None, "a b", None), (2, "a b", "x"), (2, "a b", "x"), (3, "word " * 30_000, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, ids string")
+    got = decode(encode(docs, PIECE_MODEL), PIECE_MODEL).collect()
+    assert sorted((r.doc_id or 0, r.text or "", r.ids is None) for r in got) == sorted(
+        (i or 0, t or "", t is None) for i, t, _ in rows
+    )
+    assert [r.ids for r in got if r.doc_id == 1 and r.text == ""] == [[]]
+    assert encode(docs.limit(0), PIECE_MODEL).collect() == []
+    named = docs.select(F.col("doc_id").alias("my.id"), F.col("text").alias("a`b"))
+    assert encode(named, PIECE_MODEL, "my.id", "a`b").count() == len(rows)

@@ -1,0 +1,102 @@
+"""The pipeline's stages against brute force, each on its own input."""
+
+import random
+
+import pytest
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from evenkeel.llm import language_id
+from evenkeel.llm.common import reachable_by_workers
+from evenkeel.llm.divergence import judge
+from evenkeel.llm.queries import WORD_TOKENIZER
+from evenkeel.sources.workspace import written
+from test_line_dedup import brute as lines_without_copies
+from test_packing import check_sequences, ids_of
+from test_simhash_dedup import brute as components
+
+STAGES = dict(corpus_pipeline.STAGES)
+
+
+@pytest.fixture(scope="module")
+def results(spark):
+    sf_dir = "/root/testdata/sf0.001"
+    found = [spark.read.parquet(f"{sf_dir}/documents.parquet")]
+    for name, stage in corpus_pipeline.STAGES:
+        found.append(written(stage(spark, found[-1], sf_dir), name))
+    return found
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_order_and_columns(results):
+    assert list(STAGES) == ["language", "quality", "lines", "near_copies", "packed"]
+    for df in results[:-1]:
+        assert df.dtypes == results[0].dtypes
+
+
+def test_language(results):
+    docs, kept = results[:2]
+    found = language_id.identify(docs, language_id.train(docs), out="found")
+    expected = found.filter("found.lang_pred <> 'und' and found.score >= 0.3").drop("found")
+    assert rows(kept) == rows(expected) and kept.count() > 0.97 * docs.count()
+
+
+def test_quality(results):
+    docs, kept = results[1:3]
+    assert rows(kept) == rows(judge(docs, out="found").filter("found.kept").drop("found"))
+    assert 0 < kept.count() < docs.count()
+
+
+def test_lines(results):
+    docs, kept = results[2:4]
+    expected = {d: (t, n) for d, t, _, n in lines_without_copies([(r.doc_id, r.text) for r in docs.collect()])}
+    before = {r.doc_id: r for r in docs.collect()}
+    got = {r.doc_id: r for r in kept.collect()}
+    assert set(got) == {d for d, (t, n) in expected.items() if not n or t.strip(" \t\n\x0b\x0c\r")}
+    for d, r in got.items():
+        text, n = expected[d]
+        assert r.text == text and r.n_chars == (len(text) if n else before[d].n_chars)
+        assert (r.lang, r.source) == (before[d].lang, before[d].source)
+
+
+def test_near_copies(results):
+    docs, kept = results[3:5]
+    of = components([(r.doc_id, r.text) for r in docs.collect()])
+    assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in of})
+
+
+def test_packed(results):
+    docs, pieces = results[4:6]
+    tokenizer = Tokenizer.from_file(WORD_TOKENIZER)
+    fills = check_sequences([tuple(r) for r in pieces.collect()], {r.doc_id: ids_of(tokenizer, r.text) for r in docs.collect()}, 4096)
+    assert all(f & (f - 1) == 0 for f in fills)
+
+
+def test_run(spark, results):
+    assert rows(corpus_pipeline.run(spark, "/root/testdata/sf0.001").drop("sequence_id", "offset", "start", "length", "ids_crc32").distinct()) == rows(
+        results[-1].drop("sequence_id", "offset", "start", "length", "ids_crc32").distinct()
+    )
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_odd_documents(spark, name):
+    reachable_by_workers(spark)
+    text = "The words of a line that is long enough to say something in English, and of it there is more."
+    more = "Der andere Text ist auf Deutsch und hat auch genug Worte um etwas zu sagen, und noch mehr davon."
+    rng = random.Random(1)
+    own = [(i, f"{t} Number {i}, {'abcdefgh'[i]}{i} " + " ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(12)), lang, None, None, "x") for i, (t, lang) in enumerate([(text, "en"), (more, "de")] * 4)]
+    odd = [(None, None, None, None, None, None), (10, "", "en", "s", 0, "x"), (11, "\n\n", "en", "s", 2, None), (None, text, None, "s", 1, "x"), own[0], own[0], (12, f"{text}\n" * 2_000, "en", "s", 3, "x")]
+    docs = spark.createDataFrame(own + odd, "doc_id long, text string, lang string, source string, n_chars long, language string")
+    docs = docs.selectExpr("*", "1 as quality", "2 as n_dropped", "3 as kept", "4 as text_hash", "5 as component", "6 as fp")
+    stage = STAGES[name]
+    result = stage(spark, docs, "")
+    got = result.collect()
+    if name == "packed":
+        assert {r.doc_id for r in got} == {r.doc_id for r in docs.collect()}
+    else:
+        assert result.columns == docs.columns and {r.doc_id for r in got} >= set(range(1, 8))
+        assert name != "near_copies" or sum(r.doc_id == 0 for r in got) == 1
+    assert stage(spark, docs.limit(0), "").collect() == []
