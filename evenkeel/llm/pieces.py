@@ -9,6 +9,7 @@ a character that no piece has becomes its bytes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ MARK = "▁".encode()
 #: What a character without a piece costs, below the lowest score.
 UNKNOWN_PENALTY = 10.0
 #: Segments a worker remembers the pieces of.
-REMEMBERED = 600_000
+REMEMBERED = 250_000
 
 
 class Trie:
@@ -105,7 +106,6 @@ class Pieces:
                 self.text[i] = piece.encode()
         self.ids = np.array(normal)
         self.score = np.array([model.get_score(i) for i in normal])
-        self.trie = Trie([self.text[i] for i in normal])
         self.cost = (self.score.min() if len(normal) else 0.0) - UNKNOWN_PENALTY
         self.longest = max((len(self.text[i]) for i in normal), default=0)
         #: No piece has a mark after another character, so that a text may be cut before each mark that follows one.
@@ -115,6 +115,10 @@ class Pieces:
         self.begin = np.concatenate([[0], np.cumsum(sizes)[:-1]])
         self.forget()
 
+    @cached_property
+    def trie(self) -> Trie:
+        return Trie([self.text[i] for i in self.ids])
+
     @staticmethod
     def _unmarked(piece: bytes) -> bytes:
         while piece.startswith(MARK):
@@ -284,27 +288,41 @@ def _parts(batch: pa.Array, texts: int = 500) -> Iterator[pa.Array]:
         yield batch.slice(i, texts)
 
 
-def encode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(
+    docs: DataFrame, model: str, id_col: str = "doc_id", text_col: str = "text", *, decoded: bool = False
+) -> DataFrame:
     """(doc_id, ids), one row for each row of ``docs``; ``ids`` is null for a null text and empty for an empty one.
 
+    With ``decoded`` there is a column ``text`` too: what ``decode`` gives for
+    the ids, made in the same task, so that the ids are not handed over twice.
+
     ``model`` is a SentencePiece file with normalisation off; its pieces and
     scores are taken as they are.  Rows with the same id, null ids among them,
     are encoded each for itself; an empty table gives no rows; other columns
     are ignored.
     """
 
-    def ids(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        own = pieces(model)
         for batch in batches:
-            found = []
+            lists, texts = [pa.array([], pa.list_(pa.int32()))], [pa.array([], pa.string())]
             for part in _parts(batch):
-                flat, sizes = pieces(model).encode(utf8(part))
+                flat, sizes = own.encode(utf8(part))
                 ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-                found.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())))
-            yield pa.concat_arrays(found) if found else pa.array([], pa.list_(pa.int32()))
+                lists.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, pa.int32())))
+                if decoded:
+                    texts.append(_strings(own.decode(flat, sizes)))
+            columns = [pa.concat_arrays(lists), pa.concat_arrays(texts)]
+            yield pa.StructArray.from_arrays(columns[: 1 + decoded], ["ids", "text"][: 1 + decoded])
 
     text = column(text_col).cast("string")
-    encoded = F.arrow_udf(ids, "array<int>")(text)
-    return docs.select(column(id_col).alias("doc_id"), F.when(text.isNotNull(), encoded).alias("ids"))
+    result = F.arrow_udf(found, "ids array<int>" + ", text string" * decoded)(text)
+    known = docs.select(column(id_col).alias("doc_id"), F.when(text.isNotNull(), result).alias("found"))
+    return known.select("doc_id", "found.*")
+
+
+def _strings(texts: list[bytes]) -> pa.Array:
+    return pa.array([t.decode("utf-8", "replace") for t in texts], pa.string())
 
 
 def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -316,13 +334,13 @@ def decode(encoded: DataFrame, model: str, id_col: str = "doc_id", ids_col: str
 
     def texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            found: list[str] = []
+            found = [pa.array([], pa.string())]
             for part in _parts(batch):
                 filled = part.fill_null(pa.scalar([], part.type)) if part.null_count else part
                 flat = filled.flatten().to_numpy(zero_copy_only=False)
                 sizes = np.asarray(filled.value_lengths(), np.int64)
-                found += [t.decode("utf-8", "replace") for t in pieces(model).decode(flat, sizes)]
-            yield pa.array(found, pa.string())
+                found.append(_strings(pieces(model).decode(flat, sizes)))
+            yield pa.concat_arrays(found)
 
     ids = column(ids_col)
     decoded = F.arrow_udf(texts, "string")(ids)

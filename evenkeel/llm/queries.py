@@ -43,9 +43,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents encoded, and decoded again."""
     docs = table(spark, sf_dir, "documents")
-    encoded = pieces.encode(docs.withColumn("text", F.coalesce("text", F.lit(""))), PIECE_MODEL)
-    decoded = pieces.decode(encoded, PIECE_MODEL)
-    return decoded.select(
+    encoded = pieces.encode(docs.withColumn("text", F.coalesce("text", F.lit(""))), PIECE_MODEL, decoded=True)
+    return encoded.select(
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256")
     )
 

@@ -116,6 +116,7 @@ def test_documents(spark, sf_dir, model):
     reachable_by_workers(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     decoded = decode(encode(docs, PIECE_MODEL), PIECE_MODEL)
+    assert sorted(map(tuple, encode(docs, PIECE_MODEL, decoded=True).collect())) == sorted(map(tuple, decoded.collect()))
     expected = {r.doc_id: r.text for r in docs.collect()}
     rows = decoded.collect()
     assert len(rows) == len(expected)
