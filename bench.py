@@ -23,7 +23,7 @@ from queries.registry import table  # noqa: E402
 
 HEADLINE = (
     "reconcile_flagship", "reconcile_hash", "reconcile_exact", "reconcile_anti_inner", "reconcile_identical",
-    "reconcile_summary", "reconcile_composite_key", "reconcile_duplicates", "reconcile_filtered",
+    "reconcile_summary", "reconcile_composite_key", "reconcile_repeated_rows", "reconcile_duplicates", "reconcile_filtered",
     "reconcile_from_snapshot", "reconcile_coerced", "diff_by_type", "diff_by_column", "normalise_values",
     "filter_pk_range", "filter_pk_set_table", "filter_date_range", "apply_mapping_derived", "enrich_many",
     "null_handling", "fill_mode", "dialect_coercion", "scalar_numeric_rules", "schema_diff", "not_null_check",

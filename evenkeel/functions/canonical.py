@@ -92,6 +92,30 @@ def rounded_double(value: str, scale: int) -> str:
     return f"coalesce(if({is_clear}, rint({scaled}) / {unit}, {exact}), {value})"
 
 
+def exact_number(value: str, dtype: T.DataType) -> str:
+    """A number as its shortest decimal text, the same for every type that can hold it.
+
+    A float stands for the decimal it prints as.  A value that 38 digits cannot
+    hold without rounding keeps the text of its own type.
+    """
+    text = f"cast({value} as string)"
+    if isinstance(dtype, _INTEGRAL):
+        return text
+
+    def fits(scale: int) -> str:
+        decimal = f"try_cast({text} as decimal({MAX_PRECISION},{scale}))"
+        back = "double" if isinstance(dtype, _FLOATING) else f"decimal({dtype.precision},{dtype.scale})"
+        whole = f"cast({text} as double)" if isinstance(dtype, _FLOATING) else value
+        return f"if(try_cast({decimal} as {back}) = {whole}, cast({decimal} as string), null)"
+
+    plain = f"coalesce({fits(18)}, {fits(0)}, {text})"
+    return f"regexp_replace(regexp_replace({plain}, '^(-?[0-9]+[.][0-9]*?)0+$', '$1'), '[.]$', '')"
+
+
+def nested(dtype: T.DataType) -> bool:
+    return isinstance(dtype, (T.ArrayType, T.MapType, T.StructType, T.VariantType))
+
+
 def _whole_digits(dtype: T.DataType) -> int:
     if isinstance(dtype, T.DecimalType):
         return dtype.precision - dtype.scale
@@ -120,6 +144,11 @@ class Comparable:
     def text(self, value: str, left: bool) -> str:
         """Canonical string of ``value``; null stays null."""
         dtype, other = (self.left_type, self.right_type) if left else (self.right_type, self.left_type)
+        if nested(dtype):
+            parts = self._parts(value, left)
+            return f"to_json({parts}, map('ignoreNullFields', 'false'))"
+        if self._are((T.BinaryType,)):
+            return f"hex({value})"
         if self.coerce:
             if isinstance(dtype, T.StringType) and isinstance(other, _NUMERIC + _TIMES + (T.DateType,)):
                 return self._text_as(value, other)
@@ -137,6 +166,31 @@ class Comparable:
         # so that a null never stands for a value
         return f"coalesce(cast({_as_decimal(value, self.scale)} as string), cast({value} as string))"
 
+    def _parts(self, value: str, left: bool, depth: int = 0) -> str:
+        """A nested value with its leaves in canonical text; the entries of a map are put in order."""
+        dtype, other = (self.left_type, self.right_type) if left else (self.right_type, self.left_type)
+        x = f"x{depth}"
+
+        def leaf(inner: str, own: T.DataType, theirs: T.DataType) -> str:
+            types = (own, theirs) if left else (theirs, own)
+            pair = Comparable(self.name, *types, self.coerce)
+            return pair._parts(inner, left, depth + 1) if nested(own) else pair.text(inner, left)
+
+        if isinstance(dtype, T.VariantType):
+            return value
+        if isinstance(dtype, T.ArrayType):
+            theirs = other.elementType if isinstance(other, T.ArrayType) else dtype.elementType
+            return f"transform({value}, {x} -> {leaf(x, dtype.elementType, theirs)})"
+        if isinstance(dtype, T.MapType):
+            same = other if isinstance(other, T.MapType) else dtype
+            entry = f"struct({leaf(f'{x}.key', dtype.keyType, same.keyType)}, {leaf(f'{x}.value', dtype.valueType, same.valueType)})"
+            return f"array_sort(transform(map_entries({value}), {x} -> {entry}))"
+        same = other if isinstance(other, T.StructType) and other.names == dtype.names else dtype
+        fields = ", ".join(
+            f"{literal(f.name)}, {leaf(f'{value}.{quoted(f.name)}', f.dataType, same[f.name].dataType)}" for f in dtype
+        )
+        return f"if({value} is null, null, named_struct({fields}))"
+
     def _text_as(self, value: str, other: T.DataType) -> str:
         """Text read by the type of the other side; text that does not fit stays as it is."""
         cleaned = clean_string(value)
@@ -178,7 +232,7 @@ class Comparable:
         too, so the text is only built for the rows where they are not.
         """
         text_differs = f"not ({self.text(left, True)} <=> {self.text(right, False)})"
-        if self.left_type != self.right_type:
+        if self.left_type != self.right_type or nested(self.left_type):
             return f"({text_differs})"
         raw_differs = f"not ({left} <=> {right})"
         if self._are(_INTEGRAL + (T.BooleanType, T.DateType)):
@@ -192,7 +246,7 @@ class Comparable:
         if self._are(_NUMERIC) and (
             isinstance(self.left_type, _FLOATING) or isinstance(self.right_type, _FLOATING)
         ):
-            return f"cast(cast({value} as double) + 0D as string)"
+            return exact_number(value, self.left_type if left else self.right_type)
         if self._are((T.BooleanType,)) or self._are((T.DateType,)):
             return value
         if self._are(_TIMES):
@@ -205,8 +259,19 @@ def comparables(left: T.StructType, right: T.StructType, columns, coerce: bool =
 
 
 def key_text(keys) -> str:
-    """Printable key as SQL; a null piece is written as an empty one."""
-    return "concat_ws('|', " + ", ".join(f"coalesce(cast({quoted(k)} as string), '')" for k in keys) + ")"
+    r"""Printable key as SQL: different keys have different texts.
+
+    Null is ``\N``, a backslash is doubled, and the separator ``|`` inside a
+    piece of a composite key is written ``\|``.
+    """
+
+    def piece(k: str) -> str:
+        text = rf"replace(cast({quoted(k)} as string), '\\', '\\\\')"
+        if len(keys) > 1:
+            text = rf"replace({text}, '|', '\\|')"
+        return rf"coalesce({text}, '\\N')"
+
+    return "concat_ws('|', " + ", ".join(piece(k) for k in keys) + ")"
 
 
 def fold_names(df):

@@ -25,6 +25,10 @@ class NullViolationError(ValueError):
     """A required column holds nulls."""
 
 
+class UniqueViolationError(ValueError):
+    """A unique column holds a value twice."""
+
+
 def _type_group(data_type: Column) -> Column:
     """One name for all spellings of a type; NUMBER(p) means NUMBER(p,0)."""
     name = F.upper(F.trim(data_type))
@@ -103,26 +107,35 @@ def key_uniqueness(df: DataFrame, keys) -> DataFrame:
 def unique_columns(df: DataFrame, columns) -> DataFrame:
     """Uniqueness of each column on its own; nulls are not counted, as in a UNIQUE constraint.
 
-    One scan: Spark expands the distinct counts and dedupes values before the shuffle.
+    One scan.  A value goes to the shuffle as the number of its column and 128
+    bits of hash, whatever its width, and equal ones are counted in each task
+    first; two values of a column would have to agree in all of these bits to
+    be taken for one.
     """
-    counts = df.agg(*[
-        f(c).alias(f"{n}{i}")
-        for i, c in enumerate(columns)
-        for n, f in (("_t", F.count), ("_d", F.count_distinct))
-    ])
-    per_column = F.array(*[
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col(f"_t{i}").alias("total_rows"),
-            F.col(f"_d{i}").alias("distinct_values"),
-        )
+    numbered = F.array(*[
+        F.when(F.col(c).isNotNull(), F.struct(
+            F.lit(i).alias("i"), F.xxhash64(F.lit(0), c).alias("h"), F.xxhash64(F.lit(1), c).alias("g")
+        ))
         for i, c in enumerate(columns)
     ])
-    return counts.select(F.inline(per_column)).withColumn(
-        "is_unique", F.col("total_rows") == F.col("distinct_values")
+    values = df.select(F.inline(F.filter(numbered, lambda v: v.isNotNull()))).groupBy("i", "h", "g").agg(F.count(F.lit(1)).alias("n"))
+    counts = values.groupBy("i").agg(F.sum("n").alias("t"), F.count(F.lit(1)).alias("d"))
+    names = df.sparkSession.createDataFrame([(i, c) for i, c in enumerate(columns)], "i int, column_name string")
+    total, distinct = F.coalesce("t", F.lit(0)), F.coalesce("d", F.lit(0))
+    return names.join(counts, "i", "left").select(
+        "column_name", total.alias("total_rows"), distinct.alias("distinct_values"), (total == distinct).alias("is_unique")
     )
 
 
+def require_unique(df: DataFrame, columns) -> None:
+    """Raise if one of the columns holds a value twice."""
+    bad = unique_columns(df, list(columns)).filter("not is_unique").orderBy("column_name").collect()
+    if bad:
+        raise UniqueViolationError("repeated values in unique columns: " + ", ".join(
+            f"{r.column_name} ({r.total_rows - r.distinct_values} too many)" for r in bad
+        ))
+
+
 def join_fanout(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Rows before and after a left join, worked out without running the join.
 

@@ -15,6 +15,11 @@ map-side partial aggregation.  It does the work of anti joins in both
 directions with one shuffle.  A key that holds a third of a table is one row
 per map task after that, and duplicate keys are known before any join, so no
 join here can fan out or put a hot key into one task.
+
+Rows under a repeated key have no partner of their own.  They are compared as
+sets with repeats: grouped by key *and row hash*, so that equal rows of both
+sides cancel out and a hot key spreads over its contents.  What is left over
+is missing or extra, with its number of rows.  No join on the key is needed.
 """
 
 from __future__ import annotations
@@ -42,7 +47,8 @@ AUDIT_COLUMNS = ("load_ts", "batch_id")
 # measured in the census, never guessed.
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 
-# A hot key holds more than one row in this many; so there are never more hot keys than that.
+# A hot key holds more than one row in this many; so there are never more hot keys than that,
+# and as pairs of 64-bit hashes they take a few MB.
 HOT_KEY_SHARE = 50_000
 
 DIFF_SCHEMA = T.StructType([
@@ -96,8 +102,8 @@ class _Pair:
         raw = [f"{quoted(c.name)} as {_side_column(c, left)}" for c in self.columns]
         return self._side(left).selectExpr(*self._key_columns(left), *raw)
 
-    def _hashed(self, left: bool, counters: list[str]) -> DataFrame:
-        """Keys, counters and the row hash in pieces of 64 bits.
+    def hashed(self, left: bool) -> DataFrame:
+        """Keys, a counter for each side and the row hash in pieces of 64 bits.
 
         The values to hash are projected first: the optimizer keeps them apart
         because every piece uses them, so each is made canonical once.
@@ -107,8 +113,18 @@ class _Pair:
         values = self._side(left).selectExpr(
             *self._key_columns(left), *[f"{v} as {n}" for v, n in zip(inputs, names)]
         )
-        hashes = [f"xxhash64({seed}, {', '.join(names)}) as _h{seed}" for seed in self.seeds]
-        return values.selectExpr(*self.key_names, *counters, *hashes)
+        hashes = [f"xxhash64({seed}, {', '.join(names)}) as {piece}" for seed, piece in enumerate(self.pieces)]
+        return values.selectExpr(*self.key_names, *_counters(left), *hashes)
+
+    @property
+    def pieces(self) -> list[str]:
+        """The columns of the row hash; none if there is nothing to compare but keys."""
+        return [f"_h{seed}" for seed in self.seeds] if self.columns else []
+
+    def key_hash(self) -> list[str]:
+        """128 bits of the key as SQL; nulls count."""
+        parts = ", ".join(f"{k}, {k} is null" for k in self.key_names)
+        return [f"xxhash64({seed}, {parts}) as _kh{seed}" for seed in (0, 1)]
 
     def census(self, hashed: bool) -> DataFrame:
         """One row per key: rows on each side and, if hashed, whether the rows differ.
@@ -117,15 +133,11 @@ class _Pair:
         aggregate with a partial step before the only shuffle.  Grouping treats
         null keys as equal.  Two rows agree exactly when their hashes xor to 0.
         """
-        hashed = hashed and bool(self.columns)
+        pieces = self.pieces if hashed else []
 
         def side(left: bool) -> DataFrame:
-            counters = [f"{int(left)}L as _e", f"{int(not left)}L as _a"]
-            if hashed:
-                return self._hashed(left, counters)
-            return self._side(left).selectExpr(*self._key_columns(left), *counters)
+            return self.hashed(left) if pieces else self._side(left).selectExpr(*self._key_columns(left), *_counters(left))
 
-        pieces = [f"_h{seed}" for seed in self.seeds] if hashed else []
         counted = side(True).unionAll(side(False)).groupBy(*self.key_names).agg(
             F.sum("_e").alias("expected_rows"), F.sum("_a").alias("actual_rows"),
             *[F.bit_xor(p).alias(p) for p in pieces],
@@ -171,9 +183,9 @@ class _Pair:
         entry = _diff_struct(literal(c.name), c.text(expected, True), c.text(actual, False))
         return f"if({c.differs(expected, actual)}, {entry}, null)"
 
-    def marker_rows(self, rows: DataFrame) -> DataFrame:
-        """The same for key rows that are all missing or extra."""
-        entry = f"if(status = '{MISSING}', {_marker(MISSING)}, {_marker(EXTRA)}) as cell"
+    def marker_rows(self, rows: DataFrame, number: str = "1L") -> DataFrame:
+        """The same for keys of which ``number`` rows are missing or extra; the marker says so if there are several."""
+        entry = f"if(status = '{MISSING}', {_marker(MISSING, number)}, {_marker(EXTRA, number)}) as cell"
         return self._labelled(rows.selectExpr(*self.key_names, "status", "0 as entry", entry))
 
     def _labelled(self, rows: DataFrame) -> DataFrame:
@@ -187,6 +199,10 @@ class _Pair:
         )
 
 
+def _counters(left: bool) -> list[str]:
+    return [f"{int(left)}L as _e", f"{int(not left)}L as _a"]
+
+
 def _side_column(c, left: bool) -> str:
     return quoted(("e_" if left else "a_") + c.name)
 
@@ -195,8 +211,14 @@ def _diff_struct(column: str, expected: str, actual: str) -> str:
     return f"named_struct('column_name', {column}, 'expected_value', {expected}, 'actual_value', {actual})"
 
 
-def _marker(kind: str) -> str:
-    return _diff_struct(*[literal(v) for v in _ROW_MARKERS[kind]])
+def _marker(kind: str, number: str = "1L") -> str:
+    column, expected, actual = (literal(v) for v in _ROW_MARKERS[kind])
+    times = f"if({number} > 1, concat(' x', {number}), '')"
+    if kind == MISSING:
+        expected = f"concat({expected}, {times})"
+    else:
+        actual = f"concat({actual}, {times})"
+    return _diff_struct(column, expected, actual)
 
 
 class Reconciliation:
@@ -293,6 +315,7 @@ def _run_census(pair: _Pair, hashed: bool):
         "duplicate_keys": of(DUPLICATE, "keys"),
         "mismatch_bytes": of(MISMATCH, "bytes"),
         "duplicate_bytes": of(DUPLICATE, "bytes"),
+        "duplicate_rows": of(DUPLICATE, "expected_rows"),
         "changed": per_status.get(MISMATCH),
     }
 
@@ -304,25 +327,42 @@ def _keys_with(findings: DataFrame, pair: _Pair, kind: str) -> DataFrame:
 def _without_hot_keys(pair: _Pair, sides: list[DataFrame], findings: DataFrame, counts: dict) -> list[DataFrame]:
     """Drop rows of hot repeated keys before a shuffle, which would put each into one task.
 
-    At most ``HOT_KEY_SHARE`` keys can be that hot; their size is measured and
-    they are broadcast, or fewer and hotter ones if the keys are very long.
-    Rows of repeated keys are not compared in any case.
+    There are fewer than ``HOT_KEY_SHARE`` such keys, and they are broadcast as
+    128-bit hashes, so their size is bounded however long they are.  Rows of
+    repeated keys are compared on their own.
     """
     if not counts["duplicate_keys"]:
         return sides
-    repeated = findings.filter(F.col("status") == DUPLICATE)
     key_rows, all_rows = F.col("expected_rows") + F.col("actual_rows"), counts["source_rows"] + counts["target_rows"]
-    share = HOT_KEY_SHARE
-    while share:
-        hot = repeated.filter(key_rows > all_rows // share)
-        size = hot.agg(F.coalesce(F.sum(pair.key_bytes()), F.lit(0))).first()[0]
-        if size == 0:
-            return sides
-        if size <= BROADCAST_KEY_BYTES:
-            hot = F.broadcast(hot.select(*pair.key_names))
-            return [rows.join(hot, pair.on(rows, hot), "left_anti") for rows in sides]
-        share //= 8
-    return sides
+    hot = findings.filter((F.col("status") == DUPLICATE) & (key_rows > all_rows // HOT_KEY_SHARE))
+    hot = F.broadcast(hot.selectExpr(*pair.key_hash()))
+    hashes = ["_kh0", "_kh1"]
+    return [rows.selectExpr("*", *pair.key_hash()).join(hot, hashes, "left_anti").drop(*hashes) for rows in sides]
+
+
+def _left_over(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
+    """(keys, status, rows) of the rows of repeated keys that only one side has, written.
+
+    All rows are grouped by key and content, which folds equal ones in each
+    task, then the few left-over counts by key.  Few repeated keys are
+    broadcast to leave the other rows out before the shuffle; else the counts,
+    by then one row for each key, are joined with the repeated keys.
+    """
+    repeated = _keys_with(findings, pair, DUPLICATE)
+    sides = [pair.hashed(True), pair.hashed(False)]
+    few = counts["duplicate_bytes"] <= BROADCAST_KEY_BYTES
+    if few:
+        wanted = F.broadcast(repeated)
+        sides = [rows.join(wanted, pair.on(rows, wanted), "left_semi") for rows in sides]
+    contents = sides[0].unionAll(sides[1]).groupBy(*pair.key_names, *pair.pieces).agg(F.sum("_e").alias("_e"), F.sum("_a").alias("_a"))
+    per_key = contents.filter("_e <> _a").groupBy(*pair.key_names).agg(
+        F.sum(F.greatest(F.col("_e") - F.col("_a"), F.lit(0))).alias(MISSING),
+        F.sum(F.greatest(F.col("_a") - F.col("_e"), F.lit(0))).alias(EXTRA),
+    )
+    if not few:
+        per_key = per_key.join(repeated, pair.on(per_key, repeated), "left_semi")
+    of_kind = ", ".join(f"struct('{kind}' as status, {kind} as rows)" for kind in (MISSING, EXTRA))
+    return written(per_key.selectExpr(*pair.key_names, f"inline(array({of_kind}))").filter("rows > 0"), "left_over")
 
 
 def _only_changed(pair: _Pair, findings: DataFrame, counts: dict) -> list[DataFrame]:
@@ -357,6 +397,8 @@ def _unique(pair: _Pair, findings: DataFrame, counts: dict) -> list[DataFrame]:
 
 
 def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
+    if not counts["missing_rows"] + counts["extra_rows"] + counts["mismatched_rows"]:
+        return None
     diff = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
     if counts["mismatched_rows"]:
         left, right = _only_changed(pair, findings, counts)
@@ -420,11 +462,16 @@ def reconcile(
     Names match without regard to case.  ``columns`` defaults to all common
     columns but the keys and ``exclude``; an empty list compares keys only.
     Keys that occur more than once on a side are reported in ``duplicates`` and
-    fail the verdict; their rows are not paired up.  ``on_duplicate="raise"``
-    turns them into an error.  ``coerce`` compares date with timestamp, boolean
-    with number and text with typed values in the wider type; without it those
-    pairs differ.  ``hash_bits=64`` shuffles a third less; two rows are only
-    compared on the same key, so one changed row in 2**64 would be missed.
+    fail the verdict; ``on_duplicate="raise"`` turns them into an error.  Their
+    rows are compared as sets with repeats: a row that the other side has not,
+    or not so often, is missing or extra, and a difference of several rows says
+    how many.  So every row is matched, mismatched, missing or extra.
+
+    Without ``coerce`` values of different kinds are compared as the text they
+    print as; with it text is read by the type of the other side, a date
+    counts as its midnight and a boolean as 0 or 1.  ``hash_bits=64`` shuffles a
+    third less; two rows are only compared on the same key, so one changed row
+    in 2**64 would be missed.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -444,8 +491,10 @@ def reconcile(
         raise DuplicateKeyError(f"{counts['duplicate_keys']} key(s) of {keys} occur more than once")
 
     if strategy == "hash":
-        def find_diff():
-            return _hash_diff(pair, findings, counts)
+        unique = dict(counts)
+
+        def unique_diff():
+            return _hash_diff(pair, findings, unique)
     else:
         compare = _exact_diff if strategy == "exact" else _anti_diff
         diff, changed = compare(pair, findings, counts)
@@ -453,9 +502,22 @@ def reconcile(
         counts["mismatched_rows"] = changed
         counts["matched_rows"] -= changed
 
-        def find_diff():
+        def unique_diff():
             return diff
 
+    left_over = _left_over(pair, findings, counts) if counts["duplicate_keys"] else None
+    if left_over is not None:
+        rows = dict(left_over.groupBy("status").agg(F.sum("rows")).collect())  # two at most
+        counts["missing_rows"] += rows.get(MISSING, 0)
+        counts["extra_rows"] += rows.get(EXTRA, 0)
+        counts["matched_rows"] += counts["duplicate_rows"] - rows.get(MISSING, 0)
+
+    def find_diff():
+        parts = [unique_diff()]
+        if left_over is not None:
+            parts.append(pair.marker_rows(left_over, "rows").drop("entry"))
+        return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
+
     counts["total_diffs"] = counts["missing_rows"] + counts["extra_rows"] + counts["mismatched_rows"]
     names = ("source_rows", "target_rows", "matched_rows", "missing_rows", "extra_rows",
              "mismatched_rows", "total_diffs", "duplicate_keys")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.operators.reconcile import DIFF_SCHEMA, EXTRA, MISMATCH, MISSING, Reconciliation
-from evenkeel.sources.files import write_csv
+from evenkeel.sources.files import save_snapshot
 
 
 def check_diff_columns(diff: DataFrame) -> None:
@@ -16,9 +16,20 @@ def check_diff_columns(diff: DataFrame) -> None:
 
 
 def diff_by_type(diff: DataFrame) -> DataFrame:
-    """Rows affected per kind of difference; a row with several changed cells counts once."""
+    """Rows affected per kind of difference; a row with several changed cells counts once.
+
+    A whole-row difference counts as many rows as its marker says, and needs no
+    distinct count; only the keys of changed cells are told apart.
+    """
     check_diff_columns(diff)
-    return diff.groupBy("diff_type").agg(F.count_distinct("primary_key_value").alias("affected_rows"))
+    number = [F.regexp_extract(c, r" x(\d+)$", 1).try_cast("long") for c in ("expected_value", "actual_value")]
+    whole = diff.filter(F.col("diff_type") != MISMATCH).groupBy("diff_type").agg(
+        F.sum(F.coalesce(*number, F.lit(1))).alias("affected_rows")
+    )
+    changed = diff.filter(F.col("diff_type") == MISMATCH).groupBy("diff_type").agg(
+        F.count_distinct("primary_key_value").alias("affected_rows")
+    )
+    return whole.unionByName(changed)
 
 
 def diff_by_column(diff: DataFrame) -> DataFrame:
@@ -53,10 +64,14 @@ def summary_text(result: Reconciliation, location: str = "") -> str:
 
 
 def write_report(result: Reconciliation, path: str, fmt: str = "csv") -> int:
-    """Write the diff table as a directory of files and return the exit code."""
+    """Write the diff table as a directory of files and return the exit code.
+
+    The repeated keys go beside it to ``path_duplicates`` and the counts with
+    the verdict to ``path_summary``, so a check that fails by repeated keys
+    alone shows them too.
+    """
     check_diff_columns(result.diff)
-    if fmt == "csv":
-        write_csv(result.diff, path)
-    else:
-        result.diff.write.mode("overwrite").format(fmt).save(path)
+    beside = path.rstrip("/")
+    for df, to in ((result.diff, path), (result.duplicates, f"{beside}_duplicates"), (result.summary, f"{beside}_summary")):
+        save_snapshot(df, to, fmt)
     return result.exit_code

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
+from evenkeel.functions.canonical import quoted
 from evenkeel.operators.reconcile import DuplicateKeyError
 from evenkeel.operators.quality import repeated_keys
 
 
-def upsert(target: DataFrame, changes: DataFrame, keys, *, check_unique: bool = False) -> DataFrame:
+def upsert(target: DataFrame, changes: DataFrame, keys, *, check_unique: bool = True, latest_by: str | None = None) -> DataFrame:
     """The target after the changes: its rows whose key is not changed, plus all changes.
 
+    Several changes of one key are an error, which costs a count of the keys of
+    ``changes``; or the one with the largest ``latest_by`` counts.  Without
+    ``check_unique`` the caller vouches for one change for each key.
+
     The target is only scanned if the changes are small enough to broadcast;
     otherwise both sides shuffle once on the key.  Write the result to a new
     place, since a table cannot be replaced while it is read.
@@ -18,7 +24,14 @@ def upsert(target: DataFrame, changes: DataFrame, keys, *, check_unique: bool =
     keys = [keys] if isinstance(keys, str) else list(keys)
     if set(map(str.lower, target.columns)) != set(map(str.lower, changes.columns)):
         raise ValueError(f"columns differ: {target.columns} and {changes.columns}")
-    if check_unique and not repeated_keys(changes, keys).isEmpty():
+    if latest_by is not None:
+        whole = F.max_by(F.struct(*map(quoted_column, changes.columns)), quoted_column(latest_by))
+        changes = changes.groupBy(*keys).agg(whole.alias("_latest")).select("_latest.*")
+    elif check_unique and not repeated_keys(changes, keys).isEmpty():
         raise DuplicateKeyError(f"the changes hold several rows for one key of {keys}")
     kept = target.join(changes.select(*keys), keys, "left_anti")
     return kept.select(*target.columns).unionByName(changes)
+
+
+def quoted_column(name: str) -> Column:
+    return F.col(quoted(name))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.functions.rules import BATCH_ID, constant, expression, fill, snowflake_value
 from evenkeel.plans.spec import ColumnRule, JoinDef, SpecError, TableSpec
+from evenkeel.sources.workspace import written
 
 DIALECTS = ("mysql", "snowflake")
 
@@ -17,9 +18,11 @@ def enrich(df: DataFrame, join: JoinDef, other: DataFrame) -> DataFrame:
     """Join one table and add its fetched columns as ``alias_column``.
 
     The join key is a plain equality, so Spark broadcasts a small table by its
-    known size, and splits a hot key of a large one at run time.  A right join
-    allows neither for the main table, so it is put together from an inner join
-    and the rows of the other table that no main row refers to.
+    known size, and splits a hot key of a large one at run time (with adaptive
+    execution off it cannot).  A right join allows neither for the main table,
+    so it is put together from an inner join and the rows of the other table
+    that no main row refers to.  It reads the main table twice: give it one
+    that is cheap to read, as ``extract`` does.
     """
     key, how = f"_{join.alias}_key", join.how.lower()
     fetched = other.select(
@@ -40,9 +43,11 @@ def extract(spec: TableSpec, tables: Mapping[str, DataFrame]) -> DataFrame:
     ``tables`` holds a frame per table name, with the database in front for
     joins that name one.
     """
-    df = tables[spec.source_table].select(*spec.needed_columns())
+    df, joined = tables[spec.source_table].select(*spec.needed_columns()), False
     for join in spec.joins:
-        df = enrich(df, join, tables[join.full_table])
+        if joined and join.how.upper() == "RIGHT":
+            df = written(df, "joined")  # it is read twice, and what is upstream shall run once
+        df, joined = enrich(df, join, tables[join.full_table]), True
     return df
 
 

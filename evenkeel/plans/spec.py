@@ -82,7 +82,7 @@ class ColumnRule:
             return found
         if not self.target:
             found.append(f"{name}: {self.transform} needs a target column")
-        if self.transform in ("constant", "cast", "derived") and not self.rule:
+        if self.transform in ("constant", "cast", "derived") and (self.rule is None or self.rule == ""):
             found.append(f"{name}: {self.transform} needs a rule")
         if self.transform in ("direct", "rename") and not self.source and not self.rule:
             found.append(f"{name}: neither a source column nor a rule")

@@ -1,16 +1,21 @@
 """CSV and Parquet snapshots of a table.
 
 A snapshot is a directory written in parallel.  Parquet keeps types by itself;
-a CSV snapshot stores its schema next to the data.  The CSV options keep empty
-strings, nulls, blanks around a value and line breaks inside it apart.
+a CSV snapshot stores its schema next to the data, and whether a value holds a
+line break: only then its files cannot be split between tasks on reading.  The
+CSV options keep empty strings, nulls, blanks around a value and line breaks
+inside it apart; text that looks like the null marker gets a backslash more.
 """
 
 from __future__ import annotations
 
 import json
+from functools import reduce
+from operator import or_
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CSV_OPTIONS = {
@@ -30,33 +35,88 @@ def _schema_path(path: str) -> str:
     return path.rstrip("/") + "_schema"
 
 
+# Fixed value: key of the note that values hold line breaks, in the metadata of the stored schema.
+_MULTILINE = "multiLine"
+
+
+def _text_columns(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+
+
+def _mapped_text(df: DataFrame, change) -> DataFrame:
+    texts = set(_text_columns(df.schema))
+    return df.select(*(change(_column(c)).alias(c) if c in texts else _column(c) for c in df.columns))
+
+
+def _column(name: str) -> Column:
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+# The null marker with any number of backslashes before it gets one more on the way out, and loses it on the way in.
+def _escaped(value: Column) -> Column:
+    return F.when(value.rlike(r"^\\+N$"), F.concat(F.lit("\\"), value)).otherwise(value)
+
+
+def _unescaped(value: Column) -> Column:
+    return F.when(value.rlike(r"^\\{2,}N$"), F.substring(value, 2, 2**31 - 1)).otherwise(value)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write ``df`` and, beside it, its schema as JSON text; an empty frame leaves the schema."""
-    # files with line breaks inside values cannot be split on reading, so none may grow without bound
-    df.write.mode("overwrite").options(**CSV_OPTIONS).option("maxRecordsPerFile", CSV_FILE_ROWS).csv(path)
+    """Write ``df`` and, beside it, its schema as JSON text; an empty frame leaves the schema.
+
+    Whether a value holds a line break is asked of the written files.
+    """
     spark = df.sparkSession
-    spark.createDataFrame([(df.schema.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
-        _schema_path(path)
-    )
+    # files with line breaks inside values cannot be split on reading, so none may grow without bound
+    writer = _mapped_text(df, _escaped).write.mode("overwrite").options(**CSV_OPTIONS)
+    writer.option("maxRecordsPerFile", CSV_FILE_ROWS).csv(path)
+    texts = _text_columns(df.schema)
+    broken = [_column(c).rlike("[\r\n]") for c in texts]
+    written = _reader(spark, multiline=True).schema(df.schema).csv(path)
+    multiline = bool(broken) and not written.filter(reduce(or_, broken)).isEmpty()
+    note = json.dumps({"schema": df.schema.jsonValue(), _MULTILINE: multiline})
+    spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(_schema_path(path))
 
 
-def read_csv(spark: SparkSession, path: str, *, schema=None, as_text=False, multiline=True) -> DataFrame:
+def _reader(spark: SparkSession, *, multiline: bool):
+    return spark.read.options(**CSV_OPTIONS).option("multiLine", multiline)
+
+
+def _stored(spark: SparkSession, path: str) -> dict | None:
+    try:
+        row = spark.read.option("wholetext", True).text(_schema_path(path)).first()
+    except AnalysisException:
+        return None
+    note = json.loads(row.value)
+    # a schema alone is what earlier versions stored
+    return note if "schema" in note else {"schema": note, _MULTILINE: True}
+
+
+def read_csv(spark: SparkSession, path: str, *, schema=None, as_text=False, multiline: bool | None = None) -> DataFrame:
     """Read a CSV snapshot with its stored schema.
 
-    Without a stored schema the types are inferred, which costs one more pass.
-    ``as_text`` reads every column as a string.  Values with line breaks need
-    ``multiline``; without it Spark can split a file between tasks.
+    Without a stored schema the types are inferred, which costs one more pass,
+    and text is taken as it is.  ``as_text`` reads every column as a string.
+    Values with line breaks need ``multiline``; without it Spark can split a
+    file between tasks.  By default the snapshot's own note decides, and where
+    there is none, ``multiline`` is on.
     """
-    reader = spark.read.options(**CSV_OPTIONS).option("multiLine", multiline)
+    stored = _stored(spark, path)
+    if multiline is None:
+        multiline = stored[_MULTILINE] if stored else True
+    reader = _reader(spark, multiline=multiline)
+    if schema is None and stored:
+        schema = T.StructType.fromJson(stored["schema"])
     if as_text:
-        return reader.option("inferSchema", False).csv(path)
+        found = reader.option("inferSchema", False).csv(path)
+        if schema is not None and found.columns == schema.names:
+            texts = set(_text_columns(schema))
+            return found.select(*(_unescaped(_column(c)).alias(c) if c in texts else _column(c) for c in found.columns))
+        return found
     if schema is None:
-        try:
-            stored = spark.read.option("wholetext", True).text(_schema_path(path)).first()
-            schema = T.StructType.fromJson(json.loads(stored.value))
-        except AnalysisException:
-            return reader.option("inferSchema", True).csv(path)
-    return reader.schema(schema).csv(path)
+        return reader.option("inferSchema", True).csv(path)
+    found = reader.schema(schema).csv(path)
+    return _mapped_text(found, _unescaped) if stored else found
 
 
 def save_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -66,5 +126,9 @@ def save_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:
         df.write.mode("overwrite").format(fmt).save(path)
 
 
-def load_snapshot(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return read_csv(spark, path) if fmt == "csv" else spark.read.format(fmt).load(path)
+def load_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", *, schema=None, **options) -> DataFrame:
+    """Read a snapshot; with its ``schema`` given no job is needed to find it. ``options`` are those of the format's reader."""
+    if fmt == "csv":
+        return read_csv(spark, path, schema=schema, **options)
+    reader = spark.read.format(fmt).options(**options)
+    return (reader if schema is None else reader.schema(schema)).load(path)

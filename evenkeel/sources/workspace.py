@@ -10,6 +10,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,8 +41,34 @@ def _local_folder(application: str) -> str:
     return tempfile.mkdtemp(prefix=f"evenkeel-{application}-")
 
 
+_RUN: ContextVar[str | None] = ContextVar("run", default=None)
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for all tables written inside, removed at the end.
+
+    Frames that read those tables are of no use after that: write what is to
+    stay to a place of your own.
+    """
+    folder = f"{shared_folder(spark).rstrip('/')}/run-{uuid.uuid4().hex}"
+    token = _RUN.set(folder)
+    try:
+        yield folder
+    finally:
+        _RUN.reset(token)
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table or folder, wherever Spark writes to."""
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    folder = _RUN.get() or shared_folder(spark).rstrip("/")
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

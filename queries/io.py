@@ -21,17 +21,19 @@ def bounds_of_orders(spark, sf_dir):
 
 _AWKWARD = """
 select {id} as id, {day} as amount,
-       case {id} % 4 when 0 then '' when 1 then null when 2 then '  ' || {text} || ' ' else {text} || chr(10) || '"x", y' end
-       as note from {table}"""
+       case {id} % 6 when 0 then '' when 1 then null when 2 then '  ' || {text} || ' ' when 4 then '\\N' when 5 then '\\\\N'
+       else {text} || chr(10) || '"x", y' end as note from {table}"""
 
 
 def _awkward(spark, sf_dir):
-    """Customers with empty strings, nulls, padding, quotes, commas and line breaks in a column."""
-    rest, name = F.col("c_custkey") % 4, F.col("c_name")
+    """Customers with empty strings, nulls, padding, quotes, commas, line breaks and null markers in a column."""
+    rest, name = F.col("c_custkey") % 6, F.col("c_name")
     note = (
         F.when(rest == 0, "")
         .when(rest == 2, F.concat(F.lit("  "), name, F.lit(" ")))
         .when(rest == 3, F.concat(name, F.lit('\n"x", y')))
+        .when(rest == 4, "\\N")
+        .when(rest == 5, "\\\\N")
     )
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("id"), F.col("c_acctbal").alias("amount"), note.alias("note")
@@ -46,22 +48,21 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path)
 
 
-@query("select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey from customer")
+@query("""
+select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey,
+       cast(cast(c_acctbal as decimal(12,2)) as varchar) as c_acctbal, c_mktsegment from customer""")
 def csv_as_text(spark, sf_dir):
     """Every column read as a string."""
     path = new_table_path(spark, "csv")
-    write_csv(table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey"), path)
+    write_csv(table(spark, sf_dir, "customer").withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(12,2)")), path)
     return read_csv(spark, path, as_text=True)
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
+@query("select * from orders")
 def csv_inferred(spark, sf_dir):
     """A CSV without a stored schema: the types are inferred."""
     path = new_table_path(spark, "csv")
-    orders = table(spark, sf_dir, "orders").select(
-        "o_orderkey", F.col("o_custkey"), "o_orderstatus", "o_totalprice"
-    )
-    orders.write.option("header", True).csv(path)
+    table(spark, sf_dir, "orders").write.option("header", True).csv(path)
     inferred = read_csv(spark, path)
     return inferred.withColumns({c: F.col(c).cast("bigint") for c in ("o_orderkey", "o_custkey")})
 
@@ -91,7 +92,23 @@ def upsert_merge(spark, sf_dir):
         {"o_orderstatus": F.lit("X"), "o_totalprice": F.col("o_totalprice") * 2}
     )
     inserts = orders.filter("o_orderpriority = '5-LOW'").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
-    return upsert(orders, updates.unionByName(inserts), "o_orderkey", check_unique=True)
+    return upsert(orders, updates.unionByName(inserts), "o_orderkey")
+
+
+@query("""
+with c as (select l_orderkey as k, max(l_shipdate) as day from lineitem group by 1)
+select o_orderkey, o_custkey, case when k is not null then 'S' else o_orderstatus end as o_orderstatus, o_totalprice,
+       case when k is not null then day else o_orderdate end as o_orderdate, o_orderpriority
+from orders left join c on o_orderkey = k""")
+def upsert_latest(spark, sf_dir):
+    """Several changes of one order: the latest counts."""
+    orders = table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_shipdate").distinct()
+    changes = orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
+        "o_orderkey", "o_custkey", F.lit("S").alias("o_orderstatus"), "o_totalprice",
+        F.col("l_shipdate").alias("o_orderdate"), "o_orderpriority",
+    )
+    return upsert(orders, changes, "o_orderkey", latest_by="o_orderdate")
 
 
 # --- JDBC ------------------------------------------------------------------------------------------
@@ -119,38 +136,48 @@ def jdbc_orders(spark, sf_dir) -> dict[str, str]:
         }
     copy = (spark.sparkContext.applicationId, options["url"], sf_dir)
     if copy not in _COPIES:
-        columns = [F.col(c).alias(c.upper()) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")]
-        table(spark, sf_dir, "orders").select(*columns).write.format("jdbc").options(**options).option(
+        orders = table(spark, sf_dir, "orders")
+        orders.toDF(*[c.upper() for c in orders.columns]).write.format("jdbc").options(**options).option(
             "dbtable", ORDERS_TABLE
-        ).option("createTableColumnTypes", "O_ORDERSTATUS VARCHAR(10)").mode("overwrite").save()
+        ).option("createTableColumnTypes", "O_ORDERSTATUS VARCHAR(10), O_ORDERPRIORITY VARCHAR(20)").mode("overwrite").save()
         _COPIES.add(copy)
     return options
 
 
-_JDBC_QUERY = f"SELECT O_ORDERKEY, O_CUSTKEY, O_ORDERSTATUS, O_TOTALPRICE FROM {ORDERS_TABLE}"
+_JDBC_QUERY = f"SELECT * FROM {ORDERS_TABLE}"
 
 
 def _lower(df):
     return df.toDF(*[c.lower() for c in df.columns])
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
+@query("select * from orders")
 def jdbc_scan(spark, sf_dir):
     """One connection."""
     return _lower(read_jdbc(spark, jdbc_orders(spark, sf_dir), _JDBC_QUERY + ";"))
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders where o_totalprice >= 250000")
-def jdbc_scan_partitioned(spark, sf_dir):
-    """Several connections, on bounds the database was asked for; the filter runs in the database."""
-    options = jdbc_orders(spark, sf_dir)
+def _split_read(spark, options, key=None):
     partitioning = choose_partitioning(
-        KeyFilter(), "O_ORDERKEY", probe=lambda: probe_bounds(spark, options, ORDERS_TABLE, "O_ORDERKEY")
+        key or KeyFilter(), "O_ORDERKEY", probe=lambda: probe_bounds(spark, options, ORDERS_TABLE, "O_ORDERKEY")
     )
-    return _lower(read_jdbc(spark, options, _JDBC_QUERY, partitioning)).filter("o_totalprice >= 250000")
+    return _lower(read_jdbc(spark, options, _JDBC_QUERY, partitioning))
+
+
+@query("select * from orders")
+def jdbc_scan_partitioned(spark, sf_dir):
+    """Several connections, on bounds the database was asked for."""
+    return _split_read(spark, jdbc_orders(spark, sf_dir))
+
+
+@query("select * from orders where o_orderkey >= 1000 and o_totalprice >= 250000")
+def jdbc_filter_pushdown(spark, sf_dir):
+    """A half-open key range, split on the bound that the database was asked for; both filters run in the database."""
+    key = KeyFilter("pk_range", "o_orderkey", lower=1000)
+    return key.apply(_split_read(spark, jdbc_orders(spark, sf_dir), key)).filter("o_totalprice >= 250000")
 
 
-@query("select o_orderkey, o_custkey, o_orderstatus, o_totalprice from orders")
+@query("select * from orders")
 def jdbc_scan_narrow_bounds(spark, sf_dir):
     """Bounds inside the key range only set the strides; no row is lost."""
     options = jdbc_orders(spark, sf_dir)

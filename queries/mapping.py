@@ -63,6 +63,7 @@ def apply_mapping_derived(spark, sf_dir):
 
 @query("""
 select c_custkey, 'Y' as flag, 7 as number, cast(1.5 as double) as ratio, true as yes, false as no,
+       'IDENTITY card' as words, 'nan' as not_a_number, 0 as zero, false as false_value,
        true as has_ts, true as has_date, true as has_now, true as has_uuid, true as no_identity, true as no_value,
        'ETL_VALIDATION' as batch_id
 from customer""")
@@ -75,6 +76,10 @@ def apply_mapping_constants(spark, sf_dir):
         ColumnRule("constant", None, "ratio", rule="1.5"),
         ColumnRule("constant", None, "yes", rule="TRUE"),
         ColumnRule("constant", None, "no", rule="FALSE"),
+        ColumnRule("constant", None, "words", rule="'IDENTITY card'"),
+        ColumnRule("constant", None, "not_a_number", rule="'nan'"),
+        ColumnRule("constant", None, "zero", rule=0),
+        ColumnRule("constant", None, "false_value", rule=False),
         ColumnRule("constant", None, "ts", rule="CURRENT_TIMESTAMP"),
         ColumnRule("constant", None, "day", rule="CURRENT_DATE()"),
         ColumnRule("constant", None, "now", rule="NOW()"),
@@ -84,7 +89,7 @@ def apply_mapping_constants(spark, sf_dir):
         ColumnRule("constant", None, "batch_id", rule="SYS_BATCH_ID"),
     ])
     return mapped.select(
-        "c_custkey", "flag", "number", "ratio", "yes", "no",
+        "c_custkey", "flag", "number", "ratio", "yes", "no", "words", "not_a_number", "zero", "false_value",
         F.col("ts").isNotNull().alias("has_ts"), F.col("day").isNotNull().alias("has_date"),
         F.col("now").isNotNull().alias("has_now"), (F.length("id") == 36).alias("has_uuid"),
         F.col("serial").isNull().alias("no_identity"), F.col("nothing").isNull().alias("no_value"), "batch_id",
@@ -243,7 +248,8 @@ def fill_empty_text(spark, sf_dir):
 select o_orderkey, o_orderkey % 2 = 1 as odd, rtrim(o_orderpriority || '  ') as priority,
        case when o_orderstatus = 'P' then null else strftime(o_orderdate, '%Y-%m-%d') end as day,
        case when o_orderstatus <> 'P' then o_orderdate end as at, strftime(o_orderdate, '%H:%M:%S') as clock,
-       cast(year(o_orderdate) as integer) as yr, cast(cast(o_totalprice as decimal(12,1)) as double) as price
+       cast(year(o_orderdate) as integer) as yr, cast(cast(o_totalprice as decimal(12,1)) as double) as price,
+       cast(cast(o_totalprice as decimal(12,1)) as double) as cost, o_orderdate as changed
 from orders""")
 def dialect_coercion(spark, sf_dir):
     """Values of one database as another takes them: flags, padding, zero dates, times, years, decimals."""
@@ -258,9 +264,11 @@ def dialect_coercion(spark, sf_dir):
         F.col("o_orderdate").alias("clock"),
         F.date_format("o_orderdate", "yyyy").alias("yr"),
         F.col("o_totalprice").cast("decimal(12,1)").alias("price"),
+        F.col("o_totalprice").cast("decimal(12,1)").alias("cost"),
+        F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("changed"),
     )
     types = {"o_orderkey": "bigint", "odd": "TINYINT(1)", "priority": "CHAR(20)", "day": "DATE", "at": "DATETIME",
-             "clock": "TIME", "yr": "YEAR", "price": "DECIMAL(12,1)"}
+             "clock": "TIME", "yr": "YEAR", "price": "DECIMAL(12,1)", "cost": " numeric ( 12 , 1 )", "changed": "timestamp(6)"}
     rules = [ColumnRule("direct", c, c, dtype=t) for c, t in types.items()]
     return apply_mapping(source, _spec("source", tuple(types), rules), dialect="snowflake")
 

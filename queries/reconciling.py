@@ -8,11 +8,11 @@ from evenkeel.functions.canonical import normalise
 from evenkeel.operators.filters import DateFilter, load_filters
 from evenkeel.operators.reconcile import EXTRA, MISMATCH, MISSING, compare_columns, reconcile
 from evenkeel.operators.report import diff_by_column, diff_by_type, write_report
-from evenkeel.plans.check import Side, run
-from evenkeel.plans.mapping import apply_mapping, extract, target_extract
+from evenkeel.plans.check import Side, run, run_spec
+from evenkeel.plans.mapping import apply_mapping, extract
 from evenkeel.plans.spec import ColumnRule, JoinDef, SourceColumn, TableSpec
-from evenkeel.sources.files import load_snapshot, read_csv
-from evenkeel.sources.workspace import new_table_path
+from evenkeel.sources.files import read_csv
+from evenkeel.sources.workspace import new_table_path, written
 from queries.registry import (
     LOADED_ORDERS,
     ORDER_COLUMNS,
@@ -95,16 +95,15 @@ def flagship(spark, sf_dir):
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("revenue"),
         F.count(F.lit(1)).alias("lines"),
     )
-    extracted = extract(LINE_SPEC, {"line_totals": totals, "orders": orders, "part": part})
-    saved = new_table_path(spark, "expected")
-    run(spark, Side(extracted, transform=lambda df: apply_mapping(df, LINE_SPEC), save_to=saved), None)
+    tables = {"line_totals": written(totals, "totals"), "orders": orders, "part": part}
+    loaded_from = written(apply_mapping(extract(LINE_SPEC, tables), LINE_SPEC), "loaded")
     key = F.col("order_id")
-    loaded = load_snapshot(spark, saved).filter(key % 97 != 0).withColumns({
+    loaded = loaded_from.filter(key % 97 != 0).withColumns({
         "quantity": F.when(key % 89 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")),
         "status": F.when(key % 83 != 0, F.col("status")),
         "batch_id": F.lit("B7"),
     })
-    return run(spark, Side(saved), Side(target_extract(LINE_SPEC, loaded)), LINE_SPEC.target_keys)
+    return run_spec(spark, LINE_SPEC, tables, loaded)
 
 
 _FACT_COLUMNS = ("customer_id", "returned", "quantity", "revenue", "product", "status")
@@ -194,7 +193,7 @@ _NULL_SIDES = """
 
 @query(f"""
 with j as ({_NULL_SIDES})
-select coalesce(cast(k as varchar), '') as primary_key_value, column_name, expected_value, actual_value,
+select coalesce(cast(k as varchar), '\\N') as primary_key_value, column_name, expected_value, actual_value,
        'VALUE_MISMATCH' as diff_type
 from (select k, 'note' as column_name, trim(e_note) as expected_value, trim(a_note) as actual_value from j
       union all select k, 'first', e_first, a_first from j
@@ -243,24 +242,136 @@ def _line_side(loaded: bool) -> str:
            cast(cast(l_extendedprice as decimal(38,6)) as varchar) as l_extendedprice,
            cast(cast({tax} as decimal(38,6)) as varchar) as l_tax, l_returnflag,
            cast(l_shipdate as varchar) as l_shipdate
-    from lineitem
-    where (l_orderkey, l_linenumber) in
-          (select (l_orderkey, l_linenumber) from lineitem group by l_orderkey, l_linenumber having count(*) = 1)
-    {"and l_returnflag <> 'R'" if loaded else ""}"""
+    from lineitem {"where l_returnflag <> 'R'" if loaded else ""}"""
 
 
 _LINE_COLUMNS = ("l_partkey", "l_extendedprice", "l_tax", "l_returnflag", "l_shipdate")
 
 
-@query(diff_sql(_line_side(False), _line_side(True), _LINE_COLUMNS))
-def reconcile_composite_key(spark, sf_dir):
-    """Whole line items with repeated keys on a two-column key; only unique keys are paired."""
+def _repeated_diff(source: str, target: str, columns) -> str:
+    """Diff of two relations with a text key ``k`` that may repeat: cells of unique keys, left-over rows of others."""
+    return f"""
+with all_s as ({source}), all_t as ({target}),
+     repeated as (select k from all_s group by k having count(*) > 1 union select k from all_t group by k having count(*) > 1),
+     more_s as (select k, count(*) as n from (
+       select * from all_s where k in (from repeated) except all select * from all_t where k in (from repeated)) group by k),
+     more_t as (select k, count(*) as n from (
+       select * from all_t where k in (from repeated) except all select * from all_s where k in (from repeated)) group by k)
+select * from ({diff_sql("select * from all_s where k not in (from repeated)",
+                         "select * from all_t where k not in (from repeated)", columns)})
+union all
+select k, '<ENTIRE_ROW>', '<PRESENT_IN_SOURCE>' || case when n > 1 then ' x' || n else '' end, '<MISSING_IN_TARGET>',
+       'MISSING_IN_TARGET' from more_s
+union all
+select k, '<ENTIRE_ROW>', '<EXTRA_IN_TARGET>', '<PRESENT_IN_TARGET>' || case when n > 1 then ' x' || n else '' end,
+       'EXTRA_IN_TARGET' from more_t"""
+
+
+_LINES_DIFF = _repeated_diff(_line_side(False), _line_side(True), _LINE_COLUMNS)
+
+
+def _lines_result(spark, sf_dir, strategy):
     lineitem = table(spark, sf_dir, "lineitem")
     loaded = lineitem.filter(F.col("l_returnflag") != "R").withColumn(
         "l_tax", F.when(~((F.col("l_linestatus") == "O") & (F.col("l_tax") > 0.07)), F.col("l_tax"))
     )
-    result = reconcile(lineitem, loaded, ["l_orderkey", "l_linenumber"], _LINE_COLUMNS, strategy="exact")
-    return result.diff
+    return reconcile(lineitem, loaded, ["l_orderkey", "l_linenumber"], _LINE_COLUMNS, strategy=strategy)
+
+
+@query(_LINES_DIFF)
+def reconcile_composite_key(spark, sf_dir):
+    """All line items on a two-column key that repeats."""
+    return _lines_result(spark, sf_dir, "exact").diff
+
+
+@query(f"""
+with d as ({_LINES_DIFF}), s as ({_line_side(False)}), t as ({_line_side(True)}),
+     n as (select diff_type, primary_key_value, max(coalesce(
+             try_cast(regexp_extract(expected_value || '/' || actual_value, '> ?x([0-9]+)', 1) as bigint), 1)) as n from d group by all)
+select a.*, a.source_rows - a.missing_rows - a.mismatched_rows as matched_rows,
+       a.missing_rows + a.extra_rows + a.mismatched_rows as total_diffs, 'FAIL' as verdict
+from (select (select count(*) from s) as source_rows, (select count(*) from t) as target_rows,
+             (select cast(sum(n) as bigint) from n where diff_type = 'MISSING_IN_TARGET') as missing_rows,
+             (select coalesce(cast(sum(n) as bigint), 0) from n where diff_type = 'EXTRA_IN_TARGET') as extra_rows,
+             (select count(*) from n where diff_type = 'VALUE_MISMATCH') as mismatched_rows,
+             (select count(*) from (select k from s group by k having count(*) > 1
+                                    union select k from t group by k having count(*) > 1)) as duplicate_keys) a""")
+def reconcile_repeated_rows(spark, sf_dir):
+    """Every row of a table with repeated keys is matched, mismatched, missing or extra."""
+    return _lines_result(spark, sf_dir, "hash").summary
+
+
+_MIXED_KEY = "case when o_orderkey % 2 = 0 then 9007199254740992 + o_orderkey else o_orderkey end"
+
+
+@query(f"""
+with o as (select {_MIXED_KEY} as k, o_orderkey % 7 = 0 as changed, o_custkey from orders),
+     s as (select cast(k as varchar) as k, o_custkey from o),
+     t as (select cast(cast(cast(k as double) as decimal(38,0)) as varchar) as k,
+                  case when changed then -1 else o_custkey end as o_custkey from o),
+     tu as (select k from t group by k having count(*) > 1)
+select s.k as primary_key_value, '<ENTIRE_ROW>' as column_name, '<PRESENT_IN_SOURCE>' as expected_value,
+       '<MISSING_IN_TARGET>' as actual_value, 'MISSING_IN_TARGET' as diff_type
+from s where k not in (select k from t)
+union all
+select s.k, 'o_custkey', cast(s.o_custkey as varchar), cast(t.o_custkey as varchar), 'VALUE_MISMATCH'
+from s join t on s.k = t.k where s.o_custkey <> t.o_custkey and s.k not in (from tu)
+union all
+select k, '<ENTIRE_ROW>', '<PRESENT_IN_SOURCE>', '<MISSING_IN_TARGET>', 'MISSING_IN_TARGET'
+from s where k in (from tu) and not exists (select 1 from t where t.k = s.k and t.o_custkey = s.o_custkey)
+union all
+select k, '<ENTIRE_ROW>', '<EXTRA_IN_TARGET>', '<PRESENT_IN_TARGET>' || case when n > 1 then ' x' || n else '' end, 'EXTRA_IN_TARGET'
+from (select k, count(*) as n from (select k, o_custkey from t where k in (from tu) except all select k, o_custkey from s) group by k)""")
+def reconcile_key_types(spark, sf_dir):
+    """Whole-number keys on both sides of 2**53 against the doubles a careless load makes of them."""
+    key = F.expr(_MIXED_KEY)
+    orders = table(spark, sf_dir, "orders")
+    expected = orders.select(key.alias("k"), "o_custkey")
+    custkey = F.when(F.col("o_orderkey") % 7 == 0, -1).otherwise(F.col("o_custkey"))
+    return reconcile(expected, orders.select(key.cast("double").alias("k"), custkey.alias("o_custkey")), "k").diff
+
+
+def _text_keys(relation: str) -> str:
+    return f"""
+    select case when o_orderkey % 5 = 0 then null when o_orderkey % 5 = 1 then '' else o_orderstatus || '|' end as a,
+           case when o_orderkey % 3 = 0 then '|' || o_orderkey else 'b' || o_orderkey end as b, o_custkey from {relation}"""
+
+
+@query(f"""
+with s as ({_text_keys("orders")}), t as ({_text_keys("orders where o_orderkey % 4 <> 0")})
+select 'MISSING_IN_TARGET' as diff_type, cast(count(*) as bigint) as affected_rows from s
+where not exists (select 1 from t where t.a is not distinct from s.a and t.b = s.b) having count(*) > 0""")
+def diff_by_type_text_keys(spark, sf_dir):
+    """Composite text keys with the separator, nulls and empty pieces count each for itself."""
+    a = "case when o_orderkey % 5 = 0 then null when o_orderkey % 5 = 1 then '' else o_orderstatus || '|' end as a"
+    b = "case when o_orderkey % 3 = 0 then '|' || o_orderkey else 'b' || o_orderkey end as b"
+    orders = table(spark, sf_dir, "orders")
+    expected, actual = (df.selectExpr(a, b, "o_custkey") for df in (orders, orders.filter("o_orderkey % 4 <> 0")))
+    return diff_by_type(reconcile(expected, actual, ["a", "b"]).diff)
+
+
+@query("""
+select cast(vec_id as varchar) as primary_key_value, column_name, 'VALUE_MISMATCH' as diff_type
+from embeddings, (values ('embedding', 6), ('entries', 10), ('raw', 15)) as c(column_name, every)
+where vec_id % every = 0""")
+def reconcile_nested_types(spark, sf_dir):
+    """Arrays of floats against arrays of doubles, maps in another order, and bytes; all vectors."""
+    vectors = table(spark, sf_dir, "embeddings")
+    key = F.col("vec_id")
+    first, second = F.lit("a"), F.lit("b")
+
+    def side(loaded: bool):
+        value = F.col("embedding").cast("array<double>") if loaded else F.col("embedding")
+        if loaded:
+            value = F.when(key % 6 == 0, F.transform(value, lambda x: x + 1)).otherwise(value)
+        number = F.when(key % 10 == 0, -1.5).otherwise(0.5) if loaded else F.lit(0.5)
+        pairs = [F.struct(first, number), F.struct(second, F.lit(None).cast("double"))]
+        entries = F.map_from_entries(F.array(*(reversed(pairs) if loaded else pairs)))
+        raw = F.when(key % 15 == 0, "other").otherwise("same") if loaded else F.lit("same")
+        return vectors.select("vec_id", value.alias("embedding"), entries.alias("entries"), raw.cast("binary").alias("raw"))
+
+    # the texts of the values are long and are checked by the unit tests
+    return reconcile(side(False), side(True), "vec_id").diff.select("primary_key_value", "column_name", "diff_type")
 
 
 def _balances(bias: str, dtype: str) -> str:
@@ -419,3 +530,11 @@ def report_csv(spark, sf_dir):
     path = new_table_path(spark, "report")
     write_report(_orders_result(spark, sf_dir), path)
     return read_csv(spark, path)
+
+
+@query(f"select * from ({_LINES_DIFF})")
+def report_repeated_keys(spark, sf_dir):
+    """A report of a table with repeated keys, written as CSV and read back."""
+    path = new_table_path(spark, "report")
+    write_report(_lines_result(spark, sf_dir, "hash"), path)
+    return read_csv(spark, path)

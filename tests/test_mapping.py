@@ -67,6 +67,23 @@ def test_constants(source):
     assert dict(mapped.dtypes)["i"] == "int" and dict(mapped.dtypes)["z"] == "string"
 
 
+@pytest.mark.parametrize("rule, value", [
+    ("'IDENTITY card'", "IDENTITY card"), ("'auto_increment'", "auto_increment"), ("'nan'", "nan"), ("1e3", 1000.0),
+    ("-2", -2), (" 4.5 ", 4.5), (0, 0), (False, False), (0.0, 0.0), ("identity(10, 5)", None), ("IDENTITY", None),
+    ("null", None), ("sys_batch_id", "ETL_VALIDATION"), ("lower('NONE')", "none"), (lambda _: F.lit(9), 9),
+])
+def test_constant_rules(source, rule, value):
+    s = spec([ColumnRule("constant", None, "c", rule=rule)], keys=())
+    found = apply_mapping(source, s).first()[0]
+    assert found == value and type(found) is type(value)
+
+
+@pytest.mark.parametrize("rule", ["nan", "1_0", "IDENTITY card"])
+def test_words_that_are_no_constant(source, rule):
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN|PARSE_SYNTAX"):
+        apply_mapping(source, spec([ColumnRule("constant", None, "c", rule=rule)], keys=()))
+
+
 def test_force_dtype_gives_null_for_what_does_not_fit(source):
     s = spec([ColumnRule("direct", "b", "b", force_dtype="int"), ColumnRule("direct", "a", "a", force_dtype="string")])
     assert values(apply_mapping(source, s)) == [(None, "1"), (None, "2")]
@@ -103,6 +120,17 @@ def test_right_join_does_not_shuffle_the_main_table(spark, sf_dir):
     assert tree.count("Exchange") - tree.count("BroadcastExchange") == 1 and "RightOuter" not in tree
 
 
+def test_a_chain_before_a_right_join_runs_once(spark, sf_dir):
+    line, part, orders = (spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in ("lineitem", "part", "orders"))
+    joins = [JoinDef("p", "part", "l_partkey", "p_partkey", ("p_name",)), JoinDef("o", "orders", "l_orderkey", "o_orderkey", ("o_custkey",), "RIGHT")]
+    s = TableSpec("lineitem", "t", tuple(SourceColumn(c) for c in ("l_orderkey", "l_partkey")),
+                  (ColumnRule("direct", "l_orderkey", "id"), ColumnRule("direct", "p.p_name", "n"), ColumnRule("direct", "o.o_custkey", "c")), tuple(joins))
+    df = extract(s, {"lineitem": line, "part": part, "orders": orders})
+    assert not any(f"{t}.parquet" in f for f in df.inputFiles() for t in ("lineitem", "part"))
+    plain = line.join(part, line.l_partkey == part.p_partkey, "left").join(orders, line.l_orderkey == orders.o_orderkey, "right")
+    assert df.count() == plain.count()
+
+
 def test_needed_columns():
     joins = [JoinDef("j", "dim", "k", "id", ("label",))]
     rules = [ColumnRule("direct", "a", "a"), ColumnRule("derived", None, "z", rule="c + 1"),
@@ -194,6 +222,12 @@ def test_most_frequent_value(spark):
     df = spark.createDataFrame([("b",), ("a",), ("b",), ("a",), ("c",), (None,), (None,), (None,)], "v string")
     assert most_frequent(df, "v").first()[0] == "a"
     assert fill_mode(df, ["v"]).filter("v = 'a'").count() == 5
+    two = df.select("v", F.when(F.col("v") == "c", 3).when(F.col("v") == "b", 2).alias("w"))
+    assert fill_mode(two, ["w", "v"]).columns == ["v", "w"]
+    assert values(fill_mode(two, ["w", "v"])) == sorted(
+        [("b", 2), ("a", 2), ("b", 2), ("a", 2), ("c", 3), ("a", 2), ("a", 2), ("a", 2)], key=repr
+    )
+    assert formatted_plan(fill_mode(two, ["v", "w"])).count("Scan ExistingRDD") <= 4 and fill_mode(df, []) is df
     empty = spark.createDataFrame([(None,)], "v string")
     assert fill_mode(empty, ["v"]).first()[0] is None
     assert fill_text(empty, ["v"]).first()[0] == ""

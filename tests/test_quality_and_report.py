@@ -4,9 +4,10 @@ from pyspark.sql import functions as F
 from evenkeel.functions.canonical import normalise, precision_map, rounded_double
 from evenkeel.operators import quality
 from evenkeel.operators.filters import KeyFilter, LoadFilter
-from evenkeel.operators.reconcile import reconcile
+from evenkeel.operators.reconcile import DuplicateKeyError, reconcile
 from evenkeel.operators.report import check_diff_columns, diff_by_column, diff_by_type, summary_text, write_report
-from evenkeel.plans.check import Side, exit_code_of, run
+from evenkeel.plans.check import Side, exit_code_of, run, run_spec
+from evenkeel.plans.spec import ColumnRule, SourceColumn, SpecError, TableSpec
 from evenkeel.sources.catalog import schema_catalog
 from evenkeel.sources.files import load_snapshot, read_csv
 
@@ -81,6 +82,16 @@ def test_written_report(spark, pair, tmp_path, fmt):
     path = str(tmp_path / "report")
     assert write_report(result, path, fmt) == 3
     assert sorted(rows(load_snapshot(spark, path, fmt)), key=repr) == sorted(rows(result.diff), key=repr)
+    assert rows(load_snapshot(spark, f"{path}_summary", fmt)) == rows(result.summary)
+    assert rows(load_snapshot(spark, f"{path}_duplicates", fmt)) == []
+
+
+def test_report_of_repeated_keys(spark, tmp_path):
+    twice = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string")
+    path = str(tmp_path / "report")
+    assert write_report(reconcile(twice, twice, "k"), path) == 3
+    assert rows(read_csv(spark, f"{path}_duplicates")) == [("1", 2, 2, "DUPLICATE_KEY_IN_BOTH")]
+    assert read_csv(spark, f"{path}_summary").first().verdict == "FAIL" and read_csv(spark, path).count() == 0
 
 
 def test_report_of_equal_tables(spark, pair, tmp_path):
@@ -114,6 +125,66 @@ def test_run_checks_and_filters(spark, pair):
         run(spark, Side(left.withColumn("v", F.lit(None).cast("string")), required=("v",)), None)
 
 
+def test_a_snapshot_side_is_filtered_and_checked(spark, pair, tmp_path):
+    left, _ = pair
+    path = str(tmp_path / "s")
+    run(spark, Side(left, save_to=path), None)
+    result = run(spark, Side(path, LoadFilter(KeyFilter("pk_range", "k", lower=5)), lambda df: df.filter("k <> 7")), Side(left), ["k"])
+    assert result.counts["source_rows"] == 3
+    with pytest.raises(Exception, match="nope"):
+        run(spark, Side(path, required=("nope",)), None)
+    declared = schema_catalog(spark, left.schema)
+    run(spark, Side(left, declared=declared), None)  # the frame's own schema is the live one
+    with pytest.raises(quality.SchemaMismatchError):
+        run(spark, Side(path, declared=declared.filter("column_name <> 'W'")), None)
+
+
+def test_a_refused_side_is_not_saved(spark, pair, tmp_path):
+    path = tmp_path / "refused"
+    nulls = pair[0].withColumn("v", F.lit(None).cast("string"))
+    with pytest.raises(quality.NullViolationError):
+        run(spark, Side(nulls, required=("v",), save_to=str(path)), None)
+    assert not path.exists()
+
+
+def test_options_reach_the_comparison(spark, pair):
+    text = pair[0].select(*[F.col(c).cast("string").alias(c) for c in pair[0].columns])
+    assert run(spark, Side(pair[0]), Side(text), ["k"], coerce=True, hash_bits=64).passed
+    twice = pair[0].unionByName(pair[0])
+    with pytest.raises(DuplicateKeyError):
+        run(spark, Side(twice), Side(twice), ["k"], on_duplicate="raise")
+
+
+@pytest.fixture
+def spec():
+    return TableSpec(
+        "src", "tgt",
+        (SourceColumn("k", is_key=True), SourceColumn("v", is_unique=True), SourceColumn("w")),
+        (ColumnRule("rename", "k", "id"), ColumnRule("derived", "v", "name", rule="upper(val)"),
+         ColumnRule("direct", "w", "w", nulls="fill_empty"), ColumnRule("constant", None, "load_ts", rule="NOW()", nulls="fill_empty")),
+    )
+
+
+def test_run_spec(spark, spec, tmp_path):
+    src = spark.createDataFrame([(1, "a", 1.5), (2, "b", None), (3, "c", 2.5)], "k int, v string, w double")
+    tgt = spark.createDataFrame([(1, "A", 1.5), (2, "B", 0.0), (4, "D", 2.5)], "id int, name string, w double").withColumn("load_ts", F.lit("x"))
+    report, saved = str(tmp_path / "r"), str(tmp_path / "s")
+    result = run_spec(spark, spec, {"src": src}, tgt, report_path=report, save_to=saved)
+    assert {(r.primary_key_value, r.column_name) for r in result.diff.collect()} == {("2", "w"), ("3", "<ENTIRE_ROW>"), ("4", "<ENTIRE_ROW>")}
+    assert read_csv(spark, report).count() == 3 and load_snapshot(spark, saved).count() == 3
+    kept = run_spec(spark, spec, {"src": src}, Side(tgt, LoadFilter(KeyFilter("pk_range", "id", upper=1))),
+                    source_filter=LoadFilter(KeyFilter("pk_range", "k", upper=1)), strategy="exact")
+    assert kept.passed
+    with pytest.raises(quality.NullViolationError, match="name"):
+        run_spec(spark, spec, {"src": src.withColumn("v", F.nullif("v", F.lit("b")))}, tgt)
+    with pytest.raises(quality.UniqueViolationError, match="v"):
+        run_spec(spark, spec, {"src": src.withColumn("v", F.lit("b"))}, tgt)
+    with pytest.raises(SpecError, match="has no column"):
+        run_spec(spark, spec, {"src": src}, tgt.drop("name"))
+    with pytest.raises(SpecError, match="carries a key"):
+        run_spec(spark, TableSpec("src", "tgt", (SourceColumn("k"),), (ColumnRule("direct", "k", "id"),)), {"src": src}, tgt)
+
+
 def test_exit_codes(spark, pair):
     left, right = pair
     live = schema_catalog(spark, left.schema)

@@ -1,6 +1,7 @@
 """Comparison rules on small frames, the same for all strategies."""
 
 import random
+from collections import Counter
 from decimal import Decimal
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from evenkeel.operators import reconcile as module
 from evenkeel.operators.reconcile import DIFF_SCHEMA, STRATEGIES, DuplicateKeyError, compare_columns, reconcile
+from evenkeel.operators.report import diff_by_type
 
 MISSING = ("<ENTIRE_ROW>", "<PRESENT_IN_SOURCE>", "<MISSING_IN_TARGET>", "MISSING_IN_TARGET")
 EXTRA = ("<ENTIRE_ROW>", "<EXTRA_IN_TARGET>", "<PRESENT_IN_TARGET>", "EXTRA_IN_TARGET")
@@ -45,7 +47,7 @@ def test_null_literal_and_empty(spark, strategy):
 
 def test_null_key_matches_null_key(spark, strategy):
     found = cells(spark, strategy, [(None, "a"), (1, "b")], [(None, "z"), (1, "b")], "k int, a string")
-    assert found == {("", "a", "a", "z")}
+    assert found == {("\\N", "a", "a", "z")}
 
 
 def test_null_in_first_part_of_a_composite_key(spark, strategy):
@@ -54,7 +56,7 @@ def test_null_in_first_part_of_a_composite_key(spark, strategy):
     right = frame(spark, [(None, 1, 2), ("a", None, 1), (None, 3, 1)], schema)
     result = reconcile(left, right, ["k1", "k2"], strategy=strategy)
     assert diff_set(result) == {
-        ("|1", "v", "1", "2", "VALUE_MISMATCH"), ("|2", *MISSING), ("|3", *EXTRA)
+        ("\\N|1", "v", "1", "2", "VALUE_MISMATCH"), ("\\N|2", *MISSING), ("\\N|3", *EXTRA)
     }
     assert result.counts["source_rows"] == 3 and result.counts["target_rows"] == 3
 
@@ -127,20 +129,116 @@ def test_coerce_reads_text_by_the_other_type(spark, strategy):
     }
 
 
-def test_duplicate_keys_are_reported_not_paired(spark, strategy):
+def test_rows_of_repeated_keys_are_compared_as_sets(spark, strategy):
     left = frame(spark, [(1, "a"), (1, "b"), (2, "c"), (3, "d")], "k int, v string")
     right = frame(spark, [(1, "a"), (2, "x"), (3, "d"), (3, "d"), (4, "e")], "k int, v string")
     result = reconcile(left, right, "k", strategy=strategy)
-    assert diff_set(result) == {("2", "v", "c", "x", "VALUE_MISMATCH"), ("4", *EXTRA)}
+    assert diff_set(result) == {("2", "v", "c", "x", "VALUE_MISMATCH"), ("4", *EXTRA), ("1", *MISSING), ("3", *EXTRA)}
     assert {tuple(r) for r in result.duplicates.collect()} == {
         ("1", 2, 1, "DUPLICATE_KEY_IN_SOURCE"), ("3", 1, 2, "DUPLICATE_KEY_IN_TARGET")
     }
     assert result.counts == {
-        "source_rows": 4, "target_rows": 5, "matched_rows": 0, "missing_rows": 0, "extra_rows": 1,
-        "mismatched_rows": 1, "total_diffs": 2, "duplicate_keys": 2,
+        "source_rows": 4, "target_rows": 5, "matched_rows": 2, "missing_rows": 1, "extra_rows": 2,
+        "mismatched_rows": 1, "total_diffs": 4, "duplicate_keys": 2,
     }
 
 
+def test_repeated_keys_of_one_side(spark, strategy):
+    """A key that only one side has is missing or extra however often it stands there."""
+    left = frame(spark, [(1, "a"), (1, "a"), (2, "c"), (2, "c"), (None, "n"), (None, "n")], "k int, v string")
+    right = frame(spark, [(2, "c"), (2, "ZZZ"), (5, "p"), (5, "q"), (5, "q")], "k int, v string")
+    result = reconcile(left, right, "k", strategy=strategy)
+    two_missing, three_extra = list(MISSING), list(EXTRA)
+    two_missing[1] += " x2"
+    three_extra[2] += " x3"
+    assert diff_set(result) == {
+        ("1", *two_missing), ("\\N", *two_missing), ("2", *MISSING), ("2", *EXTRA), ("5", *three_extra)
+    }
+    assert {k: result.counts[k] for k in ("matched_rows", "missing_rows", "extra_rows", "mismatched_rows")} == {
+        "matched_rows": 1, "missing_rows": 5, "extra_rows": 4, "mismatched_rows": 0
+    }
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_a_hot_repeated_key_spreads_over_its_contents(spark, strategy, monkeypatch, few):
+    """A third of all rows has one key: no join or group of them goes by the key alone."""
+    if not few:
+        monkeypatch.setattr(module, "BROADCAST_KEY_BYTES", -1)
+    plans, keep = {}, module.written
+    monkeypatch.setattr(module, "written", lambda df, name: (plans.__setitem__(name, formatted_plan(df)), keep(df, name))[1])
+    left = spark.range(3000).selectExpr("if(id % 3 = 0, -1, id) as k", "id as v")
+    right = spark.range(3000).filter("id % 30 <> 0").selectExpr("if(id % 3 = 0, -1, id) as k", "if(id % 33 = 0, -id, id) as v")
+    result = reconcile(left, right, "k", ["v"], strategy=strategy)
+    # of the key -1: 100 rows are gone and 90 changed, of which 9 are gone too
+    changed = sum(1 for i in range(0, 3000, 33) if i % 30)
+    assert result.counts["missing_rows"] == 100 + changed and result.counts["extra_rows"] == changed
+    assert result.counts["matched_rows"] == 3000 - 100 - changed
+    tree = plans["left_over"].split("== Physical Plan ==")[1].split("(1) ")[0]
+    assert "SortMergeJoin" not in tree or not few
+
+
+@pytest.mark.parametrize("types, keys", [
+    (("bigint", "double"), ([2**53, 2**53 + 1, 10_000_000, 0], [2.0**53, 1e7, -0.0])),
+    (("decimal(38,0)", "double"), ([Decimal(2**53), Decimal(2**53 + 1), Decimal(10**7), Decimal(0)], [2.0**53, 1e7, -0.0])),
+    (("decimal(3,1)", "float"), ([Decimal("0.1"), Decimal("7.5"), Decimal("9.9"), Decimal("1.0")], [0.1, 9.9, 1.0])),
+    (("decimal(38,30)", "double"), ([Decimal("0.5"), Decimal("1e-30"), Decimal("2.25"), Decimal("0")], [0.5, 2.25, 0.0])),
+    (("float", "double"), ([0.1, 0.3, 2.5, 1e20], [0.1, 2.5, 1e20])),
+])
+def test_mixed_number_keys_are_exact(spark, strategy, types, keys):
+    left, right = (frame(spark, [(k, 1) for k in own], f"k {t}, v int") for own, t in zip(keys, types, strict=True))
+    result = reconcile(left, right, "k", strategy=strategy)
+    missing = {"bigint": "9007199254740993", "decimal(38,0)": "9007199254740993", "decimal(3,1)": "7.5",
+               "decimal(38,30)": "0.000000000000000000000000000001", "float": "0.3"}[types[0]]
+    assert diff_set(result) == {(missing, *MISSING)} and result.counts["matched_rows"] == 3
+
+
+def test_key_texts_are_unambiguous(spark, strategy):
+    keys = [("a|b", "c"), ("a", "b|c"), (None, "z"), ("", "z"), ("\\N", "z"), ("a\\|b", "c")]
+    left = frame(spark, [(*k, 1) for k in keys], "a string, b string, v int")
+    result = reconcile(left, left.limit(0), ["a", "b"], strategy=strategy)
+    assert {r[0] for r in diff_set(result)} == {
+        "a\\|b|c", "a|b\\|c", "\\N|z", "|z", "\\\\N|z", "a\\\\\\|b|c"
+    }
+
+
+def test_nested_values(spark, strategy):
+    left = spark.sql("""select * from values
+        (1, map('a', 1.0d, 'b', null), array(0.1f, null), named_struct('x', 1, 'm', map(1, 'p', 2, 'q')), X'ff00'),
+        (2, map('a', 1.0d), array(0.1f), named_struct('x', null, 'm', map(1, 'p')), X'ff00'),
+        (3, null, null, null, null) as t(k, m, a, s, b)""")
+    right = spark.sql("""select * from values
+        (1, map('b', null, 'a', 1.0d), array(0.1d, null), named_struct('x', 1, 'm', map(2, 'q', 1, 'p')), X'ff00'),
+        (2, map('a', 2.0d), array(0.2d), named_struct('x', 0, 'm', map(1, 'p')), X'ff01'),
+        (3, null, null, null, null) as t(k, m, a, s, b)""")
+    assert {(r[0], r[1], r[2], r[3]) for r in diff_set(reconcile(left, right, "k", strategy=strategy))} == {
+        ("2", "m", '[{"col1":"a","col2":"1.000000"}]', '[{"col1":"a","col2":"2.000000"}]'),
+        ("2", "a", '["0.100000"]', '["0.200000"]'),
+        ("2", "s", '{"x":null,"m":[{"col1":"1","col2":"p"}]}', '{"x":"0","m":[{"col1":"1","col2":"p"}]}'),
+        ("2", "b", "FF00", "FF01"),
+    }
+
+
+def test_null_and_its_word_in_an_array(spark, strategy):
+    assert cells(spark, strategy, [(1, [None])], [(1, ["null"])], "k int, v array<string>") == {("1", "v", "[null]", '["null"]')}
+
+
+def test_variants(spark, strategy):
+    left = spark.sql("select * from values (1, parse_json('{\"a\": 1}')), (2, parse_json('[1]')) as t(k, v)")
+    right = spark.sql("select * from values (1, parse_json('{\"a\": 1}')), (2, parse_json('[2]')) as t(k, v)")
+    assert {r[:4] for r in diff_set(reconcile(left, right, "k", strategy=strategy))} == {("2", "v", "[1]", "[2]")}
+
+
+@pytest.mark.parametrize("left, right, same, coerced", [
+    ("5", "'5'", True, True), ("5.0D", "'5.0'", False, True), ("true", "'true'", True, True), ("true", "1", False, True),
+    ("date'2024-01-02'", "'2024-01-02'", True, True), ("date'2024-01-02'", "timestamp'2024-01-02 00:00:00'", False, True),
+    ("timestamp'2024-01-02 03:04:05'", "'2024-01-02 03:04:05'", True, True), ("5", "'5.7'", False, False),
+])
+def test_values_of_different_kinds(spark, strategy, left, right, same, coerced):
+    one, other = spark.sql(f"select 1 as k, {left} as v"), spark.sql(f"select 1 as k, {right} as v")
+    assert reconcile(one, other, "k", strategy=strategy).passed == same
+    assert reconcile(one, other, "k", strategy=strategy, coerce=True).passed == coerced
+
+
 def test_only_duplicates_fail_the_verdict(spark, strategy):
     left = frame(spark, [(1, "a"), (1, "a")], "k int, v string")
     result = reconcile(left, left, "k", strategy=strategy)
@@ -254,15 +352,24 @@ def test_compare_columns(spark):
 # --- against a plain Python comparison ---------------------------------------------------------
 
 
+def several(marker, n):
+    at = 1 if marker is MISSING else 2
+    return tuple(f"{m} x{n}" if i == at and n > 1 else m for i, m in enumerate(marker))
+
+
 def brute_force(left, right):
     """Diff and duplicate keys of two lists of (key, a, b)."""
     keys = {r[0] for r in left} | {r[0] for r in right}
     diff, repeated = set(), set()
     for key in keys:
         mine, theirs = [r for r in left if r[0] == key], [r for r in right if r[0] == key]
-        name = "" if key is None else str(key)
+        name = "\\N" if key is None else str(key)
         if len(mine) > 1 or len(theirs) > 1:
             repeated.add(name)
+            mine, theirs = (Counter(tuple(v.strip(" ") if isinstance(v, str) else v for v in r) for r in x) for x in (mine, theirs))
+            for more, marker in ((mine - theirs, MISSING), (theirs - mine, EXTRA)):
+                if more:
+                    diff.add((name, *several(marker, more.total())))
         elif not theirs:
             diff.add((name, *MISSING))
         elif not mine:
@@ -296,14 +403,20 @@ def test_random_tables(spark, strategy, seed, broadcast, monkeypatch):
     result = reconcile(frame(spark, left, schema), frame(spark, right, schema), "k", strategy=strategy)
     assert diff_set(result) == diff
     assert {r.primary_key_value for r in result.duplicates.collect()} == repeated
-    assert result.total_diffs == len({d[0] for d in diff})
+    c = result.counts
+    assert c["source_rows"] == len(left) == c["matched_rows"] + c["missing_rows"] + c["mismatched_rows"]
+    assert c["target_rows"] == len(right) == c["matched_rows"] + c["extra_rows"] + c["mismatched_rows"]
+    assert {r.diff_type: r.affected_rows for r in diff_by_type(result.diff).collect()} == {
+        k: n for k, n in (("MISSING_IN_TARGET", c["missing_rows"]), ("EXTRA_IN_TARGET", c["extra_rows"]),
+                          ("VALUE_MISMATCH", c["mismatched_rows"])) if n
+    }
 
 
 @pytest.mark.parametrize("share", [10, 50_000])
 def test_hot_keys_leave_before_the_shuffle(spark, strategy, monkeypatch, share):
     """One key holds a third of the rows and the repeated keys are too many to broadcast.
 
-    With the larger share all repeated keys count as hot at first, so it is narrowed.
+    With the larger share all repeated keys count as hot; they are broadcast as hashes all the same.
     """
     plans, keep = [], module.written
     monkeypatch.setattr(module, "written", lambda df, name: (plans.append(formatted_plan(df)), keep(df, name))[1])
@@ -312,15 +425,17 @@ def test_hot_keys_leave_before_the_shuffle(spark, strategy, monkeypatch, share):
     right = hot + [(i, "y" if i % 10 == 0 else "x", i) for i in range(300)]
     schema = "k int, a string, b int"
     monkeypatch.setattr(module, "HOT_KEY_SHARE", share)
-    # room for the one hot key, not for all repeated ones
     monkeypatch.setattr(module, "BROADCAST_KEY_BYTES", 70)
     result = reconcile(frame(spark, left, schema), frame(spark, right, schema), "k", strategy=strategy)
     assert {r.primary_key_value for r in result.duplicates.collect()} == {"-1", *map(str, range(50))}
-    assert diff_set(result) == {(str(i), "a", "x", "y", "VALUE_MISMATCH") for i in range(50, 300, 10)}
-    assert result.counts["matched_rows"] == 225
-    first_join = plans[1].split("== Physical Plan ==")[1].split("(1) ")[0].splitlines()
-    anti = [line for line in first_join if "LeftAnti" in line]
-    assert any("BroadcastHashJoin LeftAnti" in line for line in anti)
+    # of the keys under 50 the target lacks the repeated row, and where it changed the other one too
+    lost = {(str(i), *several(MISSING, 2 if i % 10 == 0 else 1)) for i in range(50)}
+    assert diff_set(result) == lost | {(str(i), "a", "x", "y", "VALUE_MISMATCH") for i in range(50, 300, 10)} | {
+        (str(i), *EXTRA) for i in range(0, 50, 10)
+    }
+    assert result.counts["matched_rows"] == 225 + 300 + 45
+    trees = [p.split("== Physical Plan ==")[1].split("(1) ")[0] for p in plans]
+    assert any("BroadcastHashJoin LeftAnti" in t for t in trees)
 
 
 def test_odd_column_names(spark, strategy):

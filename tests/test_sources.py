@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import formatted_plan
 
@@ -16,10 +18,11 @@ from evenkeel.sources.jdbc import (
     read_jdbc,
     snowflake_options,
 )
-from evenkeel.sources.workspace import shared_folder, written
+from evenkeel.sources.workspace import shared_folder, workspace, written
 from queries.io import _JDBC_QUERY, ORDERS_TABLE, jdbc_orders
 
-AWKWARD = [(1, ""), (2, " pad "), (3, "x\ny"), (4, None), (5, 'say "hi", ok'), (6, "\\"), (7, "a\r\nb")]
+AWKWARD = [(1, ""), (2, " pad "), (3, "x\ny"), (4, None), (5, 'say "hi", ok'), (6, "\\"), (7, "a\r\nb"), (8, "\\N"),
+           (9, "\\\\N"), (10, "N"), (11, "\\N ")]
 
 
 @pytest.fixture
@@ -46,6 +49,30 @@ def test_csv_overwrites_and_reads_as_text(spark, awkward, tmp_path):
     assert dict(text.dtypes) == {"id": "string", "v": "string"} and pairs(text) == [("1", ""), ("2", " pad ")]
 
 
+def test_csv_without_line_breaks_can_be_split(spark, tmp_path):
+    path, broken = str(tmp_path / "t"), str(tmp_path / "b")
+    text = spark.range(40_000).selectExpr("id", "'value ' || id as v").coalesce(1)
+    write_csv(text, path)
+    write_csv(text.selectExpr("id", "v || char(10) as v"), broken)
+    keep = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        split, whole = read_csv(spark, path), load_snapshot(spark, broken, "csv")
+        assert split.rdd.getNumPartitions() > 2 and whole.rdd.getNumPartitions() == 1
+        assert split.count() == whole.count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", keep)
+    assert read_csv(spark, path, multiline=True).count() == 40_000
+
+
+def test_workspace_is_removed(spark, awkward):
+    with workspace(spark) as folder:
+        stored = written(awkward, "t")
+        assert folder in stored.inputFiles()[0] and stored.count() == len(AWKWARD)
+    assert not os.path.exists(folder.removeprefix("file:"))
+    assert folder not in written(awkward, "t").inputFiles()[0]
+
+
 def test_empty_csv_keeps_its_schema(spark, awkward, tmp_path):
     path = str(tmp_path / "t")
     write_csv(awkward.filter("id < 0"), path)
@@ -100,7 +127,12 @@ def test_upsert(spark):
     ]
     twice = changes.unionByName(changes)
     with pytest.raises(DuplicateKeyError):
-        upsert(target, twice, ["k"], check_unique=True)
+        upsert(target, twice, ["k"])
+    later = spark.createDataFrame([("old", 2), ("new", 2), ("c", 3)], "v string, k int")
+    assert sorted((tuple(r) for r in upsert(target, later, "k", latest_by="v").collect()), key=repr) == [
+        (1, "a"), (2, "old"), (3, "c"), (None, "n")
+    ]
+    assert upsert(target, twice, ["k"], check_unique=False).count() == 6
     with pytest.raises(ValueError):
         upsert(target, changes.drop("v"), "k")
 
@@ -141,19 +173,25 @@ def test_extract_checks_its_arguments(spark, database):
 def test_partition_choice():
     full, key_set = KeyFilter(), KeyFilter("pk_set", "k", values=[1])
     between, above = KeyFilter("pk_range", "k", lower=3, upper=9), KeyFilter("pk_range", "k", lower=3)
-    assert choose_partitioning(key_set, "k", lower=1, upper=2) is None
+    assert choose_partitioning(key_set, "k") == Partitioning("k", 1, 1)
+    assert choose_partitioning(KeyFilter("pk_set", "k", values=[9, 2, 5]), "K") == Partitioning("K", 2, 9)
+    assert choose_partitioning(key_set, "other") is None
     assert choose_partitioning(between, "k") == Partitioning("k", 3, 9)
     assert choose_partitioning(above, "k") is None
+    assert choose_partitioning(above, "k", probe=lambda: (1, 70)) == Partitioning("k", 3, 70)
+    assert choose_partitioning(above, "k", probe=lambda: (0, 1)) == Partitioning("k", 3, 3)
     assert choose_partitioning(above, "k", upper=50) == Partitioning("k", 3, 50)
     assert choose_partitioning(full, "k", probe=lambda: (1, 7)) == Partitioning("k", 1, 7)
     assert choose_partitioning(full, "k", probe=lambda: None) is None
     assert choose_partitioning(full, None, lower=1, upper=2) is None
-    assert choose_partitioning(full, "k", lower=1, upper=2, dialect="snowflake") is None
 
 
 def test_connection_options():
     mysql = mysql_options("h", "3306", "db", "u", "p")
-    assert mysql["url"].startswith("jdbc:mysql://h:3306/db?") and mysql["fetchsize"] == "10000"
+    assert mysql["url"] == "jdbc:mysql://h:3306/db?sslMode=REQUIRED&allowPublicKeyRetrieval=false"
+    assert mysql["fetchsize"] == "10000"
+    plain = mysql_options("h", "3306", "db", "u", "p", ssl_mode="DISABLED", allow_public_key_retrieval=True)
+    assert plain["url"].endswith("?sslMode=DISABLED&allowPublicKeyRetrieval=true")
     flake = snowflake_options("acc", "wh", "db", "sc", "role", "u", "p")
     assert flake["url"] == "jdbc:snowflake://acc.snowflakecomputing.com/?db=db&schema=sc"
     assert (flake["sfWarehouse"], flake["sfRole"]) == ("wh", "role")
