@@ -43,6 +43,12 @@ def utf8(texts: pa.Array) -> list[bytes]:
     return [b or b"" for b in texts.cast(pa.binary()).to_pylist()]
 
 
+def each_utf8(texts: pa.Array, at_once: int = 200) -> Iterator[bytes]:
+    """The same one by one, with few of them copied out of the column at a time."""
+    for i in range(0, len(texts), at_once):
+        yield from utf8(texts.slice(i, at_once))
+
+
 # Bitmaps: which keys are surely not in a set --------------------------------------------------------------------------
 
 #: Bits of a bitmap, as a power of two: 2 MB when broadcast, whatever the number of keys.

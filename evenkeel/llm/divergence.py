@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import column, fresh, utf8
+from evenkeel.llm.common import column, each_utf8, fresh
 
 UNKNOWN = "und"
 #: Words in a reference, and languages that have one of their own (those with most words); others share one of all text.
@@ -144,7 +144,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], ["lang", "word", "kind", "n"])
 
     for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), utf8(batch.column(1)), strict=True):
+        for lang, text in zip(batch.column(0).to_pylist(), each_utf8(batch.column(1)), strict=True):
             words.setdefault(lang, Counter()).update(text.lower().split())
             chars[lang] = chars.get(lang, 0) + classes(text)
         if sum(map(len, words.values())) > HELD_WORDS:
@@ -211,7 +211,7 @@ def measured(docs: DataFrame, known: dict[str | None, Reference], text_col: str
         types = [pa.int64() if f.endswith(" long") else pa.float64() for f in fields]
         for texts, langs in columns:
             rows = []
-            for text, lang in zip(utf8(texts), langs.to_pylist(), strict=True):
+            for text, lang in zip(each_utf8(texts), langs.to_pylist(), strict=True):
                 of = shipped.value.get(lang) or shipped.value.get(None)
                 words = text.split()
                 chars = classes(text)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import column, fresh, utf8
+from evenkeel.llm.common import column, each_utf8, fresh
 
 #: Hashed features, as a power of two.
 FEATURE_BITS = 15
@@ -65,8 +65,8 @@ class Model:
         return self.languages[i], float(p[i] / p.sum())
 
 
-def _decoded(batch: pa.Array) -> list[str]:
-    return [t.decode("utf-8", "replace") for t in utf8(batch)]
+def _decoded(batch: pa.Array) -> Iterator[str]:
+    return (t.decode("utf-8", "replace") for t in each_utf8(batch))
 
 
 def _document_frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import (
-    block_keys, block_masks, column, connected_components, fresh, groups, starts, united, utf8, whole_text,
+    block_keys, block_masks, column, connected_components, each_utf8, fresh, groups, starts, united, whole_text,
     bitmap_of, with_membership,
 )
 from evenkeel.sources.workspace import written
@@ -58,7 +58,7 @@ def simhash(hashes: np.ndarray) -> int:
 
 def _fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     for batch in texts:
-        yield pa.array([simhash(shingle_hashes(t)) for t in utf8(batch)], pa.int64())
+        yield pa.array([simhash(shingle_hashes(t)) for t in each_utf8(batch)], pa.int64())
 
 
 def fingerprint(text: Column) -> Column:
