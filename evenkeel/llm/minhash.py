@@ -1,0 +1,91 @@
+"""MinHash signatures in bands: sets that share much share the key of a band.
+
+A band joins the minima of some hash functions over a set.  Two sets with Jaccard
+similarity s agree in a band of r rows with probability ``s**r``, and in one of
+b bands with ``1 - (1 - s**r)**b``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+
+_RANDOM = np.random.default_rng(20_240_501)
+_XOR = _RANDOM.integers(0, 1 << 32, 256, dtype=np.uint32)
+_ODD = _RANDOM.integers(0, 1 << 32, 256, dtype=np.uint32) | np.uint32(1)
+#: So many members are hashed at a time: their hashes stay in the processor's cache.
+_AT_ONCE = 1 << 16
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """64-bit numbers with all bits depending on all bits."""
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xFF51AFD7ED558CCD)
+    x = x ^ (x >> np.uint64(33))
+    x = x * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def band_keys(members: np.ndarray, begin: np.ndarray, bands: int, rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """A row of ``bands`` signed keys for each set, and a signed sketch of it.
+
+    Set i is ``members[begin[i] : begin[i + 1]]``, hashes, never empty;
+    ``begin`` has the end of the last set too.  The sketch is a bit of each of
+    the first 64 minima: of sets with similarity s, (1 - s) / 2 of them differ.
+    There are 64 minima or more.
+    """
+    least = np.full((len(begin) - 1, bands * rows), ~np.uint32(0), np.uint32)
+    i = 0
+    while i < len(least):
+        j = max(i + 1, int(np.searchsorted(begin, begin[i] + _AT_ONCE, "right")) - 1)
+        for lo in range(begin[i], begin[j], 1 << 20):  # a set of more members than that comes in pieces
+            hi = min(begin[j], lo + (1 << 20)) if j == i + 1 else begin[j]
+            part = members[lo:hi].astype(np.uint32)
+            at = begin[i:j] - begin[i] if j > i + 1 else np.zeros(1, np.int64)
+            for k in range(bands * rows):
+                h = (part ^ _XOR[k]) * _ODD[k]
+                h ^= h >> np.uint32(15)
+                h *= _ODD[255 - k]
+                np.minimum(least[i:j, k], np.minimum.reduceat(h, at), out=least[i:j, k])
+            if hi == begin[j]:
+                break
+        i = j
+    keys = np.zeros((len(least), bands), np.uint64)
+    for band in range(bands):
+        key = np.full(len(least), band + 1, np.uint64)
+        for k in range(band * rows, (band + 1) * rows):
+            key = mixed(key * np.uint64(0x9E3779B97F4A7C15) + least[:, k])
+        keys[:, band] = key
+    sketch = np.packbits((least[:, :64] & np.uint32(1)).astype(bool), axis=1, bitorder="little").view(np.int64).ravel()
+    return keys.view(np.int64), sketch
+
+
+def byte_grams(lines: list[bytes], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, begin) of the runs of ``size`` bytes (8 at most) of each line; a shorter line is one run."""
+    lines = [x.ljust(size, b"\0") for x in lines]
+    length = np.fromiter(map(len, lines), np.int64, len(lines))
+    raw = np.frombuffer(b"".join(lines) + bytes(8), np.uint8)
+    total = int(length.sum())
+    gram = np.zeros(total, np.uint64)
+    for i in range(size):
+        gram |= raw[i : i + total].astype(np.uint64) << np.uint64(8 * i)
+    ends = np.cumsum(length)
+    inside = np.ones(total, bool)
+    for i in range(1, size):
+        inside[ends - i] = False
+    begin = np.concatenate([[0], np.cumsum(length - size + 1)])
+    return mixed(gram[inside]), begin
+
+
+def parts_of(lines: list[bytes], at_once: int = 1 << 20) -> Iterator[list[bytes]]:
+    """``lines`` in order, some MB at a time."""
+    part, size = [], 0
+    for x in lines:
+        part.append(x)
+        size += len(x)
+        if size >= at_once:
+            yield part
+            part, size = [], 0
+    if part:
+        yield part
