@@ -2,7 +2,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from conftest import formatted_plan
+from frame_checks import formatted_plan
 from pyspark.sql import functions as F
 
 from evenkeel.functions.rules import fill_mode, fill_text, most_frequent, snowflake_value

@@ -5,7 +5,7 @@ from collections import Counter
 from decimal import Decimal
 
 import pytest
-from conftest import diff_set, formatted_plan
+from frame_checks import diff_set, formatted_plan
 from pyspark.sql import functions as F
 
 from evenkeel.operators import reconcile as module

@@ -1,7 +1,7 @@
 import os
 
 import pytest
-from conftest import formatted_plan
+from frame_checks import formatted_plan
 
 from evenkeel.operators.filters import KeyFilter
 from evenkeel.operators.quality import require_schema, schema_diff, SchemaMismatchError
