@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    divergence, exact_dedup, language_id, license_scan, line_dedup, packing, perplexity, pieces, simhash_dedup, warc,
+    centroids, collocations, divergence, exact_dedup, language_id, license_scan, line_dedup, packing, perplexity, pieces, simhash_dedup, warc,
 )
 from evenkeel.llm.common import reachable_by_workers
 from evenkeel.sources.workspace import new_table_path
@@ -117,3 +117,88 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = divergence.judge(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), out="quality")
     names = (*divergence.COUNTS, "base_failed", "kept", "class_distance", "word_distance")
     return found.select("doc_id", *(F.col("quality")[n].alias(n) for n in names))
+
+
+def _lloyd_sql(k: int = 16, rounds: int = 3) -> str:
+    """The rounds of centroid clustering, one after the other."""
+    steps = [f"""
+    with x as materialized (
+        select vec_id, cast(unnest(range(64)) as integer) as i,
+               cast(floor(64 * cast(unnest(embedding) as double)) as hugeint) as v
+        from embeddings
+        where len(embedding) = 64 and len(list_filter(embedding, lambda e: e is not null and isfinite(e))) = 64
+    ), ids as (
+        select vec_id, row_number() over (order by sha256('1:' || vec_id)) - 1 as c from (select distinct vec_id from x)
+    ), c0 as materialized (select c, i, v from x join ids using (vec_id) where c < {k})"""]
+    for n in range(rounds + 1):
+        steps.append(f"""a{n} as materialized (
+        select vec_id, c, d from (
+            select x.vec_id, o.c, sum((x.v - o.v) * (x.v - o.v)) as d from x join c{n} o using (i) group by x.vec_id, o.c
+        ) qualify row_number() over (partition by vec_id order by d, c) = 1
+    )""")
+        if n < rounds:
+            steps.append(f"""m{n} as (
+        select c, i, sum(v) as s, count(*) as n from x join a{n} using (vec_id) group by c, i
+    ), c{n + 1} as materialized (
+        select o.c, o.i, case when n is null then o.v else cast((s - ((s % n) + n) % n) // n as hugeint) end as v
+        from c{n} o left join m{n} m on m.c = o.c and m.i = o.i
+    )""")
+    return ", ".join(steps) + f"""
+    select vec_id, cast(c as integer) as cluster, cast(d as bigint) as distance,
+           cast(sum(d) over (partition by c) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia, centroid_sha256
+    from a{rounds} join (
+        select c, sha256(string_agg(cast(v as varchar), ',' order by i)) as centroid_sha256 from c{rounds} group by c
+    ) using (c)"""
+
+
+@query(_lloyd_sql())
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster(table(spark, sf_dir, "embeddings"))
+
+
+@query("""
+    with pieces as (
+        select lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) as piece from (
+            select coalesce(lang, 'und') as lang,
+                   translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as text
+            from documents
+        )
+    ), words as materialized (
+        select lang, w from (
+            select lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda e: e <> '') as w from pieces
+        ) where len(w) > 0
+    ), total as (
+        select lang, cast(sum(len(w)) as bigint) as n from words group by lang
+    ), grams as materialized (
+        select lang, size, phrase, count(*) as f from (
+            select lang, 1 as size, unnest(w) as phrase from words
+            union all
+            select lang, 2, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) from words
+            union all
+            select lang, 3, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) from words
+        ) group by lang, size, phrase
+    ), candidates as materialized (
+        select lang, phrase, f as a, string_split(phrase, ' ') as w from grams where size > 1 and f >= 10
+    ), cuts as (
+        select lang, phrase, a, 1 as k, w[1] as left_part, array_to_string(w[2:], ' ') as right_part from candidates
+        union all
+        select lang, phrase, a, 2, w[1] || ' ' || w[2], w[3] from candidates where len(w) = 3
+    ), scores as (
+        select c.lang, c.phrase, c.a, k, l.f as l, r.f as r,
+               (cast(1000000 as hugeint) * c.a * c.a) // (cast(l.f as hugeint) * r.f) as score
+        from cuts c join grams l on l.lang = c.lang and l.phrase = left_part join grams r on r.lang = c.lang and r.phrase = right_part
+        qualify row_number() over (partition by c.lang, c.phrase order by score, k) = 1
+    ), inside as (
+        select lang, phrase, max(a) as around from (
+            select lang, w[1] || ' ' || w[2] as phrase, a from candidates where len(w) = 3
+            union all
+            select lang, w[2] || ' ' || w[3], a from candidates where len(w) = 3
+        ) group by lang, phrase
+    )
+    select s.lang, row_number() over (partition by s.lang order by score desc, s.a desc, s.phrase) as rank,
+           s.phrase, s.a, s.l, s.r, n, cast(score as bigint) as score
+    from scores s join total using (lang) left join inside i on i.lang = s.lang and i.phrase = s.phrase
+    where around is null or 100 * around < 50 * s.a
+    qualify rank <= 2000""")
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))

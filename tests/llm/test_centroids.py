@@ -1,0 +1,94 @@
+"""Centroid clustering against a plain loop over exact integers."""
+
+import hashlib
+import math
+import random
+
+import numpy as np
+import pytest
+
+from evenkeel.llm import centroids
+from evenkeel.llm.common import reachable_by_workers
+
+SCHEMA = "vec_id long, embedding array<double>, cluster string, distance int"
+
+
+def brute(rows, dimension=64, k=16, rounds=3):
+    kept = []
+    for i, x in rows:
+        if x is not None and len(x) == dimension and all(v is not None and math.isfinite(v) for v in x):
+            kept.append((i, tuple(math.floor(64 * v) if abs(v) < 2**53 else 64 * int(v) for v in x), tuple(x)))
+    order = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"1:{r[0]}".encode()).hexdigest(), r[2]))
+    cs = [r[1] for r in order[:k]]
+
+    def assign():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, c)), n) for n, c in enumerate(cs)) for _, v, _ in kept]
+
+    for _ in range(rounds):
+        of = [c for _, c in assign()]
+        for c in range(len(cs)):
+            mine = [v for (_, v, _), o in zip(kept, of) if o == c]
+            if mine:
+                cs[c] = tuple(sum(col) // len(mine) for col in zip(*mine))
+    last = assign()
+    sums = {}
+    for d, c in last:
+        sums[c] = sums.get(c, 0) + d
+    most = 2**63 - 1
+    sha = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in cs]
+    return sorted(
+        ((i, c, min(d, most), min(sums[c], most), min(sum(sums.values()), most), sha[c]) for (i, _, _), (d, c) in zip(kept, last)), key=repr
+    )
+
+
+def got(spark, rows):
+    reachable_by_workers(spark)
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    return sorted((tuple(r) for r in centroids.cluster(df).collect()), key=repr)
+
+
+def vectors(n, rng, around=6, width=0.2):
+    middles = [[rng.gauss(0, 1) for _ in range(64)] for _ in range(around)]
+    return [(i, [m + rng.gauss(0, width) for m in middles[i % around]]) for i in range(n)]
+
+
+def test_against_brute_force(spark):
+    rows = vectors(300, random.Random(1))
+    assert got(spark, rows) == brute(rows)
+
+
+def test_ties_and_repeats(spark):
+    """Coarse components give many equal distances; rows and ids repeat."""
+    rng = random.Random(2)
+    rows = [(i, [rng.choice([0.0, 1 / 64]) if j < 3 else 0.0 for j in range(64)]) for i in range(120)]
+    rows += rows[:40] + [(5, [0.5] * 64), (None, [0.25] * 64), (None, [0.25] * 64)]
+    assert got(spark, rows) == brute(rows)
+
+
+def test_odd_rows(spark):
+    rng = random.Random(3)
+    rows = vectors(30, rng)
+    odd = [(100, None), (101, []), (102, [1.0] * 63), (103, [1.0] * 65), (104, [math.nan] + [0.0] * 63),
+           (105, [math.inf] + [0.0] * 63), (106, [None] + [0.0] * 63), (107, [0.0] * 64), (108, [-0.0] * 64), (109, [-1e-300] * 64)]
+    assert got(spark, rows + odd) == brute(rows + odd)
+    assert got(spark, []) == [] and got(spark, odd[:3]) == []
+    assert got(spark, rows[:5]) == brute(rows[:5])
+
+
+def test_numbers_beyond_64_bits(spark):
+    rows = vectors(20, random.Random(4)) + [(50, [1e30] * 64), (51, [-3e38] + [0.0] * 63), (52, [1e308] * 64), (53, [2.0**40 + 0.5] * 64)]
+    assert got(spark, rows) == brute(rows)
+
+
+@pytest.mark.parametrize("width", [0.01, 0.3, 1.0])
+def test_bounds_hold_and_spare_work(width):
+    rng = random.Random(5)
+    x = centroids.whole_numbers(np.array([v for _, v in vectors(2000, rng, 16, width)]), 64)
+    index = centroids.Index.of(x[:64], 5)
+    assert len(index.pairs) == 10
+    to_pivots, cs = centroids.roots(x, index.pivots), x[:16]
+    true = np.stack([centroids.squared(x, c) for c in cs], axis=1)
+    assert (index.bounds(to_pivots, cs) <= true).all()
+    cluster, best, computed = index.nearest(x, to_pivots, cs)
+    assert (cluster == true.argmin(axis=1)).all() and (best == true.min(axis=1)).all()
+    assert computed <= 16 * len(x) and (width == 1.0 or computed < 10 * len(x))
