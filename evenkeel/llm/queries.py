@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from evenkeel.llm import (
-    centroids, collocations, divergence, exact_dedup, language_id, license_scan, line_dedup, packing, perplexity, pieces, simhash_dedup, warc,
+    centroids, collocations, cosine_links, divergence, exact_dedup, language_id, license_scan, line_dedup, packing, perplexity, pieces, simhash_dedup, warc,
 )
 from evenkeel.llm.common import reachable_by_workers
 from evenkeel.sources.workspace import new_table_path
@@ -119,6 +119,25 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(F.col("quality")[n].alias(n) for n in names))
 
 
+@query("""
+    with v as (
+        select vec_id, embedding as e from embeddings
+        where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+          and len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), links as materialized (
+        select a.vec_id as a, b.vec_id as b from v a join v b
+            on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+               and list_cosine_similarity(cast(a.e as double[]), cast(b.e as double[])) >= 0.9
+    ), reached as (
+        with recursive r(a, b) as (select a, b from links union select r.a, l.b from r join links l on l.a = r.b) select a, min(b) as b from r group by a
+    )
+    select vec_id, coalesce(n, 0) as n_links, least(vec_id, coalesce(b, vec_id)) as component_id, vec_id <= coalesce(b, vec_id) as kept
+    from embeddings left join (select a as vec_id, count(*) as n from links group by a) using (vec_id)
+        left join (select a as vec_id, b from reached) using (vec_id)""")
+def op11_cosine_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cosine_links.cosine_links(table(spark, sf_dir, "embeddings"))
+
+
 def _lloyd_sql(k: int = 16, rounds: int = 3) -> str:
     """The rounds of centroid clustering, one after the other."""
     steps = [f"""
