@@ -1,23 +1,22 @@
 """CSV and Parquet snapshots of a table.
 
 A snapshot is a directory written in parallel.  Parquet keeps types by itself;
-a CSV snapshot stores its schema next to the data, and whether a value holds a
-line break: only then its files cannot be split between tasks on reading.  The
-CSV options keep empty strings, nulls, blanks around a value and line breaks
-inside it apart; text that looks like the null marker gets a backslash more.
+a CSV snapshot stores its schema next to the data, and its values as the text of
+``csv_codec``, from which every value comes back.  The CSV options keep empty
+strings, nulls and blanks around a value apart.
 """
 
 from __future__ import annotations
 
 import json
-from functools import reduce
-from operator import or_
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from evenkeel.sources import csv_codec
+
 CSV_OPTIONS = {
     "header": "true",
     "quoteAll": "true",
@@ -28,8 +27,6 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": "false",
 }
 
-CSV_FILE_ROWS = 1_000_000
-
 
 def _schema_path(path: str) -> str:
     return path.rstrip("/") + "_schema"
@@ -39,42 +36,32 @@ def _schema_path(path: str) -> str:
 _MULTILINE = "multiLine"
 
 
-def _text_columns(schema: T.StructType) -> list[str]:
-    return [f.name for f in schema if isinstance(f.dataType, T.StringType)]
-
-
-def _mapped_text(df: DataFrame, change) -> DataFrame:
-    texts = set(_text_columns(df.schema))
-    return df.select(*(change(_column(c)).alias(c) if c in texts else _column(c) for c in df.columns))
+# Fixed value: key of the note that all values are text of the codec, in the metadata of the stored schema.
+_CODEC = "codec"
 
 
 def _column(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
-# The null marker with any number of backslashes before it gets one more on the way out, and loses it on the way in.
-def _escaped(value: Column) -> Column:
-    return F.when(value.rlike(r"^\\+N$"), F.concat(F.lit("\\"), value)).otherwise(value)
-
-
+# Earlier versions kept values as the writer prints them, and only put a backslash before what looks like the null marker.
 def _unescaped(value: Column) -> Column:
     return F.when(value.rlike(r"^\\{2,}N$"), F.substring(value, 2, 2**31 - 1)).otherwise(value)
 
 
+def _earlier_text(df: DataFrame, schema: T.StructType) -> DataFrame:
+    texts = {f.name for f in schema if isinstance(f.dataType, T.StringType)}
+    return df.select(*(_unescaped(_column(c)).alias(c) if c in texts else _column(c) for c in df.columns))
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    """Write ``df`` and, beside it, its schema as JSON text; an empty frame leaves the schema.
+    """Write ``df`` as text from which every value comes back, and its schema beside it; an empty frame leaves the schema.
 
-    Whether a value holds a line break is asked of the written files.
+    No value holds a line break then, so files of any size are split on reading.
     """
     spark = df.sparkSession
-    # files with line breaks inside values cannot be split on reading, so none may grow without bound
-    writer = _mapped_text(df, _escaped).write.mode("overwrite").options(**CSV_OPTIONS)
-    writer.option("maxRecordsPerFile", CSV_FILE_ROWS).csv(path)
-    texts = _text_columns(df.schema)
-    broken = [_column(c).rlike("[\r\n]") for c in texts]
-    written = _reader(spark, multiline=True).schema(df.schema).csv(path)
-    multiline = bool(broken) and not written.filter(reduce(or_, broken)).isEmpty()
-    note = json.dumps({"schema": df.schema.jsonValue(), _MULTILINE: multiline})
+    csv_codec.as_text(df).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    note = json.dumps({"schema": df.schema.jsonValue(), _CODEC: 1, _MULTILINE: False})
     spark.createDataFrame([(note,)], "value string").coalesce(1).write.mode("overwrite").text(_schema_path(path))
 
 
@@ -88,7 +75,7 @@ def _stored(spark: SparkSession, path: str) -> dict | None:
     except AnalysisException:
         return None
     note = json.loads(row.value)
-    # a schema alone is what earlier versions stored
+    # a schema alone is what the first version stored
     return note if "schema" in note else {"schema": note, _MULTILINE: True}
 
 
@@ -105,18 +92,20 @@ def read_csv(spark: SparkSession, path: str, *, schema=None, as_text=False, mult
     if multiline is None:
         multiline = stored[_MULTILINE] if stored else True
     reader = _reader(spark, multiline=multiline)
-    if schema is None and stored:
-        schema = T.StructType.fromJson(stored["schema"])
+    kept = T.StructType.fromJson(stored["schema"]) if stored else None
+    if stored and _CODEC in stored:
+        texts = reader.schema(csv_codec.text_schema(kept)).csv(path)
+        if not as_text:
+            return csv_codec.from_text(texts, kept if schema is None else schema)
+        return texts.select(*(csv_codec.value_of(_column(f.name), T.StringType()).alias(f.name) for f in kept))
+    schema = kept if schema is None else schema
     if as_text:
         found = reader.option("inferSchema", False).csv(path)
-        if schema is not None and found.columns == schema.names:
-            texts = set(_text_columns(schema))
-            return found.select(*(_unescaped(_column(c)).alias(c) if c in texts else _column(c) for c in found.columns))
-        return found
+        return _earlier_text(found, schema) if schema is not None and found.columns == schema.names else found
     if schema is None:
         return reader.option("inferSchema", True).csv(path)
     found = reader.schema(schema).csv(path)
-    return _mapped_text(found, _unescaped) if stored else found
+    return _earlier_text(found, schema) if stored else found
 
 
 def save_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -48,6 +48,38 @@ def csv_roundtrip(spark, sf_dir):
     return read_csv(spark, path)
 
 
+_PRECISE = """
+select event_id, ts + to_microseconds(event_id * 7 % 1000000) as ts, value / 3 as third, cast(value / 3 as real) as short,
+       case when event_id % 5 <> 0 then user_id end as user_id, event_type || chr(92) || 'n' || chr(10) || chr(92) as note
+from events"""
+
+
+def _precise(spark, sf_dir):
+    """Events with times to the microsecond, long fractions, and text with backslashes and line breaks."""
+    micros = F.col("event_id") * 7 % 1_000_000
+    return table(spark, sf_dir, "events").select(
+        "event_id", F.timestamp_add("MICROSECOND", micros, F.col("ts")).alias("ts"), (F.col("value") / 3).alias("third"),
+        (F.col("value") / 3).cast("float").alias("short"), F.when(F.col("event_id") % 5 != 0, F.col("user_id")).alias("user_id"),
+        F.concat("event_type", F.lit("\\n\n\\")).alias("note"),
+    )
+
+
+@query(f"""
+select *, cast(event_id * 1000 as integer) - 1000000 as far_day, upper(hex(note)) as bytes,
+       [third, null, value_of] as several
+from (select *, cast(event_id as double) / 7 as value_of from ({_PRECISE}))""")
+def csv_roundtrip_precise(spark, sf_dir):
+    """Microseconds, floats, days beyond year 9999, bytes and arrays, all through CSV."""
+    path = new_table_path(spark, "csv")
+    day = (F.col("event_id") * 1000).cast("int") - 1_000_000
+    events = _precise(spark, sf_dir).withColumn("value_of", F.col("event_id").cast("double") / 7)
+    write_csv(events.withColumns({
+        "far_day": F.date_from_unix_date(day), "bytes": F.col("note").cast("binary"),
+        "several": F.array("third", F.lit(None), "value_of"),
+    }), path)
+    return read_csv(spark, path).withColumns({"far_day": F.unix_date("far_day"), "bytes": F.hex("bytes")})
+
+
 @query("""
 select cast(c_custkey as varchar) as c_custkey, c_name, cast(c_nationkey as varchar) as c_nationkey,
        cast(cast(c_acctbal as decimal(12,2)) as varchar) as c_acctbal, c_mktsegment from customer""")
