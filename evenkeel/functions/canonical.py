@@ -242,7 +242,8 @@ class Comparable:
     def key(self, value: str, left: bool) -> str:
         """Join and grouping value: typed where the types allow it, never rounded."""
         if self._are(_INTEGRAL):
-            return f"cast({value} as bigint)"
+            # the column itself where it can be: rows that already lie by it need not be moved
+            return value if self.left_type == self.right_type else f"cast({value} as bigint)"
         if self._are(_NUMERIC) and (
             isinstance(self.left_type, _FLOATING) or isinstance(self.right_type, _FLOATING)
         ):

@@ -24,14 +24,17 @@ is missing or extra, with its number of rows.  No join on the key is needed.
 
 from __future__ import annotations
 
+from copy import copy
 from functools import cached_property, reduce
 from operator import and_
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.canonical import comparables, fold_names, key_text, literal, quoted
+from evenkeel.sources.buckets import in_buckets, plan_of
 from evenkeel.sources.workspace import written
 
 MISSING = "MISSING_IN_TARGET"
@@ -51,6 +54,9 @@ BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 # and as pairs of 64-bit hashes they take a few MB.
 HOT_KEY_SHARE = 50_000
 
+# Slices of the key space whose fingerprints are compared before anything is moved.
+SLICES = 1024
+
 DIFF_SCHEMA = T.StructType([
     T.StructField("primary_key_value", T.StringType()),
     T.StructField("column_name", T.StringType()),
@@ -116,6 +122,53 @@ class _Pair:
         hashes = [f"xxhash64({seed}, {', '.join(names)}) as {piece}" for seed, piece in enumerate(self.pieces)]
         return values.selectExpr(*self.key_names, *_counters(left), *hashes)
 
+    def slice_of(self, left: bool, number: int) -> str:
+        """The slice of the key space that a row of a side is in, as SQL over its own columns."""
+        keys = [k.key(quoted(k.name), left) for k in self._keys]
+        return f"pmod(xxhash64(7, {', '.join(f'{k}, {k} is null' for k in keys)}), {number})"
+
+    def fingerprints(self, number: int) -> DataFrame:
+        """For each slice of the key space the rows of both sides, and whether they are the same ones.
+
+        The 128-bit hashes of keys and values of a side, with repeats, are summed
+        up and xor-ed: numbers that do not depend on any order, that tasks fold
+        first, and of which a slice has few.  The rows of the one side count
+        negative.  Sums are of 16 bits each, so that 2**47 rows overflow none.
+        """
+        sides = []
+        for left in (True, False):
+            inputs = [part for c in self.columns for part in c.hash_inputs(quoted(c.name), left)]
+            names = [f"_v{i}" for i in range(len(inputs))]
+            values = self._side(left).selectExpr(
+                f"{self.slice_of(left, number)} as _slice", *self._key_columns(left),
+                *[f"{v} as {n}" for v, n in zip(inputs, names)],
+            )
+            whole = ", ".join([*(f"{k}, {k} is null" for k in self.key_names), *names])
+            sides.append(values.selectExpr("_slice", *_counters(left), *[f"xxhash64({seed}, {whole}) as _h{seed}" for seed in (0, 1)]))
+        bits = [f"(shiftrightunsigned({h}, {at}) & 65535L) * (_e - _a)" for h in ("_h0", "_h1") for at in (0, 16, 32, 48)]
+        sums = sides[0].unionAll(sides[1]).groupBy("_slice").agg(
+            F.sum("_e").alias("expected_rows"), F.sum("_a").alias("actual_rows"),
+            *[F.sum(F.expr(part)).alias(f"_s{i}") for i, part in enumerate(bits)],
+            *[F.bit_xor(h).alias(h) for h in ("_h0", "_h1")],
+        )
+        same = " and ".join(["expected_rows = actual_rows", "_h0 = 0", "_h1 = 0", *(f"_s{i} = 0" for i in range(len(bits)))])
+        return sums.selectExpr("_slice", "expected_rows", "actual_rows", f"{same} as same")
+
+    def in_slices(self, slices: list[int], number: int) -> _Pair:
+        """The rows of both sides in some slices, with the same rules."""
+        part = copy(self)
+        part.expected, part.actual = (
+            side.filter(F.expr(self.slice_of(left, number)).isin(slices)) for left, side in ((True, self.expected), (False, self.actual))
+        )
+        return part
+
+    def keys_of(self, left: bool) -> DataFrame:
+        return self._side(left).selectExpr(*self._key_columns(left))
+
+    def is_dealt_by_key(self, left: bool) -> bool:
+        """Whether the rows of a side already lie together by key, as those of a snapshot in buckets."""
+        return in_buckets(self._side(left)) and "Exchange" not in plan_of(self.keys_of(left).groupBy(*self.key_names).count())
+
     @property
     def pieces(self) -> list[str]:
         """The columns of the row hash; none if there is nothing to compare but keys."""
@@ -138,10 +191,16 @@ class _Pair:
         def side(left: bool) -> DataFrame:
             return self.hashed(left) if pieces else self._side(left).selectExpr(*self._key_columns(left), *_counters(left))
 
-        counted = side(True).unionAll(side(False)).groupBy(*self.key_names).agg(
-            F.sum("_e").alias("expected_rows"), F.sum("_a").alias("actual_rows"),
-            *[F.bit_xor(p).alias(p) for p in pieces],
-        )
+        def summed(rows: DataFrame) -> DataFrame:
+            return rows.groupBy(*self.key_names).agg(
+                F.sum("_e").alias("_e"), F.sum("_a").alias("_a"), *[F.bit_xor(p).alias(p) for p in pieces]
+            )
+
+        sides = [side(True), side(False)]
+        if self.is_dealt_by_key(True) or self.is_dealt_by_key(False):
+            # each on its own first: a saved side is not moved, and both then lie by key
+            sides = [summed(rows) for rows in sides]
+        counted = summed(sides[0].unionAll(sides[1])).withColumnsRenamed({"_e": "expected_rows", "_a": "actual_rows"})
         changed = F.expr(" or ".join(f"{p} <> 0" for p in pieces) or "false")
         status = (
             F.when((F.col("expected_rows") > 1) | (F.col("actual_rows") > 1), DUPLICATE)
@@ -271,24 +330,30 @@ class Reconciliation:
         return self._spark.createDataFrame([(*[self.counts[n] for n in names], self.verdict)], schema)
 
 
-def _run_census(pair: _Pair, hashed: bool):
+def _run_census(pair: _Pair, hashed: bool, rows: tuple[int, int] | None = None):
     """Write the keys that do not match and count the others.
 
     All matching keys are one group, which the partial aggregate folds to one
     row per task; so the written table is as large as the findings, and the
     counts are read from it.  Nothing depends on metrics that a busy driver or
     a task run twice could get wrong.
+
+    If the numbers of rows of both sides are known, what is not found matches,
+    and the findings are written straight from the only shuffle.
     """
     census = pair.census(hashed)
-    keys = [F.when(F.col("status") != MATCH, F.col(k)).alias(k) for k in pair.key_names]
-    findings = written(
-        census.groupBy(*keys, "status").agg(
+    nulls = F.expr(" or ".join(f"{k} is null" for k in pair.key_names))
+    if rows is None:
+        keys = [F.when(F.col("status") != MATCH, F.col(k)).alias(k) for k in pair.key_names]
+        found = census.groupBy(*keys, "status").agg(
             F.sum("expected_rows").alias("expected_rows"),
             F.sum("actual_rows").alias("actual_rows"),
             F.count(F.lit(1)).alias("keys"),
-        ),
-        "findings",
-    )
+            F.bool_or(nulls).alias("null_key"),
+        )
+    else:
+        found = census.filter(F.col("status") != MATCH).select("*", F.lit(1).cast("long").alias("keys"), nulls.alias("null_key"))
+    findings = written(found, "findings")
     per_status = {
         r.status: r
         for r in findings.groupBy("status").agg(
@@ -299,8 +364,12 @@ def _run_census(pair: _Pair, hashed: bool):
             F.min("_k0").alias("low"),
             F.max("_k0").alias("high"),
             F.count_if(F.col("_k0").isNull()).alias("nulls"),
+            F.bool_or("null_key").alias("null_key"),
         ).collect()
     }
+    if rows is not None:
+        left, right = (n - sum(r[side] for r in per_status.values()) for n, side in zip(rows, ("expected_rows", "actual_rows"), strict=True))
+        per_status[MATCH] = Row(expected_rows=left, actual_rows=right, keys=left, null_key=True)
 
     def of(status, field):
         return per_status[status][field] if status in per_status else 0
@@ -317,6 +386,7 @@ def _run_census(pair: _Pair, hashed: bool):
         "duplicate_bytes": of(DUPLICATE, "bytes"),
         "duplicate_rows": of(DUPLICATE, "expected_rows"),
         "changed": per_status.get(MISMATCH),
+        "null_keys": any(r.null_key for r in per_status.values()),
     }
 
 
@@ -373,7 +443,7 @@ def _only_changed(pair: _Pair, findings: DataFrame, counts: dict) -> list[DataFr
     """
     sides = [pair.wide(True), pair.wide(False)]
     changed, found = _keys_with(findings, pair, MISMATCH), counts["changed"]
-    if isinstance(sides[0].schema["_k0"].dataType, (T.LongType, T.DateType)) and not found.nulls:
+    if isinstance(sides[0].schema["_k0"].dataType, (T.LongType, T.IntegerType, T.DateType)) and not found.nulls:
         between = F.col("_k0").between(F.lit(found.low), F.lit(found.high))
         sides = [rows.filter(between) for rows in sides]
     if counts["mismatch_bytes"] <= BROADCAST_KEY_BYTES:
@@ -407,10 +477,14 @@ def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
     return written(diff, "diff").drop("entry")
 
 
-def _joined(pair: _Pair, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """Both sides of each key in one row; the keys once."""
+def _joined(pair: _Pair, left: DataFrame, right: DataFrame, how: str, null_keys: bool = True) -> DataFrame:
+    """Both sides of each key in one row; the keys once.
+
+    Without null keys the join is on the keys themselves, so that a side that
+    lies by key need not be moved.
+    """
     right = right.withColumnsRenamed({k: f"r{k}" for k in pair.key_names})
-    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"r{k}")) for k in pair.key_names])
+    on = reduce(and_, [F.col(k).eqNullSafe(F.col(f"r{k}")) if null_keys else F.col(k) == F.col(f"r{k}") for k in pair.key_names])
     joined = left.join(right, on, how)
     if how == "full":
         joined = joined.withColumns({k: F.coalesce(F.col(k), F.col(f"r{k}")) for k in pair.key_names})
@@ -426,13 +500,13 @@ def _exact_diff(pair: _Pair, findings: DataFrame, counts: dict):
         .when(pair.any_cell_differs(), MISMATCH)
         .otherwise(MATCH)
     )
-    rows = _joined(pair, left, right, "full").withColumn("status", status)
+    rows = _joined(pair, left, right, "full", counts["null_keys"]).withColumn("status", status)
     return _counted(pair.diff_rows(rows.filter(F.col("status") != MATCH)), "diff")
 
 
 def _anti_diff(pair: _Pair, findings: DataFrame, counts: dict):
     left, right = _unique(pair, findings, counts)
-    both = _joined(pair, left, right, "inner").filter(pair.any_cell_differs())
+    both = _joined(pair, left, right, "inner", counts["null_keys"]).filter(pair.any_cell_differs())
     cells, mismatched = _counted(pair.diff_rows(both.withColumn("status", F.lit(MISMATCH))), "cells")
     one_sided = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
     return one_sided.drop("entry").unionByName(cells), mismatched
@@ -456,6 +530,7 @@ def reconcile(
     coerce: bool = False,
     on_duplicate: str = "report",
     hash_bits: int = 128,
+    skip_equal: bool = False,
 ) -> Reconciliation:
     """Compare two tables and return the differences.
 
@@ -472,6 +547,12 @@ def reconcile(
     counts as its midnight and a boolean as 0 or 1.  ``hash_bits=64`` shuffles a
     third less; two rows are only compared on the same key, so one changed row
     in 2**64 would be missed.
+
+    ``skip_equal`` first compares fingerprints of slices of the key space, one
+    scan of both tables that moves next to nothing.  Equal tables end there, and
+    equal slices take no part in the comparison; of them only one side's keys
+    are counted, to list repeated ones.  It pays where most data is equal and a
+    scan is cheap, and costs that scan where differences are everywhere.
     """
     if strategy not in STRATEGIES:
         raise ValueError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
@@ -486,15 +567,26 @@ def reconcile(
         columns = compare_columns(expected, actual, keys, exclude)
     pair = _Pair(expected, actual, keys, [c.lower() for c in columns], coerce, hash_bits)
 
-    findings, counts = _run_census(pair, hashed=strategy == "hash")
-    if on_duplicate == "raise" and counts["duplicate_keys"]:
-        raise DuplicateKeyError(f"{counts['duplicate_keys']} key(s) of {keys} occur more than once")
+    equal = _equal_slices(pair) if skip_equal else None
+    if equal is None:
+        findings, counts = _run_census(pair, hashed=strategy == "hash")
+    else:
+        pair = equal.rest or pair.in_slices([], SLICES)
+        if equal.rest is None:
+            findings, counts = _nothing_found(pair)
+        else:
+            findings, counts = _run_census(pair, strategy == "hash", equal.rest_rows)
+    if on_duplicate == "raise" and counts["duplicate_keys"] + (equal.repeated_keys if equal else 0):
+        raise DuplicateKeyError(f"some key(s) of {keys} occur more than once")
 
     if strategy == "hash":
         unique = dict(counts)
 
         def unique_diff():
             return _hash_diff(pair, findings, unique)
+    elif equal is not None and equal.rest is None:
+        def unique_diff():
+            return None
     else:
         compare = _exact_diff if strategy == "exact" else _anti_diff
         diff, changed = compare(pair, findings, counts)
@@ -518,11 +610,46 @@ def reconcile(
             parts.append(pair.marker_rows(left_over, "rows").drop("entry"))
         return reduce(DataFrame.unionByName, [p for p in parts if p is not None])
 
+    several = findings
+    if equal is not None:
+        for name in ("source_rows", "target_rows", "matched_rows"):
+            counts[name] += equal.rows
+        counts["duplicate_keys"] += equal.repeated_keys
+        several = several.select(*equal.repeated.columns).unionByName(equal.repeated)
     counts["total_diffs"] = counts["missing_rows"] + counts["extra_rows"] + counts["mismatched_rows"]
     names = ("source_rows", "target_rows", "matched_rows", "missing_rows", "extra_rows",
              "mismatched_rows", "total_diffs", "duplicate_keys")
     report = {n: counts[n] for n in names}
-    return Reconciliation(expected.sparkSession, report, _duplicate_report(pair, findings), find_diff)
+    return Reconciliation(expected.sparkSession, report, _duplicate_report(pair, several), find_diff)
+
+
+class _Equal(NamedTuple):
+    """What fingerprints settle: rows that both sides have, their repeated keys, and the pair that is left to compare."""
+
+    rows: int
+    repeated: DataFrame
+    repeated_keys: int
+    rest: _Pair | None
+    rest_rows: tuple[int, int]
+
+
+def _equal_slices(pair: _Pair) -> _Equal:
+    slices = pair.fingerprints(SLICES).collect()  # as many numbers as there are slices
+    same, other = ([r for r in slices if r.same == kind] for kind in (True, False))
+    part = pair if not other else pair.in_slices([r["_slice"] for r in same], SLICES)
+    counted = part.keys_of(True).groupBy(*pair.key_names).agg(F.count(F.lit(1)).alias("expected_rows")).filter("expected_rows > 1")
+    repeated = written(
+        counted.select(*pair.key_names, "expected_rows", F.col("expected_rows").alias("actual_rows"), F.lit(DUPLICATE).alias("status")), "repeated"
+    )
+    rest = pair.in_slices([r["_slice"] for r in other], SLICES) if other else None
+    rest_rows = sum(r.expected_rows for r in other), sum(r.actual_rows for r in other)
+    return _Equal(sum(r.expected_rows for r in same), repeated, repeated.count(), rest, rest_rows)
+
+
+def _nothing_found(pair: _Pair):
+    names = ("source_rows", "target_rows", "matched_rows", "missing_rows", "extra_rows", "mismatched_rows", "duplicate_keys")
+    columns = [*pair.key_names, "0L as expected_rows", "0L as actual_rows", "'' as status"]
+    return pair.keys_of(True).limit(0).selectExpr(*columns), dict.fromkeys(names, 0)
 
 
 def _duplicate_report(pair: _Pair, findings: DataFrame) -> DataFrame:

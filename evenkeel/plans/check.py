@@ -36,6 +36,8 @@ class Side:
     read back from there, so its extract runs once however often the comparison
     scans it.  Nulls in a ``required`` column refuse a side before it counts as
     saved: it is written to the shared folder first, and to its place after that.
+    Saved with ``save_keys``, the keys it is compared by, its rows lie by them, and
+    neither this comparison nor a later one moves them again.
     """
 
     data: DataFrame | str
@@ -46,6 +48,7 @@ class Side:
     required: tuple[str, ...] = ()
     save_to: str | None = None
     fmt: str = "parquet"
+    save_keys: tuple[str, ...] = ()
 
     def load(self, spark: SparkSession) -> DataFrame:
         df = load_snapshot(spark, self.data, self.fmt) if isinstance(self.data, str) else self.data
@@ -57,7 +60,7 @@ class Side:
             require_not_null(df, list(self.required))
         if not self.save_to:
             return df
-        save_snapshot(df, self.save_to, self.fmt)
+        save_snapshot(df, self.save_to, self.fmt, keys=self.save_keys)
         return load_snapshot(spark, self.save_to, self.fmt, schema=df.schema)
 
 

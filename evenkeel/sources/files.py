@@ -15,7 +15,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from evenkeel.sources import csv_codec
+from evenkeel.sources import buckets, csv_codec
+from evenkeel.sources.workspace import remove
 
 CSV_OPTIONS = {
     "header": "true",
@@ -108,16 +109,26 @@ def read_csv(spark: SparkSession, path: str, *, schema=None, as_text=False, mult
     return _earlier_text(found, schema) if stored else found
 
 
-def save_snapshot(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def save_snapshot(df: DataFrame, path: str, fmt: str = "parquet", *, keys=()) -> None:
+    """Write a snapshot.  One as Parquet with ``keys`` is put in buckets by them, unless a hot key makes them uneven."""
+    if keys:
+        if fmt != "parquet":
+            raise ValueError(f"only a Parquet snapshot can be in buckets, not {fmt!r}")
+        buckets.save(df, path, list(keys))
+        return
     if fmt == "csv":
         write_csv(df, path)
     else:
         df.write.mode("overwrite").format(fmt).save(path)
+    if fmt == "parquet":
+        remove(df.sparkSession, buckets.note_path(path))
 
 
 def load_snapshot(spark: SparkSession, path: str, fmt: str = "parquet", *, schema=None, **options) -> DataFrame:
     """Read a snapshot; with its ``schema`` given no job is needed to find it. ``options`` are those of the format's reader."""
     if fmt == "csv":
         return read_csv(spark, path, schema=schema, **options)
+    if fmt == "parquet" and not options and (found := buckets.load(spark, path)) is not None:
+        return found
     reader = spark.read.format(fmt).options(**options)
     return (reader if schema is None else reader.schema(schema)).load(path)

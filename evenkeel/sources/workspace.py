@@ -66,6 +66,11 @@ def remove(spark: SparkSession, path: str) -> None:
     hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop)
+
+
 def new_table_path(spark: SparkSession, name: str) -> str:
     folder = _RUN.get() or shared_folder(spark).rstrip("/")
     return f"{folder}/{name}-{uuid.uuid4().hex}"
