@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import functions as F
 
 from evenkeel.operators.filters import KeyFilter
-from evenkeel.operators.upsert import upsert
+from evenkeel.operators.upsert import upsert, upsert_into
 from evenkeel.sources.files import load_snapshot, read_csv, save_snapshot, write_csv
 from evenkeel.sources.jdbc import Partitioning, choose_partitioning, partition_bounds, probe_bounds, read_jdbc
 from evenkeel.sources.workspace import is_local, new_table_path
@@ -143,6 +143,45 @@ def upsert_latest(spark, sf_dir):
     return upsert(orders, changes, "o_orderkey", latest_by="o_orderdate")
 
 
+@query("""
+with c as (
+  select o_orderkey, o_custkey, 'X' as o_orderstatus, o_totalprice, o_orderdate + interval 40 day as o_orderdate, o_orderpriority
+  from orders where o_orderkey % 50 = 0 and month(o_orderdate) in (2, 7)
+  union all
+  select -1 - o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+  from orders where o_orderkey % 70 = 0 and month(o_orderdate) = 7
+)
+select *, strftime(o_orderdate, '%Y-%m') as month from (
+  select * from orders where o_orderkey not in (select o_orderkey from c) union all select * from c)""")
+def upsert_partitions(spark, sf_dir):
+    """Orders by month, changed in place: some move to another month, others are new; months without them keep their files."""
+    orders = table(spark, sf_dir, "orders").withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    path = new_table_path(spark, "orders_by_month")
+    orders.write.partitionBy("month").parquet(path)
+    moved = orders.filter("o_orderkey % 50 = 0 and month(o_orderdate) in (2, 7)").withColumns(
+        {"o_orderstatus": F.lit("X"), "o_orderdate": F.col("o_orderdate") + F.expr("interval 40 days")}
+    )
+    added = orders.filter("o_orderkey % 70 = 0 and month(o_orderdate) = 7").withColumn("o_orderkey", -1 - F.col("o_orderkey"))
+    changes = moved.unionByName(added).withColumn("month", F.date_format("o_orderdate", "yyyy-MM"))
+    upsert_into(path, changes, "o_orderkey", "month")
+    return spark.read.schema(orders.schema).parquet(path)
+
+
+@query("""
+with c as (select o_orderkey as k, max(case when l_quantity > 25 then l_shipdate end) as day from lineitem join orders on l_orderkey = o_orderkey group by 1)
+select o_orderkey, o_custkey, case when k is not null then 'S' else o_orderstatus end as o_orderstatus, o_totalprice,
+       case when k is not null then day else o_orderdate end as o_orderdate, o_orderpriority
+from orders left join c on o_orderkey = k""")
+def upsert_latest_with_nulls(spark, sf_dir):
+    """Changes some of which have no time: they count only where no other does, and none is lost."""
+    orders = table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem").selectExpr("l_orderkey", "case when l_quantity > 25 then l_shipdate end as day")
+    changes = orders.join(lines, orders.o_orderkey == lines.l_orderkey).select(
+        "o_orderkey", "o_custkey", F.lit("S").alias("o_orderstatus"), "o_totalprice", F.col("day").alias("o_orderdate"), "o_orderpriority"
+    )
+    return upsert(orders, changes, "o_orderkey", latest_by="o_orderdate")
+
+
 # --- JDBC ------------------------------------------------------------------------------------------
 
 JDBC_URL = "spark.evenkeel.jdbc.url"
