@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from evenkeel.functions.canonical import comparables, fold_names, key_text, literal, quoted
+from evenkeel.operators.membership import maybe_in, words_of
 from evenkeel.sources.buckets import in_buckets, plan_of
 from evenkeel.sources.workspace import written
 
@@ -449,6 +450,9 @@ def _only_changed(pair: _Pair, findings: DataFrame, counts: dict) -> list[DataFr
     if counts["mismatch_bytes"] <= BROADCAST_KEY_BYTES:
         changed = F.broadcast(changed)
     else:
+        # most rows of a mostly equal table are not moved: the bitmap of the changed keys leaves them out where they are
+        bitmap, words = words_of(changed, counts["mismatched_rows"])
+        sides = [maybe_in(rows, [F.col(k) for k in pair.key_names], bitmap, words) for rows in sides]
         sides = _without_hot_keys(pair, sides, findings, counts)
     return [rows.join(changed, pair.on(rows, changed), "left_semi") for rows in sides]
 

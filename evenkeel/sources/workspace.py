@@ -60,6 +60,11 @@ def workspace(spark: SparkSession) -> Iterator[str]:
         remove(spark, folder)
 
 
+def current_workspace() -> str | None:
+    """The folder of the workspace that tables go to now; None outside of one."""
+    return _RUN.get()
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Remove a table or folder, wherever Spark writes to."""
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)

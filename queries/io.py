@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.operators.filters import KeyFilter
 from evenkeel.operators.upsert import upsert, upsert_into
 from evenkeel.sources.files import load_snapshot, read_csv, save_snapshot, write_csv
 from evenkeel.sources.jdbc import Partitioning, choose_partitioning, partition_bounds, probe_bounds, read_jdbc
+from evenkeel.sources.ranges import balanced_ranges
 from evenkeel.sources.workspace import is_local, new_table_path
 from queries.registry import query, table
 
@@ -182,6 +186,18 @@ def upsert_latest_with_nulls(spark, sf_dir):
     return upsert(orders, changes, "o_orderkey", latest_by="o_orderdate")
 
 
+@query("select o_orderkey * o_orderkey * o_orderkey as skewed, o_totalprice from orders")
+def split_by_ranges(spark, sf_dir):
+    """Orders under a key that is dense at one end, put together again from the ranges a split read would ask for."""
+    orders = table(spark, sf_dir, "orders").selectExpr("o_orderkey * o_orderkey * o_orderkey as skewed", "o_totalprice")
+    low, high = orders.agg(F.min("skewed"), F.max("skewed")).first()
+    view = f"skewed_{uuid.uuid4().hex}"
+    orders.createOrReplaceTempView(view)
+    ranges = balanced_ranges(lambda sql: [tuple(r) for r in spark.sql(sql).collect()], f"select * from {view}", "skewed", low, high, 8)
+    parts = [orders.filter(p) for p in ranges.predicates()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 # --- JDBC ------------------------------------------------------------------------------------------
 
 JDBC_URL = "spark.evenkeel.jdbc.url"

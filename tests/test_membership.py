@@ -1,0 +1,122 @@
+"""Bitmaps of keys: no row of the set is lost, few others are moved."""
+
+import datetime as dt
+import time
+from decimal import Decimal
+
+import pytest
+from frame_checks import diff_set, formatted_plan
+from pyspark.sql import functions as F
+
+import evenkeel.operators.filters as filters
+import evenkeel.operators.reconcile as reconcile_module
+from evenkeel.operators.filters import KeyFilter
+from evenkeel.operators.membership import comparable_key, maybe_in, words_of
+from evenkeel.operators.reconcile import reconcile
+from evenkeel.sources.workspace import workspace
+
+
+def shuffled_bytes(spark, run):
+    """The result of a run and what it wrote to shuffles."""
+
+    def total():
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(10_000)
+        executors = spark.sparkContext._jsc.sc().statusStore().executorList(True)
+        return sum(executors.apply(i).totalShuffleWrite() for i in range(executors.size()))
+
+    before = total()
+    result = run()
+    time.sleep(0.2)
+    return result, total() - before
+
+
+def test_rows_of_the_set_pass_and_few_others(spark):
+    keys, df = spark.range(0, 40_000, 2).toDF("_wanted"), spark.range(200_000).toDF("k")
+    bitmap, words = words_of(keys, 20_000)
+    passed = maybe_in(df, [F.col("k")], bitmap, words)
+    assert passed.join(keys, F.col("k") == F.col("_wanted"), "left_semi").count() == 20_000
+    assert 20_000 <= passed.count() < 20_000 + 0.2 * 180_000
+    assert words <= 4096 and "BroadcastHashJoin" in formatted_plan(passed)
+
+
+def test_a_bitmap_never_grows_beyond_its_bound(spark, monkeypatch):
+    import evenkeel.operators.membership as membership
+
+    monkeypatch.setattr(membership, "MOST_WORDS", 128)
+    keys = spark.range(50_000).toDF("_wanted")
+    bitmap, words = words_of(keys, 50_000)
+    assert words == 128 and bitmap.count() <= 128
+    assert maybe_in(spark.range(100).toDF("k"), [F.col("k")], bitmap, words).count() == 100
+
+
+@pytest.fixture
+def large(monkeypatch):
+    monkeypatch.setattr(filters, "BITMAP_FROM", 10)
+
+
+def test_a_large_key_set_leaves_rows_where_they_are(spark, sf_dir, monkeypatch):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    wanted = orders.filter("o_orderkey % 20 = 0").select("o_orderkey")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        def run():
+            return {r.o_orderkey for r in KeyFilter("pk_set", "o_orderkey", values=wanted).apply(orders).collect()}
+
+        plain, moved = shuffled_bytes(spark, run)
+        monkeypatch.setattr(filters, "BITMAP_FROM", 10)
+        left_out, moved_less = shuffled_bytes(spark, run)
+        assert plain == left_out == {r.o_orderkey for r in wanted.collect()}
+        assert moved_less < moved / 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("type_of_table, type_of_keys, values", [
+    ("int", "bigint", list(range(40))), ("bigint", "smallint", list(range(40))), ("string", "string", [f"k{i}" for i in range(40)]),
+    ("date", "date", [dt.date(2024, 1, 1) + dt.timedelta(i) for i in range(40)]),
+    ("decimal(10,2)", "decimal(10,2)", [Decimal(i) / 4 for i in range(40)]),
+    ("double", "double", [i / 8 for i in range(39)] + [-0.0]), ("string", "int", list(range(40))),
+    ("timestamp", "timestamp_ntz", [dt.datetime(2024, 1, 1, i % 24, i) for i in range(40)]),
+])
+def test_types_of_keys(spark, large, type_of_table, type_of_keys, values):
+    """Types whose hashes would not agree are left to the exact join."""
+    def cast(vs, kind):
+        return [None if v is None else str(v) if kind == "string" else v for v in vs]
+
+    table = spark.createDataFrame([(v,) for v in [*cast(values, type_of_table), None]], f"k {type_of_table}")
+    keys = spark.createDataFrame([(v,) for v in [*cast(values[::2], type_of_keys), None]], f"k {type_of_keys}")
+    got = KeyFilter("pk_set", "k", values=keys).apply(table).count()
+    joined = table.join(keys.distinct(), table.k == keys.k, "left_semi").count()
+    assert got == joined >= len(values[::2])
+
+
+def test_no_form_for_numbers_that_print_differently():
+    from pyspark.sql import types as T
+
+    assert comparable_key(F.lit(1), T.DoubleType(), T.DoubleType()) is None
+    assert comparable_key(F.lit(1), T.DecimalType(10, 2), T.DecimalType(12, 2)) is None
+
+
+def test_a_key_set_outlives_its_workspace(spark):
+    table, keys = spark.range(100).toDF("k"), spark.createDataFrame([(3,), (5,)], "k bigint")
+    wanted = KeyFilter("pk_set", "k", values=keys)
+    with workspace(spark):
+        inside = wanted.apply(table)
+        assert inside.count() == 2
+    assert wanted.apply(table).count() == 2
+    with workspace(spark):
+        assert wanted.apply(table).count() == 2  # made outside, and still there
+    assert wanted.apply(table).count() == 2
+
+
+def test_many_changed_keys_are_fetched_without_moving_the_others(spark, sf_dir, monkeypatch):
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    changed = orders.withColumn("o_custkey", F.col("o_custkey") + (F.col("o_orderkey") % 20 == 0).cast("int"))
+    monkeypatch.setattr(reconcile_module, "BROADCAST_KEY_BYTES", -1)
+    plans, keep = [], reconcile_module.written
+    monkeypatch.setattr(reconcile_module, "written", lambda df, name: (plans.append((name, formatted_plan(df))), keep(df, name))[1])
+    result = reconcile(orders, changed, "o_orderkey")
+    expected = {(str(r.o_orderkey), "o_custkey", str(r.o_custkey), str(r.o_custkey + 1), "VALUE_MISMATCH") for r in orders.filter("o_orderkey % 20 = 0").collect()}
+    assert diff_set(result) == expected
+    assert dict(plans)["diff"].split("(1) ")[0].count("BroadcastHashJoin LeftSemi") >= 2
