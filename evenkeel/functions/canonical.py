@@ -92,24 +92,35 @@ def rounded_double(value: str, scale: int) -> str:
     return f"coalesce(if({is_clear}, rint({scaled}) / {unit}, {exact}), {value})"
 
 
+# Digits that a number is written out with; beyond it stands an exponent.
+WRITTEN_OUT = 40
+
+
 def exact_number(value: str, dtype: T.DataType) -> str:
-    """A number as its shortest decimal text, the same for every type that can hold it.
+    """A number as decimal text, the same for every type that can hold it, however large or small.
 
-    A float stands for the decimal it prints as.  A value that 38 digits cannot
-    hold without rounding keeps the text of its own type.
+    A float stands for the decimal it prints as.  The printed text is taken
+    apart into sign, digits without zeros at either end, and exponent, which are
+    the same for equal numbers; put together again, each number has one text.
     """
     text = f"cast({value} as string)"
     if isinstance(dtype, _INTEGRAL):
         return text
-
-    def fits(scale: int) -> str:
-        decimal = f"try_cast({text} as decimal({MAX_PRECISION},{scale}))"
-        back = "double" if isinstance(dtype, _FLOATING) else f"decimal({dtype.precision},{dtype.scale})"
-        whole = f"cast({text} as double)" if isinstance(dtype, _FLOATING) else value
-        return f"if(try_cast({decimal} as {back}) = {whole}, cast({decimal} as string), null)"
-
-    plain = f"coalesce({fits(18)}, {fits(0)}, {text})"
-    return f"regexp_replace(regexp_replace({plain}, '^(-?[0-9]+[.][0-9]*?)0+$', '$1'), '[.]$', '')"
+    pattern = "'^-?([0-9]*)[.]?([0-9]*)'"
+    fraction = f"regexp_extract({text}, {pattern}, 2)"
+    leading = f"ltrim('0', concat(regexp_extract({text}, {pattern}, 1), {fraction}))"
+    digits = f"rtrim('0', {leading})"
+    power = f"coalesce(try_cast(regexp_extract({text}, 'E([+-]?[0-9]+)$', 1) as int), 0)"
+    exponent = f"({power} - length({fraction}) + length({leading}) - length({digits}))"
+    sign = f"if({text} like '-%', '-', '')"
+    point = f"(length({digits}) + {exponent})"
+    return (
+        f"case when not {text} rlike '^-?[0-9]' then {text} when {digits} = '' then '0' "
+        f"when {exponent} >= 0 and {point} <= {WRITTEN_OUT} then concat({sign}, {digits}, repeat('0', {exponent})) "
+        f"when {exponent} < 0 and {point} > 0 then concat({sign}, left({digits}, {point}), '.', right({digits}, -{exponent})) "
+        f"when {exponent} < 0 and -{exponent} <= {WRITTEN_OUT} then concat({sign}, '0.', repeat('0', -{point}), {digits}) "
+        f"else concat({sign}, {digits}, 'E', {exponent}) end"
+    )
 
 
 def nested(dtype: T.DataType) -> bool:

@@ -236,7 +236,7 @@ class _Pair:
             cells = ", ".join(self._cell(c) for c in self.columns)
             cases.append(f"when status = '{MISMATCH}' then filter(array({cells}), cell -> cell is not null)")
         entries = f"posexplode(case {' '.join(cases)} end) as (entry, cell)"
-        return self._labelled(rows.selectExpr(*self.key_names, "status", entries))
+        return self._labelled(rows.selectExpr(*self.key_names, "status", "1L as rows", entries))
 
     def _cell(self, c) -> str:
         expected, actual = _side_column(c, True), _side_column(c, False)
@@ -246,7 +246,7 @@ class _Pair:
     def marker_rows(self, rows: DataFrame, number: str = "1L") -> DataFrame:
         """The same for keys of which ``number`` rows are missing or extra; the marker says so if there are several."""
         entry = f"if(status = '{MISSING}', {_marker(MISSING, number)}, {_marker(EXTRA, number)}) as cell"
-        return self._labelled(rows.selectExpr(*self.key_names, "status", "0 as entry", entry))
+        return self._labelled(rows.selectExpr(*self.key_names, "status", f"{number} as rows", "0 as entry", entry))
 
     def _labelled(self, rows: DataFrame) -> DataFrame:
         return rows.selectExpr(
@@ -255,6 +255,7 @@ class _Pair:
             "cell.expected_value",
             "cell.actual_value",
             "status as diff_type",
+            "rows",
             "entry",
         )
 
@@ -295,12 +296,17 @@ class Reconciliation:
         self.duplicates = duplicates
 
     @cached_property
-    def diff(self) -> DataFrame:
-        """One row per missing row, extra row and differing cell, in ``DIFF_SCHEMA``."""
+    def counted_diff(self) -> DataFrame:
+        """The diff table with ``rows``: how many rows a difference stands for."""
         if self.total_diffs == 0:
-            return self._spark.createDataFrame([], DIFF_SCHEMA)
+            return self._spark.createDataFrame([], T.StructType([*DIFF_SCHEMA, T.StructField("rows", T.LongType())]))
         return self._find_diff()
 
+    @cached_property
+    def diff(self) -> DataFrame:
+        """One row per missing row, extra row and differing cell, in ``DIFF_SCHEMA``."""
+        return self.counted_diff.select(*DIFF_SCHEMA.names)
+
     @property
     def total_diffs(self) -> int:
         return self.counts["total_diffs"]

@@ -15,17 +15,21 @@ def check_diff_columns(diff: DataFrame) -> None:
         raise ValueError(f"not a diff table, column(s) {absent} are absent; found {diff.columns}")
 
 
-def diff_by_type(diff: DataFrame) -> DataFrame:
+def diff_by_type(diff: DataFrame | Reconciliation) -> DataFrame:
     """Rows affected per kind of difference; a row with several changed cells counts once.
 
-    A whole-row difference counts as many rows as its marker says, and needs no
-    distinct count; only the keys of changed cells are told apart.
+    A whole-row difference counts as many rows as it stands for, and needs no
+    distinct count; only the keys of changed cells are told apart.  A result
+    knows these numbers; of a diff table, which may come from a report, they are
+    read from the markers that print them.
     """
-    check_diff_columns(diff)
-    number = [F.regexp_extract(c, r" x(\d+)$", 1).try_cast("long") for c in ("expected_value", "actual_value")]
-    whole = diff.filter(F.col("diff_type") != MISMATCH).groupBy("diff_type").agg(
-        F.sum(F.coalesce(*number, F.lit(1))).alias("affected_rows")
-    )
+    if isinstance(diff, Reconciliation):
+        diff, rows = diff.counted_diff, F.col("rows")
+    else:
+        check_diff_columns(diff)
+        printed = [F.regexp_extract(c, r" x(\d+)$", 1).try_cast("long") for c in ("expected_value", "actual_value")]
+        rows = F.coalesce(*printed, F.lit(1))
+    whole = diff.filter(F.col("diff_type") != MISMATCH).groupBy("diff_type").agg(F.sum(rows).alias("affected_rows"))
     changed = diff.filter(F.col("diff_type") == MISMATCH).groupBy("diff_type").agg(
         F.count_distinct("primary_key_value").alias("affected_rows")
     )

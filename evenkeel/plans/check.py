@@ -126,6 +126,8 @@ def run_spec(
         target = Side(target)
     user_transform = target.transform
     target = replace(target, transform=lambda df: target_extract(spec, perform_transform(df, user_transform)))
+    if "columns" in options:
+        raise SpecError("the columns to compare are those of the spec; use exclude to leave some out")
     excluded = {c.lower() for c in options.pop("exclude", AUDIT_COLUMNS)}
     columns = [c for c in spec.compare_columns if c.lower() not in excluded]
     return run(

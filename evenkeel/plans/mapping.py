@@ -8,18 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from evenkeel.functions.rules import BATCH_ID, constant, expression, fill, snowflake_value
+from evenkeel.operators.joins import splits_hot_keys, spread_join
 from evenkeel.plans.spec import ColumnRule, JoinDef, SpecError, TableSpec
 from evenkeel.sources.workspace import written
 
 DIALECTS = ("mysql", "snowflake")
 
 
-def enrich(df: DataFrame, join: JoinDef, other: DataFrame) -> DataFrame:
+def enrich(df: DataFrame, join: JoinDef, other: DataFrame, *, spread: bool | None = None) -> DataFrame:
     """Join one table and add its fetched columns as ``alias_column``.
 
     The join key is a plain equality, so Spark broadcasts a small table by its
-    known size, and splits a hot key of a large one at run time (with adaptive
-    execution off it cannot).  A right join allows neither for the main table,
+    known size, and splits a hot key of a large one at run time.  Where adaptive
+    execution does not do that (or with ``spread``), hot keys are counted first
+    and dealt to several tasks.  A right join allows neither for the main table,
     so it is put together from an inner join and the rows of the other table
     that no main row refers to.  It reads the main table twice: give it one
     that is cheap to read, as ``extract`` does.
@@ -29,7 +31,11 @@ def enrich(df: DataFrame, join: JoinDef, other: DataFrame) -> DataFrame:
         F.col(join.right_key).alias(key),
         *[F.col(c).alias(f"{join.alias}_{c}") for c in join.fetch],
     )
-    joined = df.join(fetched, df[join.left_key] == fetched[key], "inner" if how == "right" else how)
+    inner = "inner" if how == "right" else how
+    if inner in ("left", "inner") and (spread if spread is not None else not splits_hot_keys(df.sparkSession)):
+        joined = spread_join(df, fetched, join.left_key, key, inner)
+    else:
+        joined = df.join(fetched, df[join.left_key] == fetched[key], inner)
     if how == "right":
         used = df.select(F.col(join.left_key).alias("_used")).distinct()
         unused = fetched.join(used, fetched[key] == used["_used"], "left_anti")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from evenkeel.functions.rules import fill_mode, fill_text, snowflake_value
-from evenkeel.plans.mapping import apply_mapping, extract
+from evenkeel.plans.mapping import apply_mapping, enrich, extract
 from evenkeel.plans.spec import ColumnRule, JoinDef, SourceColumn, TableSpec
 from queries.registry import query, table
 
@@ -166,6 +166,17 @@ def enrich_right(spark, sf_dir):
     return _enriched(spark, sf_dir, "RIGHT")[1]
 
 
+@query("""
+with l as (select l_orderkey, l_linenumber, case when l_orderkey % 3 = 0 then 1 when l_orderkey % 7 <> 0 then l_partkey end as part from lineitem)
+select l.*, p_name as prt_p_name, p_retailprice as prt_p_retailprice from l left join part on part = p_partkey""")
+def enrich_hot_key(spark, sf_dir):
+    """A third of all lines of one part, others without a part: the hot keys are dealt to several tasks when the plan is made."""
+    part = F.when(F.col("l_orderkey") % 3 == 0, 1).when(F.col("l_orderkey") % 7 != 0, F.col("l_partkey"))
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", part.alias("part"))
+    join = JoinDef("prt", "part", "part", "p_partkey", ("p_name", "p_retailprice"))
+    return enrich(lines, join, table(spark, sf_dir, "part"), spread=True)
+
+
 @query("""
 select l_orderkey, l_linenumber, l_partkey,
        p_name as prt_p_name, s_name as sup_s_name, o_orderdate as ord_o_orderdate

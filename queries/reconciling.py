@@ -336,6 +336,27 @@ def reconcile_repeated_rows(spark, sf_dir):
     return _lines_result(spark, sf_dir, "hash").summary
 
 
+_NUMBER_TEXT = """case o_orderkey % 4 when 0 then '0.' || repeat('0', 23) || '1' || lpad(cast(o_orderkey as {text}), 5, '0') || '7'
+    when 1 then '-100' || cast(o_orderkey as {text}) when 2 then cast(o_orderkey as {text}) || '.5' else cast(o_orderkey as {text}) end"""
+
+
+@query(f"""
+with o as (select o_orderkey, {_NUMBER_TEXT.format(text="varchar")} as k, o_custkey from orders where o_orderkey < 90000)
+select k as primary_key_value, 'o_custkey' as column_name, cast(o_custkey as varchar) as expected_value,
+       cast(o_custkey + 1 as varchar) as actual_value, 'VALUE_MISMATCH' as diff_type from o where o_orderkey % 11 = 0 and o_orderkey % 13 <> 0
+union all
+select k, '<ENTIRE_ROW>', '<PRESENT_IN_SOURCE>', '<MISSING_IN_TARGET>', 'MISSING_IN_TARGET' from o where o_orderkey % 13 = 0""")
+def reconcile_number_keys(spark, sf_dir):
+    """Keys from 1e-24 to ten million, as decimals on one side and doubles on the other."""
+    orders = table(spark, sf_dir, "orders").filter("o_orderkey < 90000")
+    orders = orders.withColumn("t", F.expr(_NUMBER_TEXT.format(text="string")))
+    expected = orders.select(F.col("t").cast("decimal(38,30)").alias("k"), "o_custkey")
+    actual = orders.filter("o_orderkey % 13 <> 0").select(
+        F.col("t").cast("double").alias("k"), (F.col("o_custkey") + (F.col("o_orderkey") % 11 == 0).cast("int")).alias("o_custkey")
+    )
+    return reconcile(expected, actual, "k").diff
+
+
 _MIXED_KEY = "case when o_orderkey % 2 = 0 then 9007199254740992 + o_orderkey else o_orderkey end"
 
 
@@ -562,7 +583,7 @@ def reconcile_verdict(spark, sf_dir):
 @query(f"select diff_type, count(distinct primary_key_value) as affected_rows from ({ORDERS_DIFF}) group by 1",
        name="diff_by_type")
 def report_by_type(spark, sf_dir):
-    return diff_by_type(_orders_result(spark, sf_dir).diff)
+    return diff_by_type(_orders_result(spark, sf_dir))
 
 
 @query(f"select column_name, count(*) as differences from ({ORDERS_DIFF}) group by 1",
