@@ -55,6 +55,11 @@ BROADCAST_KEY_BYTES = 32 * 1024 * 1024
 # and as pairs of 64-bit hashes they take a few MB.
 HOT_KEY_SHARE = 50_000
 
+# A table of so many columns gets a hash for each group of columns, of about so many, in so many groups at most.
+WIDE = 48
+GROUP_COLUMNS = 16
+MOST_GROUPS = 8
+
 # Slices of the key space whose fingerprints are compared before anything is moved.
 SLICES = 1024
 
@@ -114,15 +119,40 @@ class _Pair:
 
         The values to hash are projected first: the optimizer keeps them apart
         because every piece uses them, so each is made canonical once.
+
+        A wide row has one hash of the whole and one of each group of columns, so
+        that the census can say which groups changed.
         """
-        inputs = [part for c in self.columns for part in c.hash_inputs(quoted(c.name), left)]
-        names = [f"_v{i}" for i in range(len(inputs))]
+        inputs = [c.hash_inputs(quoted(c.name), left) for c in self.columns]
+        names = [[f"_v{i}_{j}" for j in range(len(parts))] for i, parts in enumerate(inputs)]
         values = self._side(left).selectExpr(
-            *self._key_columns(left), *[f"{v} as {n}" for v, n in zip(inputs, names)]
+            *self._key_columns(left),
+            *[f"{v} as {n}" for parts, own in zip(inputs, names, strict=True) for v, n in zip(parts, own, strict=True)],
         )
-        hashes = [f"xxhash64({seed}, {', '.join(names)}) as {piece}" for seed, piece in enumerate(self.pieces)]
+        whole = [n for own in names for n in own]
+        hashed = {f"_h{seed}": (seed, whole) for seed in ([0] if self.groups else self.seeds)}
+        hashed |= {f"_g{g}": (g + 1, [n for i in group for n in names[i]]) for g, group in enumerate(self.groups)}
+        hashes = [f"xxhash64({hashed[p][0]}, {', '.join(hashed[p][1])}) as {p}" for p in self.pieces]
         return values.selectExpr(*self.key_names, *_counters(left), *hashes)
 
+    @property
+    def groups(self) -> list[list[int]]:
+        """The columns, by number, of each group of a wide table; none of another."""
+        n = len(self.columns)
+        if n < WIDE:
+            return []
+        number = min(MOST_GROUPS, -(-n // GROUP_COLUMNS))
+        edges = [round(n * i / number) for i in range(number + 1)]
+        return [list(range(lo, hi)) for lo, hi in zip(edges, edges[1:], strict=False)]
+
+    def of_groups(self, mask: int | None) -> _Pair:
+        """The pair with the columns of the groups whose bits are set; with all if none is."""
+        if not self.groups or not mask:
+            return self
+        part = copy(self)
+        part.columns = [self.columns[i] for g, group in enumerate(self.groups) if mask >> g & 1 for i in group]
+        return part
+
     def slice_of(self, left: bool, number: int) -> str:
         """The slice of the key space that a row of a side is in, as SQL over its own columns."""
         keys = [k.key(quoted(k.name), left) for k in self._keys]
@@ -173,6 +203,8 @@ class _Pair:
     @property
     def pieces(self) -> list[str]:
         """The columns of the row hash; none if there is nothing to compare but keys."""
+        if self.groups:
+            return ["_h0", *(f"_g{g}" for g in range(len(self.groups)))]
         return [f"_h{seed}" for seed in self.seeds] if self.columns else []
 
     def key_hash(self) -> list[str]:
@@ -210,7 +242,9 @@ class _Pair:
             .when(changed, MISMATCH)
             .otherwise(MATCH)
         )
-        return counted.select(*self.key_names, "expected_rows", "actual_rows", status.alias("status"))
+        set_bits = [f"if(_g{g} <> 0, {1 << g}, 0)" for g in range(len(self.groups) if pieces else 0)]
+        mask = F.expr(" | ".join(set_bits) or "0").alias("groups")
+        return counted.select(*self.key_names, "expected_rows", "actual_rows", status.alias("status"), mask)
 
     def on(self, left: DataFrame, right: DataFrame) -> Column:
         return reduce(and_, [left[k].eqNullSafe(right[k]) for k in self.key_names])
@@ -357,6 +391,7 @@ def _run_census(pair: _Pair, hashed: bool, rows: tuple[int, int] | None = None):
             F.sum("actual_rows").alias("actual_rows"),
             F.count(F.lit(1)).alias("keys"),
             F.bool_or(nulls).alias("null_key"),
+            F.bit_or("groups").alias("groups"),
         )
     else:
         found = census.filter(F.col("status") != MATCH).select("*", F.lit(1).cast("long").alias("keys"), nulls.alias("null_key"))
@@ -372,6 +407,7 @@ def _run_census(pair: _Pair, hashed: bool, rows: tuple[int, int] | None = None):
             F.max("_k0").alias("high"),
             F.count_if(F.col("_k0").isNull()).alias("nulls"),
             F.bool_or("null_key").alias("null_key"),
+            F.bit_or("groups").alias("groups"),
         ).collect()
     }
     if rows is not None:
@@ -481,9 +517,10 @@ def _hash_diff(pair: _Pair, findings: DataFrame, counts: dict) -> DataFrame:
         return None
     diff = pair.marker_rows(findings.filter(F.col("status").isin(MISSING, EXTRA)))
     if counts["mismatched_rows"]:
-        left, right = _only_changed(pair, findings, counts)
-        both = _joined(pair, left, right, "inner").withColumn("status", F.lit(MISMATCH))
-        diff = diff.unionByName(pair.diff_rows(both))
+        part = pair.of_groups(counts["changed"].groups)
+        left, right = _only_changed(part, findings, counts)
+        both = _joined(part, left, right, "inner").withColumn("status", F.lit(MISMATCH))
+        diff = diff.unionByName(part.diff_rows(both))
     return written(diff, "diff").drop("entry")
 
 

@@ -475,6 +475,24 @@ def normalise_values(spark, sf_dir):
     return normalise(table(spark, sf_dir, "lineitem"), columns)
 
 
+_WIDE = [f"w{i:03d}" for i in range(300)]
+
+
+@query("""
+select cast(o_orderkey as varchar) as primary_key_value, 'w123' as column_name, cast(o_custkey + 123 as varchar) as expected_value,
+       cast(o_custkey + 124 as varchar) as actual_value, 'VALUE_MISMATCH' as diff_type from orders where o_orderkey % 50 = 0 and o_orderkey % 97 <> 0
+union all
+select cast(o_orderkey as varchar), '<ENTIRE_ROW>', '<PRESENT_IN_SOURCE>', '<MISSING_IN_TARGET>', 'MISSING_IN_TARGET'
+from orders where o_orderkey % 97 = 0""")
+def reconcile_wide(spark, sf_dir):
+    """300 columns of which one changed: the census names its group, and the detail scan reads only that."""
+    orders = table(spark, sf_dir, "orders")
+    wide = written(orders.select("o_orderkey", *[(F.col("o_custkey") + i).alias(c) for i, c in enumerate(_WIDE)]), "wide")
+    changed = (F.col("o_orderkey") % 50 == 0).cast("int")
+    loaded = written(wide.filter("o_orderkey % 97 <> 0").withColumn("w123", F.col("w123") + changed), "wide_loaded")
+    return reconcile(wide, loaded, "o_orderkey").diff
+
+
 # --- columns, filters, snapshots, verdict -----------------------------------------------------
 
 def _event_side(loaded: bool) -> str:
