@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from evenkeel.llm.common import bitmap_of, column, each_utf8, fresh, whole_text
+from evenkeel.llm.common import WordHash, bitmap_of, column, each_utf8, fresh, mixed, whole_text
 from evenkeel.sources.workspace import written
 
 UNKNOWN = "und"
@@ -51,37 +51,6 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-def _mixed(x: np.ndarray) -> np.ndarray:
-    """The hashes with all bits stirred."""
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
-
-
-class WordHash:
-    """64-bit hashes of stretches of bytes, by prefix sums of a polynomial with an odd base."""
-
-    def __init__(self, base: int):
-        self.base, self.powers, self.inverse = base, np.ones(1, np.uint64), np.ones(1, np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) <= n:
-            self.powers = self._all_powers(self.base, n + 1)
-            self.inverse = self._all_powers(pow(self.base, -1, 1 << 64), n + 1)
-
-    @staticmethod
-    def _all_powers(base: int, n: int) -> np.ndarray:
-        return np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(n, base, np.uint64))])
-
-    def __call__(self, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        self._grow(len(text))
-        terms = text.astype(np.uint64)
-        terms += np.uint64(1)
-        terms *= self.powers[: len(text)]
-        sums = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
-        return _mixed((sums[end] - sums[start]) * self.inverse[start])
-
-
 _HASHES = (WordHash(0x9E3779B97F4A7C15), WordHash(0xC2B2AE3D27D4EB4F))
 
 
@@ -161,10 +130,10 @@ class Grams:
 
     def _grams(self, word_hash: WordHash, seeds: np.ndarray) -> list[np.ndarray]:
         words = word_hash(self.text, self.start, self.end)
-        found, so_far = [], _mixed(words ^ seeds[self.lang])
+        found, so_far = [], mixed(words ^ seeds[self.lang])
         for n, first in enumerate(self.first):
             if n:
-                so_far = _mixed(so_far[: len(words) - n] * np.uint64(0x9FB21C651E98DF25) + words[n:])
+                so_far = mixed(so_far[: len(words) - n] * np.uint64(0x9FB21C651E98DF25) + words[n:])
             found.append(so_far[first])
         return found
 

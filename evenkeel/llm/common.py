@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterable, Iterator
 
@@ -120,6 +121,67 @@ def united(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             labels = labels[labels]
 
 
+# Hashes of many words at once ----------------------------------------------------------------------------------------
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """The hashes with all bits stirred."""
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+class WordHash:
+    """64-bit hashes of stretches of bytes, by prefix sums of a polynomial with an odd base."""
+
+    def __init__(self, base: int):
+        self.base, self.powers, self.inverse = base, np.ones(1, np.uint64), np.ones(1, np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if len(self.powers) <= n:
+            self.powers = self._all_powers(self.base, n + 1)
+            self.inverse = self._all_powers(pow(self.base, -1, 1 << 64), n + 1)
+
+    @staticmethod
+    def _all_powers(base: int, n: int) -> np.ndarray:
+        return np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(n, base, np.uint64))])
+
+    def __call__(self, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        self._grow(len(text))
+        terms = text.astype(np.uint64)
+        terms += np.uint64(1)
+        terms *= self.powers[: len(text)]
+        sums = np.concatenate([[np.uint64(0)], np.cumsum(terms, dtype=np.uint64)])
+        return mixed((sums[end] - sums[start]) * self.inverse[start])
+
+
+# Memory of workers ----------------------------------------------------------------------------------------------------
+
+
+def tidy(task):
+    """``task`` (batches in, batches out) that gives memory back to the system when it ends, since workers live on."""
+
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            if _TRIM is not None:
+                _TRIM(0)
+
+    return run
+
+
+def _trim():
+    try:
+        return ctypes.CDLL("libc.so.6").malloc_trim
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+_TRIM = _trim()
+
+
 # Pigeonhole keys ------------------------------------------------------------------------------------------------------
 
 

@@ -11,6 +11,7 @@ rest to windows whose sizes are powers of two, which need no padding.
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
@@ -20,25 +21,45 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from evenkeel.llm.common import column, utf8, whole_text
+from evenkeel.llm.common import WordHash, column, mixed, tidy, utf8, whole_text
 
 WINDOW = 4096
 END = 2
 #: Windows that a task keeps open; beyond it the open ones are cut and joined.
 MOST_OPEN = 4096
-#: Words a worker remembers the ids of.
-REMEMBERED = 1_000_000
+#: Stretches of text a worker remembers the ids of, at 50 bytes each, about.
+REMEMBERED = 250_000
+#: Bytes of text that are looked at together.
+WINDOW_BYTES = 1 << 20
+_SPACES = re.compile(rb"[\t-\r ]")
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 )
 
 
+# What the tokenizer's pattern tells apart in ASCII, after it has lower-cased: runs of letters, single digits, runs of
+# anything else.  An apostrophe can begin a contraction, a bar is in the names of special tokens, and other bytes are
+# parts of letters or marks: words with them are looked at whole.
+_SPACE, _LETTER, _DIGIT, _MARK, _WHOLE = range(5)
+_KIND = np.full(256, _MARK, np.uint8)
+_KIND[[0x09, 0x0A, 0x0B, 0x0C, 0x0D, 0x20]] = _SPACE
+_KIND[[*range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1)]] = _LETTER
+_KIND[ord("0") : ord("9") + 1] = _DIGIT
+_KIND[[ord("'"), ord("|")]] = _WHOLE
+_KIND[128:] = _WHOLE
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A") : ord("Z") + 1] += 32
+_HASHES = (WordHash(0x9E3779B97F4A7C15), WordHash(0xC2B2AE3D27D4EB4F))
+
+
 class WordEncoder:
-    """Ids of texts by a tokenizer that drops white space, encoding each word only once.
+    """Ids of texts by a tokenizer that drops white space, lower-cases, and cuts as ``word_bpe`` does.
 
-    The tokenizer must give no id to white space and cut at it, as ``word_bpe``
-    does: then a text's ids are those of its words, one after the other.
+    All stretches of a window of text that the tokenizer takes by themselves are
+    found and hashed together; each distinct one that is not known is encoded
+    once, many in one call.  Known ones are remembered in arrays of fixed size,
+    by 128 bits of hash.
     """
 
     def __init__(self, path: str):
@@ -49,42 +70,121 @@ class WordEncoder:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[bytes, int] = {}
-        self.ids = np.zeros(1 << 16, np.uint32)
-        self.begin = np.zeros(1, np.int64)
-        self.end = 0
-
-    def learn(self, words: list[bytes]) -> None:
-        encoded = self.tokenizer.encode_batch_fast([w.decode("utf-8", "replace") for w in words], add_special_tokens=False)
-        ids = [e.ids for e in encoded]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for one in ids for i in one), np.uint32, int(sizes.sum()))
-        if self.end + len(flat) > len(self.ids):
-            self.ids = np.concatenate([self.ids[: self.end], np.zeros(self.end + 2 * len(flat), np.uint32)])
-        self.ids[self.end : self.end + len(flat)] = flat
-        self.begin = np.concatenate([self.begin, self.end + np.cumsum(sizes)])
-        self.end += len(flat)
-        self.words.update(zip(words, range(len(self.words), len(self.words) + len(words)), strict=True))
+        self.one, self.other = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.begin, self.size, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        """``bytes.split`` cuts at white space of ASCII only; any other is in the words and left to the tokenizer."""
-        split = [t.split() for t in texts]
-        new = {w for words in split for w in words if w not in self.words}
-        if len(self.words) + len(new) > REMEMBERED:
+        found: list[list[np.ndarray]] = [[] for _ in texts]
+        for parts, of in _windows(texts):
+            for doc, ids in zip(of, self._window(parts), strict=True):
+                found[doc].append(ids)
+        return [ids[0] if len(ids) == 1 else np.concatenate(ids) if ids else np.zeros(0, np.uint32) for ids in found]
+
+    def _window(self, parts: list[bytes]) -> list[np.ndarray]:
+        raw = np.frombuffer(b"\n".join([*parts, b""]), np.uint8)
+        kind = _KIND[raw]
+        inner = np.concatenate([[False], kind != _SPACE, [False]])
+        edges = np.flatnonzero(inner[1:] != inner[:-1])
+        word, word_end = edges[::2], edges[1::2]
+        special = np.concatenate([[0], np.cumsum(kind == _WHOLE)])
+        whole = special[word_end] > special[word]
+        inside = np.zeros(len(raw) + 1, np.int8)
+        inside[word[whole]] += 1
+        inside[word_end[whole]] -= 1
+        inside = np.cumsum(inside[:-1], dtype=np.int8).astype(bool)
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[1:-1] = (kind[1:] != kind[:-1]) | (kind[1:] == _DIGIT)
+        begins[:-1] &= ~inside & (kind != _SPACE)
+        begins[word] = True
+        start = np.flatnonzero(begins)
+        end = np.flatnonzero(inner[1:-1] & (begins[1:] | ~inner[2:])) + 1
+        text = np.where(inside, raw, _LOWER[raw])
+        rows = self._rows(text, start, end)
+        size = self.size[rows]
+        at = np.cumsum(size)
+        ids = self.ids[np.arange(at[-1] if len(at) else 0) + np.repeat(self.begin[rows] - at + size, size)]
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts)) + 1
+        tokens = np.searchsorted(start, np.cumsum(lengths))
+        cuts = np.concatenate([[0], at])[tokens]
+        self._trim()
+        return np.split(ids, cuts[:-1]) if len(cuts) else []
+
+    def _rows(self, text: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The row of each stretch among the known ones, which then have all of them."""
+        one, other = (h(text, start, end) for h in _HASHES)
+        distinct, first, of = np.unique(one, return_index=True, return_inverse=True)
+        if (other != other[first][of]).any():  # two stretches share a hash: both hashes in one
+            one = mixed(one ^ mixed(other))
+            distinct, first, of = np.unique(one, return_index=True, return_inverse=True)
+        second = other[first]
+        at = np.searchsorted(self.one, distinct)
+        at[at == len(self.one)] = 0
+        known = (self.one[at] == distinct) & (self.other[at] == second) if len(self.one) else np.zeros(len(distinct), bool)
+        if len(self.one) and ((self.one[at] == distinct) & ~known).any():  # one that is known shares a hash with a new one
             self.forget()
-            new = {w for words in split for w in words}
-        new = list(new)
-        for i in range(0, len(new), 5000):
-            self.learn(new[i : i + 5000])
-        known = self.words
-        return [self._gather(np.fromiter(map(known.__getitem__, w), np.int64, len(w))) for w in split]
-
-    def _gather(self, words: np.ndarray) -> np.ndarray:
-        begin, size = self.begin[words], self.begin[words + 1] - self.begin[words]
-        total = np.cumsum(size)
-        if not len(total):
-            return np.zeros(0, np.uint32)
-        return self.ids[np.arange(total[-1]) + np.repeat(begin - total + size, size)]
+            known[:] = False
+        new = np.flatnonzero(~known)
+        if len(new):
+            content = text.tobytes()
+            self._learn([content[s:e] for s, e in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)], distinct[new], second[new])
+            at = np.searchsorted(self.one, distinct)
+        self.used[at] += 1
+        return at[of]
+
+    def _learn(self, stretches: list[bytes], one: np.ndarray, other: np.ndarray) -> None:
+        ids, sizes = [], []
+        for i in range(0, len(stretches), 500):
+            some = [s.decode("utf-8", "replace") for s in stretches[i : i + 500]]
+            encoded = self.tokenizer.encode(" ".join(some), add_special_tokens=False)
+            begin = np.cumsum([0, *(len(s) + 1 for s in some)])
+            place = np.array([o[0] for o in encoded.offsets], np.int64)
+            ids.append(np.array(encoded.ids, np.uint32))
+            sizes.append(np.bincount(np.searchsorted(begin, place, side="right") - 1, minlength=len(some)))
+        size = np.concatenate(sizes)
+        begin = len(self.ids) + np.cumsum(size) - size
+        self.ids = np.concatenate([self.ids, *ids])
+        order = np.argsort(all_one := np.concatenate([self.one, one]), kind="stable")
+        self.one = all_one[order]
+        self.other, self.begin, self.size, self.used = (
+            np.concatenate(pair)[order] for pair in
+            ((self.other, other), (self.begin, begin), (self.size, size), (self.used, np.zeros(len(one), np.int64)))
+        )
+
+    def _trim(self) -> None:
+        """Beyond what may be remembered, only the half that was met most often stays; long stretches never do."""
+        if len(self.one) <= REMEMBERED and len(self.ids) <= 8 * REMEMBERED:
+            return
+        short = self.size <= 64
+        kept = np.sort(np.argsort(np.where(short, -self.used, 1), kind="stable")[: min(REMEMBERED // 2, int(short.sum()))])
+        size, begin = self.size[kept], self.begin[kept]
+        at = np.cumsum(size)
+        self.ids = self.ids[np.arange(at[-1] if len(at) else 0) + np.repeat(begin - at + size, size)]
+        self.one, self.other, self.used = self.one[kept], self.other[kept], self.used[kept] // 2
+        self.begin, self.size = at - size, size
+
+
+def _windows(texts: list[bytes], most: int = WINDOW_BYTES) -> Iterator[tuple[list[bytes], list[int]]]:
+    """Texts, and long ones in parts cut at white space, put together; and whose they are."""
+    parts: list[bytes] = []
+    of: list[int] = []
+    size = 0
+    for doc, text in enumerate(texts):
+        begin = 0
+        while begin < len(text):
+            end = len(text)
+            if end - begin > most:
+                space = _SPACES.search(text, begin + most)
+                end = space.end() if space else end
+            parts.append(text[begin:end] if begin or end < len(text) else text)
+            of.append(doc)
+            size += end - begin
+            begin = end
+            if size >= most:
+                yield parts, of
+                parts, of, size = [], [], 0
+    if parts:
+        yield parts, of
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -248,4 +348,4 @@ def pack(
     other columns are ignored.
     """
     rows = docs.select(column(id_col).cast("long").alias("doc_id"), whole_text(text_col).alias("text"))
-    return rows.mapInArrow(_pack(tokenizer, end, window), PIECES)
+    return rows.mapInArrow(tidy(_pack(tokenizer, end, window)), PIECES)

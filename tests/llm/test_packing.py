@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
+from evenkeel.llm import packing
 from evenkeel.llm.common import reachable_by_workers
 from evenkeel.llm.packing import Levels, Packer, WordEncoder, pack
 from evenkeel.llm.queries import WORD_TOKENIZER
@@ -117,3 +118,31 @@ def test_odd_rows(spark, tokenizer):
     again = spark.createDataFrame([(None, "a b"), (None, "a b"), (5, "a b"), (5, "a b")], "doc_id long, text string")
     assert sum(r.length for r in pack(again, WORD_TOKENIZER).collect()) == 12
     assert pack(docs.limit(0), WORD_TOKENIZER).collect() == []
+
+
+def test_all_kinds_of_text_have_the_tokenizer_s_ids(tokenizer, monkeypatch):
+    """Case, contractions, marks, digits, accents composed or not, other white space, NUL; in small windows too."""
+    rng = random.Random(6)
+    pieces = ["Don't", "it's", "'s", "''s", "we'LL've", "A1b22C", "--!?", "caf\u00e9", "cafe\u0301", "STRASSE\u00df", "\u0130x", "中文字", "a\u00a0b", "\u0085", "x\x00y", "\x1c", "\U0001f600", "e.g.",
+              "ab12'tis", "\u0301", "\ufb01n", "'", "l'\u00e9t\u00e9", "0x1F", "\u2019s", "\u0661\u0662", "xkq9zpt/Q+"]
+    texts = ["".join(rng.choice(pieces) + rng.choice([" ", "", "\n", "\t ", "\r\n", "\x0b", "  "]) for _ in range(rng.randint(0, 40))) for _ in range(400)]
+    expected = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder = WordEncoder(WORD_TOKENIZER)
+    for most, remembered in ((1 << 20, 250_000), (50, 250_000), (1 << 20, 40)):
+        monkeypatch.setattr("evenkeel.llm.packing.REMEMBERED", remembered)
+        windows = packing._windows
+        monkeypatch.setattr("evenkeel.llm.packing._windows", lambda t, m=most: windows(t, m))
+        assert [i.tolist() for i in encoder.encode([t.encode() for t in texts])] == expected
+        monkeypatch.setattr("evenkeel.llm.packing._windows", windows)
+        assert len(encoder.one) <= max(remembered, 1)
+
+
+def test_stretches_that_share_a_hash_are_told_apart(tokenizer, monkeypatch):
+    class Poor(packing.WordHash):
+        def __call__(self, text, start, end):
+            return (end - start).astype(np.uint64)
+
+    monkeypatch.setattr("evenkeel.llm.packing._HASHES", (Poor(3), packing.WordHash(0xC2B2AE3D27D4EB4F)))
+    encoder = WordEncoder(WORD_TOKENIZER)
+    for text in ("the cat sat on the mat", "new words and the old", "", "cat"):
+        assert encoder.encode([text.encode()])[0].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
