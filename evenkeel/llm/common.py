@@ -165,21 +165,17 @@ def tidy(task):
         try:
             yield from task(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            if _TRIM is not None:
-                _TRIM(0)
+            give_back()
 
     return run
 
 
-def _trim():
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
     try:
-        return ctypes.CDLL("libc.so.6").malloc_trim
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
     except (OSError, AttributeError):  # another C library
-        return None
-
-
-_TRIM = _trim()
+        pass
 
 
 # Pigeonhole keys ------------------------------------------------------------------------------------------------------
