@@ -5,7 +5,8 @@ run in the license templates.  A match votes for the diagonal (place in the
 text less place in the template) it lies on.  Votes are counted for each
 diagonal, neighbouring diagonals are merged, as a word put in or left out
 moves the rest of a notice to the next one, and a merged span counts if enough
-of the template's runs are in it.  All of it is DataFrame operations.
+of the template's words stand in its matching runs.  Where spans of several
+notices lie on each other, the best one counts.  All of it is DataFrame operations.
 """
 
 from __future__ import annotations
@@ -61,12 +62,13 @@ NOTICES = {
     ),
 }
 
-#: Words in a run of a notice and, as the shortest phrase has two, of a phrase.
-NOTICE_RUN, PHRASE_RUN = 5, 2
+#: Words in a run of a notice of so many words; of others and, as the shortest has two, of a phrase.
+NOTICE_RUN, LONG, PHRASE_RUN = 3, 20, 2
 #: Diagonals this close are merged.
 DRIFT = 4
-#: Share of a notice's runs that a span must hold.
-SHARE = 0.8
+#: Share of a notice's words that a span must hold; and of one with fewer words than that, in which a single word may
+#: name another license.
+SHARE, SHORT, SHARE_OF_SHORT = 0.8, 9, 0.9
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -91,6 +93,7 @@ def template_runs(phrases: Mapping[str, str], notices: Mapping[str, Sequence[str
     rows = []
     for number, (text, label, exact, size) in enumerate(templates):
         words = [w for w in re.split(SEPARATORS, text.translate(str.maketrans(_UPPER, _LOWER))) if w]
+        size = size if len(words) >= LONG else PHRASE_RUN
         if len(words) < size:
             raise ValueError(f"a template of {size} words or more is needed: {text!r}")
         runs = [words[i : i + size] for i in range(len(words) - size + 1)]
@@ -118,13 +121,15 @@ def _matching_runs(words: Column, size: int, hashes: list[int]) -> Column:
 def license_spans(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
     phrases: Mapping[str, str] = PHRASES, notices: Mapping[str, Sequence[str]] = NOTICES,
-    drift: int = DRIFT, share: float = SHARE,
+    drift: int = DRIFT, share: float = SHARE, share_of_short: float = SHARE_OF_SHORT,
 ) -> DataFrame:
     """(row, doc_id, n_words, label, exact, first_word, n_span, score) for every span found.
 
     A span begins at word ``first_word`` (from 0) and has ``n_span`` words.  A
-    phrase (``exact``) must stand word by word, with score 1; a notice must have
-    ``share`` of its runs, and its score is that share, less for a longer span.
+    phrase (``exact``) must stand word by word, with score 1; of a notice ``share``
+    of the words must stand in matching runs (``share_of_short`` of one under
+    ``SHORT`` words), and its score is that share, less for a longer span.  Of
+    notices whose spans overlap, those with the best score count.
     A row of ``docs`` without a span gives one row with nulls from ``label`` on.
     ``row`` tells rows with the same id apart.
     """
@@ -161,21 +166,30 @@ def license_spans(
         .withColumn("span", F.sum("apart").over(order))
         .groupBy(*per_text, "span")
         .agg(
-            F.size(F.array_distinct(F.flatten(F.collect_list("at")))).alias("held"),
+            F.array_distinct(F.flatten(F.collect_list("at"))).alias("held"),
             F.min("first").alias("first_word"), F.max("last").alias("last"),
         )
     )
-    n_span = F.col("last") - F.col("first_word") + F.col("size")
-    score = F.col("held") / F.greatest("n_runs", n_span - F.col("size") + 1)
-    verified = F.when(F.col("exact"), F.col("held") == F.col("n_runs")).otherwise(score >= share)
-    spans = merged.select(
+    n_span, n_template = F.col("last") - F.col("first_word") + F.col("size"), F.col("n_runs") + F.col("size") - 1
+    # The template's words that matching runs cover.
+    covered = F.size(F.array_distinct(F.flatten(F.transform("held", lambda at: F.sequence(at, at + F.col("size") - 1)))))
+    score = covered / F.greatest(n_template, n_span)
+    needed = F.when(n_template < SHORT, share_of_short).otherwise(share)
+    verified = F.when(F.col("exact"), F.size("held") == F.col("n_runs")).otherwise(score >= needed)
+    scored = merged.select(
         "row", "doc_id", "n_words", n_span.alias("n_span"), score.alias("score"), "first_word", "label", "exact",
         F.coalesce(verified, F.lit(False)).alias("verified"),
     )
+    # Notices on the same words: a crowd of spans ends where a span begins after all before it have ended.
+    end = F.when(F.col("verified") & ~F.col("exact"), F.col("first_word") + F.col("n_span"))
+    in_text = Window.partitionBy("row", F.isnull(end)).orderBy("first_word", "n_span", "label")
+    so_far = F.max(end).over(in_text.rowsBetween(Window.unboundedPreceding, -1))
+    crowd = F.sum(F.when(F.col("first_word") < so_far, 0).otherwise(1)).over(in_text)
+    best = F.max("score").over(Window.partitionBy("row", F.isnull(end), "crowd"))
+    spans = scored.withColumn("crowd", crowd).withColumn("best", best)
+    counts = F.col("verified") & (F.col("exact") | (F.col("score") == F.col("best")))
     of_span = ("label", "exact", "first_word", "n_span", "score")
-    return spans.select(
-        "row", "doc_id", "n_words", *(F.when(F.col("verified"), F.col(c)).alias(c) for c in of_span)
-    )
+    return spans.select("row", "doc_id", "n_words", *(F.when(counts, F.col(c)).alias(c) for c in of_span))
 
 
 def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

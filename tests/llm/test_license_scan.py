@@ -1,3 +1,4 @@
+import random
 import re
 
 import pytest
@@ -70,6 +71,40 @@ def test_notices_are_found_whole_and_with_changes(spark, label):
         assert label not in got[i].labels.split(",")
 
 
+def edited(w, rng, n):
+    """Words put in, taken out or replaced, not at the ends."""
+    w = list(w)
+    for _ in range(n):
+        at = rng.randrange(1, len(w) - 1)
+        w[at : at + 1] = rng.choice([["really", w[at]], [], ["really"]])
+    return " ".join(w)
+
+
+@pytest.mark.parametrize("label", sorted(NOTICES))
+def test_edited_notices_are_found(spark, label):
+    """One changed word in every notice of nine words or more, two in those of twenty; shorter ones must stand as they are."""
+    rng = random.Random(label)
+    texts, found = [], []
+    for notice in NOTICES[label]:
+        w = words(notice)
+        for n, least in ((1, 9), (2, 20)):
+            if len(w) >= least:
+                texts += [f"Some text before. {edited(w, rng, n)} And after." for _ in range(12)]
+                found += [n] * 12
+    got = {r.doc_id: r.labels.split(",") for r in license_scan(frame(spark, texts or ["x"])).collect()}
+    assert all(label in got[i] for i in range(len(texts)) if found[i] == 2)
+    ones = [label in got[i] for i in range(len(texts)) if found[i] == 1]
+    assert sum(ones) >= 0.75 * len(ones)
+
+
+def test_the_better_of_two_notices_counts(spark):
+    texts = ["licensed under the GNU General Public License, version 3", "licensed under the GNU General Public License, version 2", "Licensed under CC BY-NC 4.0",
+             "Licensed under the Mozilla License, Version 2.0", "Licensed under CC BY 4.0. Released under the MIT License",
+             "This is free software and you can use the software under the terms of any license as published by the other party"]
+    got = {r.doc_id: set(filter(None, r.labels.split(","))) for r in license_scan(frame(spark, texts)).collect()}
+    assert got == {0: {"gpl", "gpl-3.0"}, 1: {"gpl", "gpl-2.0"}, 2: {"cc-by", "cc-by-nc-4.0"}, 3: set(), 4: {"cc-by", "cc-by-4.0", "mit"}, 5: set()}
+
+
 def test_spans(spark):
     notice = NOTICES["bsd"][0]
     n = len(words(notice))
