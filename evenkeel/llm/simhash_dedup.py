@@ -24,13 +24,15 @@ from pyspark.sql import functions as F
 
 from evenkeel.llm.common import (
     block_keys, block_masks, column, connected_components, each_utf8, fresh, groups, starts, united, whole_text,
-    bitmap_of, with_membership,
+    bitmap_of, tidy, with_membership,
 )
 from evenkeel.sources.workspace import written
 
 SEED = 42
 #: Fingerprints with at most so many differing bits are linked.
 DIFFERING = 2
+#: For texts that are alike: words in a shingle, bits, blocks of the fingerprint, and the least Jaccard similarity.
+SIZE_ALIKE, DIFFERING_ALIKE, BLOCKS_ALIKE, ALIKE = 5, 11, 13, 0.8
 #: Children of a node of the index.
 FAN = 16
 
@@ -56,14 +58,14 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def _fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    for batch in texts:
-        yield pa.array([simhash(shingle_hashes(t)) for t in each_utf8(batch)], pa.int64())
+def fingerprint(text: Column, size: int = 3) -> Column:
+    """The fingerprint of a text column over runs of ``size`` words, as a long."""
 
+    def fingerprints(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in texts:
+            yield pa.array([simhash(shingle_hashes(t, size)) for t in each_utf8(batch)], pa.int64())
 
-def fingerprint(text: Column) -> Column:
-    """The fingerprint of a text column, as a long."""
-    return F.arrow_udf(_fingerprints, "long")(text)
+    return F.arrow_udf(fingerprints, "long")(text)
 
 
 class GrayIndex:
@@ -140,9 +142,12 @@ def gray_rank(fingerprint: Column) -> Column:
     return rank.bitwiseXOR(F.lit(-(1 << 63)))  # Spark's longs are signed
 
 
-def components(nodes: DataFrame, differing: int = DIFFERING) -> DataFrame:
-    """(node, component) of the fingerprints in column ``fp`` (distinct) that have a link to another one."""
-    masks = block_masks(differing, 2 * differing)
+def components(nodes: DataFrame, differing: int = DIFFERING, blocks: int | None = None) -> DataFrame:
+    """(node, component) of the fingerprints in column ``fp`` (distinct) that have a link to another one.
+
+    The more ``blocks`` there are, the more shards a fingerprint is in, and the fewer others each of them has.
+    """
+    masks = block_masks(differing, blocks or 2 * differing)
     keyed = nodes.select(F.explode(block_keys(F.col("fp"), masks)).alias("key"), "fp")
     shards = keyed.repartition("key").sortWithinPartitions("key", gray_rank(F.col("fp")))
     return connected_components(shards.mapInArrow(_shards(differing), "u long, v long"), "u", "v")
@@ -180,13 +185,93 @@ def simhash_dedup(
     )
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with one row of each component of ``simhash_dedup``: one with the smallest id.
+def _alike(differing: int, least: float, size: int):
+    """(u, v) links that hold together the texts of a key whose sets of shingles are alike, from (key, text_hash, fp, text)."""
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in groups(batches):
+            key, name = table["key"].to_numpy(), table["text_hash"].to_numpy()
+            prints = table["fp"].to_numpy().view(np.uint64)
+            sets = [np.unique(shingle_hashes(t, size)) for t in each_utf8(table["text"].combine_chunks())]
+            sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+            u, v = [], []
+            begin = starts(key)
+            for at, n in zip(begin.tolist(), np.diff(np.append(begin, len(key))).tolist(), strict=True):
+                labels, crowd, outside = np.arange(n), -1, np.arange(n)
+                own, many = prints[at : at + n], sizes[at : at + n]
+                for i in range(n - 1):
+                    # what hangs together already need not be compared; the largest such set meets the others only
+                    others = outside[outside > i] if labels[i] == crowd else np.arange(i + 1, n)
+                    near = (labels[others] != labels[i]) & (np.bitwise_count(own[others] ^ own[i]) <= differing)
+                    near &= np.minimum(many[others], many[i]) >= least * np.maximum(many[others], many[i])
+                    before = len(u)
+                    for j in others[near].tolist():
+                        if labels[i] != labels[j] and alike(sets[at + i], sets[at + j], least):
+                            labels[labels == labels[j]] = labels[i]
+                            u.append(name[at + i])
+                            v.append(name[at + j])
+                    if len(u) > before and n > 64:
+                        crowd = int(np.bincount(labels).argmax())
+                        outside = np.flatnonzero(labels != crowd)
+            if u:
+                yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+
+    return found
+
+
+def alike(a: np.ndarray, b: np.ndarray, least: float) -> bool:
+    """Whether two sets, as sorted arrays, have a Jaccard similarity of ``least`` or more; empty ones are equal."""
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return both >= least * (len(a) + len(b) - both)
+
+
+def alike_texts(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *,
+    size: int = SIZE_ALIKE, differing: int = DIFFERING_ALIKE, blocks: int = BLOCKS_ALIKE, similarity: float = ALIKE,
+) -> DataFrame:
+    """(doc_id, component_id, component, text_hash), one row for each row of ``docs``.
+
+    Texts are linked if their fingerprints over runs of ``size`` words differ in
+    at most ``differing`` bits and the Jaccard similarity of their sets of such
+    runs is ``similarity`` or more; ``component`` is the same for all that a chain
+    of links joins, and ``component_id`` the smallest id in it.
+
+    Null and empty texts, and texts of white space, are alike.  Null ids are
+    passed over for ``component_id``.  Equal texts are one from the start, and
+    only texts with a near fingerprint are moved.
+    """
+    rows = docs.select(column(id_col).alias("doc_id"), whole_text(text_col).alias("text"))
+    rows = rows.withColumn("text_hash", F.xxhash64("text"))
+    prints = written(rows.select("doc_id", fingerprint(F.col("text"), size).alias("fp"), "text_hash"), "prints")
+    texts = written(prints.groupBy("text_hash").agg(F.first("fp").alias("fp")), "text_prints")
+    nodes = texts.select("fp").distinct()
+    near = components(nodes, differing, blocks).select(F.col("node").alias("fp"), F.col("component").alias("key"))
+    # Different texts with one fingerprint are near as well.
+    near = texts.join(near, "fp", "left").select("text_hash", "fp", F.coalesce("key", "fp").alias("key"))
+    several = near.groupBy("key").agg(F.count("*").alias("texts")).filter("texts > 1")
+    near = written(near.join(several, "key", "left_semi"), "near_texts")
+    bitmap = bitmap_of(near.select(F.xxhash64("text_hash").alias("k")), "k")
+    wanted = with_membership(rows.select("text_hash", "text"), F.xxhash64("text_hash"), bitmap, "wanted").filter("wanted")
+    content = wanted.groupBy("text_hash").agg(F.first("text").alias("text"))
+    links = (
+        near.join(content, "text_hash").select("key", "text_hash", "fp", "text")
+        .repartition("key").sortWithinPartitions("key", "text_hash")
+        .mapInArrow(tidy(_alike(differing, similarity, size)), "u long, v long")
+    )
+    linked = connected_components(links, "u", "v").select(F.col("node").alias("text_hash"), "component")
+    of_text = texts.select("text_hash").join(linked, "text_hash", "left").select("text_hash", F.coalesce("component", "text_hash").alias("component"))
+    named = written(prints.select("doc_id", "text_hash").join(of_text, "text_hash"), "alike_texts")
+    least = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))
+    return named.join(least, "component").select("doc_id", "component_id", "component", "text_hash")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *, found: DataFrame | None = None) -> DataFrame:
+    """``docs`` with one row of each component of ``simhash_dedup``, or of ``found``: one with the smallest id.
 
     Of rows that share that id, one stays.  Only documents that may have to go
     are moved between machines; the rest are read and passed on.
     """
-    found = written(simhash_dedup(docs, id_col, text_col), "near_copies")
+    found = written(simhash_dedup(docs, id_col, text_col) if found is None else found, "near_copies")
     grouped = found.groupBy("component").agg(F.count("*").alias("rows")).filter("rows > 1")
     doubtful = written(found.join(grouped, "component", "left_semi"), "doubtful")
 

@@ -7,7 +7,9 @@ import xxhash
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import reachable_by_workers
-from evenkeel.llm.simhash_dedup import GrayIndex, components, gray_rank, local_labels, one_of_each, simhash_dedup
+from evenkeel.llm.simhash_dedup import (
+    GrayIndex, alike_texts, components, gray_rank, local_labels, one_of_each, shingle_hashes, simhash, simhash_dedup,
+)
 from tests_llm_helpers import brute_components
 
 
@@ -134,3 +136,66 @@ def test_one_of_each(spark, sf_dir):
     odd = spark.createDataFrame([(None, "a b c"), (None, "a b c"), (None, "d e f"), (1, "D E F"), (2, None), (3, "")], "doc_id long, text string")
     assert sorted((r.doc_id for r in one_of_each(odd).collect()), key=repr) == sorted([None, 1, 2], key=repr)
     assert one_of_each(docs.limit(0)).collect() == []
+
+
+# --- texts that are alike ------------------------------------------------------------------------
+
+
+def five_words(text):
+    w = (text or "").encode().lower().split()
+    return {b" ".join(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+
+def jaccard(a, b):
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def alike_components(rows, differing=11, least=0.8):
+    """Each id's smallest one over links by fingerprint and Jaccard similarity; without ``differing`` by the latter alone."""
+    sets = [five_words(t) for _, t in rows]
+    prints = [simhash(shingle_hashes((t or "").encode(), 5)) & (1 << 64) - 1 for _, t in rows]
+    edges = [(i, i) for i in range(len(rows))]
+    for i in range(len(rows)):
+        for j in range(i):
+            if differing is None or (prints[i] ^ prints[j]).bit_count() <= differing:
+                if min(len(sets[i]), len(sets[j])) >= least * max(len(sets[i]), len(sets[j])) and jaccard(sets[i], sets[j]) >= least:
+                    edges.append((j, i))
+    of = brute_components(edges)
+    low = {}
+    for i, (doc, _) in enumerate(rows):
+        low[of[i]] = min((x for x in (low.get(of[i]), doc) if x is not None), default=None)
+    return {rows[i][0]: low[of[i]] for i in range(len(rows))}
+
+
+def found_components(spark, rows):
+    reachable_by_workers(spark)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as fp", "2 as key")
+    return {r.doc_id: r.component_id for r in alike_texts(docs).collect()}
+
+
+def edited_texts(rng, n):
+    vocabulary = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(2, 8))) for _ in range(3000)]
+    rows = []
+    for i in range(0, n, 2):
+        w = rng.choices(vocabulary, k=rng.choice([40, 120, 300, 900]))
+        rows.append((i, " ".join(w)))
+        for _ in range(rng.randint(1, max(1, len(w) // 60))):
+            at = rng.randrange(len(w))
+            w[at : at + 1] = rng.choices(vocabulary, k=rng.choice([0, 1, 1, 2]))
+        rows.append((i + 1, " ".join(w).title()))
+    return rows
+
+
+def test_alike_texts_against_all_pairs(spark):
+    rows = edited_texts(random.Random(1), 200) + [(1000 + i, "the same long text with one word of it put in place of " * 9 + f"another {i % 7}") for i in range(90)]
+    rows += [(2000, None), (2001, ""), (2002, " \n"), (2003, "few words"), (2004, "Few  Words"), (None, rows[0][1])]
+    assert found_components(spark, rows) == alike_components(rows)
+    assert found_components(spark, []) == {}
+
+
+def test_nine_of_ten_alike_texts_are_found(spark):
+    """Against Jaccard similarity alone."""
+    rows = edited_texts(random.Random(2), 600)
+    wanted = {i for i, c in alike_components(rows, None).items() if i != c}
+    found = {i for i, c in found_components(spark, rows).items() if i != c}
+    assert len(wanted) > 150 and found <= wanted and len(found) >= 0.9 * len(wanted), (len(found), len(wanted))
