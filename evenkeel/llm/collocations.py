@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from evenkeel.llm.common import WordHash, bitmap_of, column, each_utf8, fresh, mixed, whole_text
+from evenkeel.llm.common import WordHash, bitmap_bytes, column, each_utf8, fresh, maybe_held, mixed, whole_text
 from evenkeel.sources.workspace import written
 
 UNKNOWN = "und"
@@ -330,18 +330,12 @@ def frequent(texts: DataFrame, longest: int, threshold: int, grams: int, *, coun
 # The second pass ------------------------------------------------------------------------------------------------------
 
 
-def _bitmap(names: DataFrame) -> tuple[np.ndarray, int]:
+def _bitmap(names: DataFrame) -> np.ndarray:
     """A bitmap of the names with about sixteen bits for each, never over ``2**MOST_BITS``."""
-    bits = min(MOST_BITS, max(15, (16 * names.count()).bit_length()))
-    found = np.zeros(1 << bits - 3, np.uint8)
-    for r in bitmap_of(names, "name", bits).collect():
-        piece = np.frombuffer(r.bits, np.uint8)
-        at = (r.piece - 1) * 4096
-        found[at : at + len(piece)] = piece[: len(found) - at]
-    return found, bits
+    return bitmap_bytes(names, "name", min(MOST_BITS, max(15, (16 * names.count()).bit_length())))
 
 
-def _counted(longest: int, partition_bits: int, bitmap, bits: int):
+def _counted(longest: int, partition_bits: int, bitmap):
     def row_batch(lang, size, phrases, counts):
         return pa.RecordBatch.from_arrays(
             [pa.array(lang, pa.string()), pa.array(size, pa.int32()), pa.array(phrases, pa.binary()), pa.array(counts, pa.int64())],
@@ -349,11 +343,10 @@ def _counted(longest: int, partition_bits: int, bitmap, bits: int):
         )
 
     def counted(batches):
-        languages, maybe, slots = Languages(), bitmap.value, np.uint64((1 << bits) - 1)
+        languages, maybe = Languages(), bitmap.value
         for found in _window_grams(batches, languages, longest, _HASHES):
             for n, (first, one, other) in enumerate(zip(found.first, *found.hashes, strict=True), 1):
-                slot = (one >> np.uint64(32 - partition_bits)) & slots
-                kept = np.flatnonzero((maybe[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8)) & 1)
+                kept = np.flatnonzero(maybe_held(maybe, one >> np.uint64(32 - partition_bits)))
                 if not len(kept):
                     continue
                 first, one, other = first[kept], one[kept], other[kept]
@@ -377,9 +370,8 @@ def _counted(longest: int, partition_bits: int, bitmap, bits: int):
 
 def exact_counts(texts: DataFrame, names: DataFrame, partition_bits: int, longest: int, threshold: int) -> DataFrame:
     """(lang, size, phrase, f) of all n-grams of (lang, text) that occur ``threshold`` times, which must be among ``names``."""
-    bitmap, bits = _bitmap(names)
-    held = texts.sparkSession.sparkContext.broadcast(bitmap)
-    found = texts.mapInArrow(_counted(longest, partition_bits, held, bits), "lang string, size int, phrase binary, f long")
+    held = texts.sparkSession.sparkContext.broadcast(_bitmap(names))
+    found = texts.mapInArrow(_counted(longest, partition_bits, held), "lang string, size int, phrase binary, f long")
     return found.groupBy("lang", "size", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= threshold).select(
         "lang", "size", F.col("phrase").cast("string").alias("phrase"), "f"
     )

@@ -64,6 +64,22 @@ def bitmap_of(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> DataFrame:
     )
 
 
+def bitmap_bytes(keys: DataFrame, key: str, bits: int = BITMAP_BITS) -> np.ndarray:
+    """The same bitmap as bytes, for tasks in Python: ``2**bits / 8`` bytes, whatever the number of keys."""
+    found = np.zeros(1 << bits - 3, np.uint8)
+    for r in bitmap_of(keys, key, bits).collect():
+        piece = np.frombuffer(r.bits, np.uint8)
+        at = (r.piece - 1) * 4096
+        found[at : at + len(piece)] = piece[: len(found) - at]
+    return found
+
+
+def maybe_held(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Which of the keys may be in the bitmap's set."""
+    slot = keys.view(np.uint64) & np.uint64(8 * len(bitmap) - 1)
+    return (bitmap[slot >> np.uint64(3)] >> (slot & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
 def with_membership(df: DataFrame, key: Column, bitmap: DataFrame, name: str, bits: int = BITMAP_BITS) -> DataFrame:
     """``df`` with a boolean column ``name``: false where ``key`` is surely not in the bitmap's set.
 

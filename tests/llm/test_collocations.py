@@ -133,7 +133,7 @@ def test_equal_first_hashes_are_told_apart(spark, monkeypatch):
     batch = pa.RecordBatch.from_arrays([pa.array(["en"] * len(rows)), pa.array(rows)], names=["lang", "text"])
     monkeypatch.setattr(col, "_HASHES", (Poor(3), col.WordHash(0xC2B2AE3D27D4EB4F)))
     found = Counter()
-    for out in col._counted(2, 0, Value, 15)(iter([batch])):
+    for out in col._counted(2, 0, Value)(iter([batch])):
         for lang, size, phrase, f in zip(*(c.to_pylist() for c in out.columns)):
             found[phrase.decode()] += f
     grams = col.Grams(parts, langs, new, np.zeros(1, np.uint64), 2)
