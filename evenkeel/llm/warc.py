@@ -109,43 +109,61 @@ def read_payloads(spark: SparkSession, path: str) -> DataFrame:
     return stored.select("sha256", F.when(F.sha2("payload", 256) == F.col("sha256"), F.col("payload")).otherwise(wrong).alias("payload"))
 
 
+def _field(text: Column, pattern: str) -> Column:
+    found = F.regexp_extract(text, rf"\r\n{pattern}\r\n", 1)
+    return F.when(found != "", found)
+
+
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, record_type, payload_bytes, payload_digest, refers_to, url), one row for each record of an archive.
 
-    All comes from the archive: digest and size from the payloads' bytes, the
-    rest from the headers. A header whose digest is not that of its payload,
-    and a record without a payload, is an error.
+    Every record is rebuilt from its header and the bytes of its payload, and
+    all comes from the rebuilt bytes: the fields from its header, digest and size
+    of a response from what follows the header of the HTTP response.  A revisit
+    has no payload of its own; its digest and size are those of the payload it
+    shares.  A digest that is not the one the header names, and a record without
+    a payload, is an error.
     """
-    facts = read_payloads(spark, path).select(
+    shared = read_payloads(spark, path).select(
         "sha256", F.sha1("payload").alias("payload_digest"), F.octet_length("payload").cast("long").alias("payload_bytes")
     )
-    text = F.col("header").cast("string")
-
-    def field(pattern: str) -> Column:
-        found = F.regexp_extract(text, rf"\r\n{pattern}\r\n", 1)
-        return F.when(found != "", found)
-
-    headers = read_records(spark, path).select(
-        "sha256", field("WARC-Type: ([a-z]+)").alias("record_type"), field("WARC-Record-ID: <urn:page:(-?[0-9]+)>").alias("page_id"),
-        field("WARC-Refers-To: <urn:page:(-?[0-9]+)>").alias("refers_to"), field("WARC-Target-URI: ([^\r\n]*)").alias("url"),
-        field("WARC-Payload-Digest: sha1:([0-9a-f]+)").alias("said"),
+    whole = _records(spark, path).select("sha256", F.col("record").cast("string").alias("record"))
+    blank = F.lit(END)
+    http = F.instr(F.col("record"), END) + len(END)
+    body = F.call_function("locate", blank, F.col("record"), http) + len(END)
+    payload = F.substring(F.col("record"), body, F.length("record") - body + 1 - len(END)).cast("binary")
+    head = F.substring(F.col("record"), F.lit(1), http)
+    parsed = whole.select("sha256", head.alias("head"), payload.alias("payload")).select(
+        "sha256", "payload", _field(F.col("head"), "WARC-Type: ([a-z]+)").alias("record_type"),
+        _field(F.col("head"), "WARC-Record-ID: <urn:page:(-?[0-9]+)>").alias("page_id"),
+        _field(F.col("head"), "WARC-Refers-To: <urn:page:(-?[0-9]+)>").alias("refers_to"),
+        _field(F.col("head"), "WARC-Target-URI: ([^\r\n]*)").alias("url"),
+        _field(F.col("head"), "WARC-Payload-Digest: sha1:([0-9a-f]+)").alias("said"),
     )
-    joined = headers.join(facts, "sha256", "left")
-    wrong = F.raise_error(F.concat(F.lit("no payload fits the header of record "), F.col("page_id"))).cast("string")
-    return joined.select(
+    is_revisit = F.coalesce(F.col("record_type") == "revisit", F.lit(False))  # what has no payload is no record, and an error below
+    own = parsed.filter(~is_revisit).withColumns({"payload_digest": F.sha1("payload"), "payload_bytes": F.octet_length("payload").cast("long")})
+    others = parsed.filter(is_revisit).join(shared, "sha256", "left")
+    wrong = F.raise_error(F.concat(F.lit("no payload fits the header of record "), F.coalesce("page_id", F.lit("unnamed")))).cast("string")
+    return own.drop("payload").unionByName(others.drop("payload")).select(
         F.col("page_id").cast("long").alias("page_id"), "record_type", "payload_bytes",
         F.when(F.col("said") == F.col("payload_digest"), F.col("payload_digest")).otherwise(wrong).alias("payload_digest"),
         F.col("refers_to").cast("long").alias("refers_to"), "url",
     )
 
 
+def _records(spark: SparkSession, path: str) -> DataFrame:
+    """(row, sha256, record): the bytes of every record. Only responses meet the payloads."""
+    records = read_records(spark, path).withColumn("revisit", F.col("header").cast("string").contains("\r\nWARC-Type: revisit\r\n"))
+    end = F.lit(END.encode())
+    responses = records.filter("not revisit").join(read_payloads(spark, path), "sha256", "left")
+    return responses.select("row", "sha256", F.concat("header", "payload", end).alias("record")).unionByName(
+        records.filter("revisit").select("row", "sha256", F.concat("header", end).alias("record"))
+    )
+
+
 def rebuilt(spark: SparkSession, path: str) -> DataFrame:
     """(row, record) with the bytes of every record: its header, for a response its payload, and two line ends."""
-    records = read_records(spark, path)
-    revisit = F.col("header").cast("string").contains("\r\nWARC-Type: revisit\r\n")
-    return records.join(read_payloads(spark, path), "sha256", "left").select(
-        "row", F.concat("header", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")), F.lit(END.encode())).alias("record")
-    )
+    return _records(spark, path).select("row", "record")
 
 
 def export_warc(spark: SparkSession, path: str, to: str, *, compression: str = "none") -> None:
