@@ -82,3 +82,74 @@ def test_features():
     held, counts = features("aa")
     assert counts.sum() == 4 + 3 + 2  # of " aa ": characters, pairs, triples
     assert features("AA")[0].tolist() == held.tolist()
+
+
+def test_the_whole_training_against_plain_loops(spark):
+    """TF-IDF, FTRL in one shard and the temperature, in plain Python over a small corpus."""
+    import math
+    import random
+
+    reachable_by_workers(spark)
+    rng = random.Random(1)
+    stems = {"en": "the of and to in that is was he for".split(), "de": "der die und in den von zu das mit sich".split()}
+    rows = [(" ".join(rng.choices(stems[lang] + ["x", "12"], k=rng.randint(3, 30))), lang) for _ in range(120) for lang in stems]
+    docs = spark.createDataFrame(rows, "text string, lang string")
+    options = {"epochs": 2, "alpha": 0.7, "beta": 1.0, "l1": 0.01, "l2": 0.02}
+    model = train(docs, shards=1, **options)
+
+    languages, n = sorted(stems), len(rows)
+    seen = {}
+    for text, _ in rows:
+        for f in features(text)[0].tolist():
+            seen[f] = seen.get(f, 0) + 1
+    idf = {f: np.float32(math.log((1 + n) / (1 + c)) + 1) for f, c in seen.items()}
+    assert all(model.idf[f] == w for f, w in idf.items())
+
+    def share(name):
+        df = docs.selectExpr("text", "lang", f"pmod(xxhash64(text, '{name}'), {1 << 30}) / double({1 << 30}) as s")
+        return sorted((r.s, r.text, r.lang) for r in df.collect())
+
+    use = {t: s for s, t, _ in share("use")}
+    ordered = [(t, lang) for _, t, lang in share("order")]
+    z, q = {}, {}
+
+    def weight(key):
+        v = z.get(key, 0.0)
+        if abs(v) <= options["l1"]:
+            return 0.0
+        return -math.copysign(abs(v) - options["l1"], v) / ((options["beta"] + math.sqrt(q.get(key, 0.0))) / options["alpha"] + options["l2"])
+
+    learned = [(t, lang) for t, lang in ordered if use[t] >= 0.2]
+    for _ in range(options["epochs"]):
+        for text, lang in learned:
+            held, x = model.vector(text)
+            logit = [sum(float(v) * weight((int(f), c)) for f, v in zip(held, x)) for c in range(2)]
+            p = [math.exp(v - max(logit)) for v in logit]
+            p = [v / sum(p) for v in p]
+            steps = {}
+            for f, v in zip(held.tolist(), x.tolist()):
+                for c in range(2):
+                    g = v * (p[c] - (languages[c] == lang))
+                    old = q.get((f, c), 0.0)
+                    steps[f, c] = (g - (math.sqrt(old + g * g) - math.sqrt(old)) / options["alpha"] * weight((f, c)), old + g * g)
+            for key, (dz, dq) in steps.items():
+                z[key], q[key] = z.get(key, 0.0) + dz, dq
+    expected = np.zeros_like(model.weights)
+    for f, c in z:
+        expected[f, c] = weight((f, c))
+    assert np.allclose(model.weights, expected, atol=1e-5) and (expected != 0).any()
+
+    unseen = [(t, lang) for t, lang in ordered if use[t] < 0.2]
+    m = len(unseen)
+
+    def loss(t):
+        total = 0.0
+        for text, lang in unseen:
+            s = [float(v) / t for v in model.logits(text)]
+            top = max(s)
+            even = 1 / (m + 2)
+            target = [even + (languages[c] == lang) * m / (m + 2) for c in range(2)]
+            total += top + math.log(sum(math.exp(v - top) for v in s)) - sum(a * b for a, b in zip(target, s)) / sum(target)
+        return total / m
+
+    assert model.temperature == pytest.approx(min(np.geomspace(0.02, 20, 121), key=loss))
