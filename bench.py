@@ -27,7 +27,8 @@ HEADLINE = (
     "reconcile_from_snapshot", "reconcile_coerced", "diff_by_type", "diff_by_column", "normalise_values",
     "filter_pk_range", "filter_pk_set_table", "filter_date_range", "apply_mapping_derived", "enrich_many",
     "null_handling", "fill_mode", "dialect_coercion", "scalar_numeric_rules", "schema_diff", "not_null_check",
-    "check_key_unique", "check_join_fanout", "csv_roundtrip", "upsert_merge",
+    "check_key_unique", "check_join_fanout", "csv_roundtrip", "upsert_merge", "reconcile_skip_equal", "reconcile_saved_sides",
+    "upsert_partitions", "enrich_hot_key",
 )
 
 
