@@ -1,0 +1,30 @@
+"""Queries on keys beyond those of the small tables."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from __spark_entry__ import queries
+
+
+@pytest.fixture
+def folder(spark, tmp_path):
+    def of(name, rows):
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+        return str(tmp_path)
+
+    return of
+
+
+def test_cubes_beyond_64_bits(spark, folder):
+    keys = [-5_000_000, 0, 7, 7, 2_097_151, 2_097_152, 9_000_000, None]
+    rows = spark.createDataFrame([(k, float(i)) for i, k in enumerate(keys)], "o_orderkey long, o_totalprice double")
+    found = queries()["split_by_ranges"](spark, folder("orders", rows)).collect()
+    expected = {(None if k is None else k**3, float(i)) for i, k in enumerate(keys)}
+    assert len(found) == len(keys) and {(r.skewed and int(r.skewed), r.o_totalprice) for r in found} == expected
+
+
+def test_cubes_of_64_bits_stay_whole_numbers(spark, folder):
+    rows = spark.range(2_097_100, 2_097_152).select(F.col("id").alias("o_orderkey"), F.lit(1.0).alias("o_totalprice"))
+    found = queries()["split_by_ranges"](spark, folder("orders", rows))
+    assert dict(found.dtypes)["skewed"] == "bigint"
+    assert {r.skewed for r in found.collect()} == {k**3 for k in range(2_097_100, 2_097_152)}
