@@ -1,5 +1,7 @@
 """Queries on keys beyond those of the small tables."""
 
+import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -28,3 +30,18 @@ def test_cubes_of_64_bits_stay_whole_numbers(spark, folder):
     found = queries()["split_by_ranges"](spark, folder("orders", rows))
     assert dict(found.dtypes)["skewed"] == "bigint"
     assert {r.skewed for r in found.collect()} == {k**3 for k in range(2_097_100, 2_097_152)}
+
+
+def test_days_beyond_32_bits(spark, folder):
+    keys = [1, 2_147_483, 2_147_484, 6_000_000, None]
+    events = spark.createDataFrame(
+        [(k, datetime.datetime(2024, 1, 1), 1.5, 3, "view") for k in keys],
+        "event_id long, ts timestamp, value double, user_id long, event_type string",
+    )
+    found = {r.event_id: r for r in queries()["csv_roundtrip_precise"](spark, folder("events", events)).collect()}
+
+    def day(key):
+        return (key * 1000 - 1_000_000 + 2**31) % 2**32 - 2**31
+
+    assert {k: r.far_day for k, r in found.items()} == {k: None if k is None else day(k) for k in keys}
+    assert day(2_147_483) == 2_147_483_000 - 1_000_000 and all(r.third == 0.5 for r in found.values())
