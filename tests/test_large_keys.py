@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
+from queries import reconciling
 
 
 @pytest.fixture
@@ -45,3 +46,14 @@ def test_days_beyond_32_bits(spark, folder):
 
     assert {k: r.far_day for k, r in found.items()} == {k: None if k is None else day(k) for k in keys}
     assert day(2_147_483) == 2_147_483_000 - 1_000_000 and all(r.third == 0.5 for r in found.values())
+
+
+def test_wide_columns_are_not_written_as_tables(spark, folder, monkeypatch):
+    names, keep = [], reconciling.written
+    monkeypatch.setattr(reconciling, "written", lambda df, name: (names.append(name), keep(df, name))[1])
+    orders = spark.range(200).select(F.col("id").alias("o_orderkey"), (F.col("id") * 3).alias("o_custkey"))
+    found = queries()["reconcile_wide"](spark, folder("orders", orders)).collect()
+    assert not names
+    assert {(r.primary_key_value, r.column_name) for r in found} == {
+        *((str(k), "w123") for k in range(0, 200, 50)), *((str(k), "<ENTIRE_ROW>") for k in range(0, 200, 97))
+    } - {("0", "w123")}
