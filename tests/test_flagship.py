@@ -1,0 +1,43 @@
+"""The flagship query: one extract, and exact sums of whole numbers."""
+
+import os
+
+import pytest
+from pyspark.sql import functions as F
+
+from evenkeel.sources.workspace import workspace
+from queries.reconciling import flagship, sum_of_hundredths
+
+
+def test_the_expected_table_is_made_once(spark, sf_dir):
+    """The loaded table is derived from it; it was joined and mapped for itself, from totals written before."""
+    with workspace(spark) as folder:
+        assert flagship(spark, sf_dir).diff.count() > 0
+        names = [n.rpartition("-")[0] for n in os.listdir(folder)]
+    assert names.count("expected") == 1 and not {"totals", "loaded"} & set(names)
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_sums_are_those_of_decimals(spark, ansi):
+    odd = [
+        0.0, -0.0, 0.005, -0.005, 1.005, 2.675, -2.675, 0.125, 0.015, 1e-9, 0.1 + 0.2, 1407374883553.275, 1407374883553.285,
+        -1407374883553.285, 9e15, -9e15, 9999999999999998.0, 123456789012345.67, None,
+    ]
+    rows = [(i % 3, i, x, 100.0 * i + 0.005) for i, x in enumerate(odd)]
+    rows += [(4, 0, None, None), (4, 1, None, 1.5), (None, 0, 9.99e15, -0.01)] + [(5, i, 9.9e15, -9.9e15) for i in range(300)]
+    rows += [(10 + i, 0, (i * 37 % 2000) / 8 - 100, i * 0.015) for i in range(4000)]
+    kept = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame(rows, "k int, n int, a double, b double")
+        if ansi == "false":  # else an error, as it is of the plain cast
+            df = df.unionAll(spark.createDataFrame([(6, 0, 1e300, float("nan")), (6, 1, 1.0, float("inf"))], df.schema))
+        got = sum_of_hundredths(df, ["k"], {"x": "a", "y": "b"}, F.max("n").alias("n"))
+        plain = df.groupBy("k").agg(
+            F.max("n").alias("n"), F.sum(F.col("a").cast("decimal(18,2)")).alias("x"), F.sum(F.col("b").cast("decimal(18,2)")).alias("y")
+        )
+        assert dict(got.dtypes) == dict(plain.dtypes)
+        names = ["k", "n", "x", "y"]
+        assert sorted(map(repr, got.select(names).collect())) == sorted(map(repr, plain.select(names).collect()))
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", kept)
