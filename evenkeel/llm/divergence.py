@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import column, each_utf8, fresh
+from evenkeel.llm.common import column, each_utf8, fresh, tidy
 
 UNKNOWN = "und"
 #: Words in a reference, and languages that have one of their own (those with most words); others share one of all text.
@@ -163,7 +163,7 @@ def references(
     rows = docs.select(
         F.coalesce(column(lang_col).cast("string"), F.lit(UNKNOWN)).alias("lang"), column(text_col).cast("string").alias("text")
     )
-    counted = rows.mapInArrow(_counted, "lang string, word binary, kind int, n long")
+    counted = rows.mapInArrow(tidy(_counted), "lang string, word binary, kind int, n long")
     from evenkeel.sources.workspace import written
 
     counted = written(counted.groupBy("lang", "word", "kind").agg(F.sum("n").alias("n")), "word_counts")
@@ -226,7 +226,7 @@ def measured(docs: DataFrame, known: dict[str | None, Reference], text_col: str
             )
 
     lang = F.coalesce(column(lang_col).cast("string"), F.lit(UNKNOWN))
-    return F.arrow_udf(measure, MEASURES)(column(text_col).cast("string"), lang)
+    return F.arrow_udf(tidy(measure), MEASURES)(column(text_col).cast("string"), lang)
 
 
 def judge(

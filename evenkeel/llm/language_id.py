@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from evenkeel.llm.common import column, each_utf8, fresh
+from evenkeel.llm.common import column, each_utf8, fresh, tidy
 
 #: Hashed features, as a power of two.
 FEATURE_BITS = 15
@@ -134,7 +134,7 @@ def train(
         return None
     languages = sorted(r["lang"] for r in counted)
     frequency = dict(
-        labelled.select("text").mapInArrow(_document_frequencies, "feature long, n long")
+        labelled.select("text").mapInArrow(tidy(_document_frequencies), "feature long, n long")
         .groupBy("feature").agg(F.sum("n")).collect()  # a row for each feature
     )
     total = frequency.pop(-1)
@@ -224,7 +224,7 @@ def predicted(model: Model | None, docs: DataFrame, text_col: str = "text") -> C
             )
 
     text = column(text_col).cast("string")
-    found = F.arrow_udf(best, "lang_pred string, score double")(text)
+    found = F.arrow_udf(tidy(best), "lang_pred string, score double")(text)
     # In a struct, so that Python runs once for both fields.
     lettered = F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
     return F.struct(

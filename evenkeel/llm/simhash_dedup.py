@@ -65,7 +65,7 @@ def fingerprint(text: Column, size: int = 3) -> Column:
         for batch in texts:
             yield pa.array([simhash(shingle_hashes(t, size)) for t in each_utf8(batch)], pa.int64())
 
-    return F.arrow_udf(fingerprints, "long")(text)
+    return F.arrow_udf(tidy(fingerprints), "long")(text)
 
 
 class GrayIndex:

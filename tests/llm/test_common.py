@@ -7,7 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from evenkeel.llm.common import (
-    bitmap_of, block_keys, block_masks, connected_components, fresh, groups, starts, united, with_membership,
+    BATCH_BYTES, BATCH_SETTING, bitmap_of, block_keys, block_masks, connected_components, fresh, groups, light_batches, starts, united,
+    with_membership,
 )
 from tests_llm_helpers import brute_components
 
@@ -87,3 +88,27 @@ def test_components(spark, seed):
 
 def test_no_edges(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long"), "a", "b").count() == 0
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    docs = spark.range(0, 3000, 1, 1).select(F.repeat(F.lit("x"), 10_000).alias("text"))
+
+    def size(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"])
+
+    @F.arrow_udf("long")
+    def rows(x: pa.Array) -> pa.Array:
+        return pa.array([len(x)] * len(x), pa.int64())
+
+    before = spark.conf.get(BATCH_SETTING, None)
+    try:
+        spark.conf.unset(BATCH_SETTING)
+        light_batches(spark)
+        assert max(r.n for r in docs.mapInArrow(size, "n long").collect()) < 2 * BATCH_BYTES
+        assert docs.select(rows("text").alias("n")).agg(F.max("n")).first()[0] < 1000
+        spark.conf.set(BATCH_SETTING, "1000000")  # a session's own limit stays
+        light_batches(spark)
+        assert spark.conf.get(BATCH_SETTING) == "1000000"
+    finally:
+        spark.conf.unset(BATCH_SETTING) if before is None else spark.conf.set(BATCH_SETTING, before)
